@@ -63,9 +63,15 @@ def dimension_join(
     key: str,
     spread_by: Sequence[str],
     broadcast_limit: int = BROADCAST_LIMIT,
+    count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a dimension: broadcast when it was measured to be small,
-    else a shuffle join with the hot keys salted."""
+    else a shuffle join with the hot keys salted.
+
+    ``count_in`` is a cheaper frame with the same distribution of ``key`` to
+    look for hot keys in, such as the table ``df`` was joined together from.
+    """
     if fits(dim, broadcast_limit):
         return df.join(F.broadcast(dim), key, "left")
-    return salted_left_join(df, dim, key, spread_by, hot_keys(df, key))
+    hot = hot_keys(df if count_in is None else count_in, key)
+    return salted_left_join(df, dim, key, spread_by, hot)

@@ -57,7 +57,9 @@ def order_fact(
 ) -> DataFrame:
     """Orders with both dimensions attached; unmatched orders are kept."""
     priced = dimension_join(orders, products, "product_id", ["order_id"], broadcast_limit)
-    placed = dimension_join(priced, customers, "customer_id", ["order_id"], broadcast_limit)
+    placed = dimension_join(
+        priced, customers, "customer_id", ["order_id"], broadcast_limit, count_in=orders
+    )
     return with_measures(placed)
 
 

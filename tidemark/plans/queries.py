@@ -24,7 +24,7 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.plans import shop
 from tidemark.plans.gold import DAILY_SALES, read_gold
 from tidemark.plans.layout import Warehouse
-from tidemark.plans.refresh import refresh
+from tidemark.plans.refresh import load, refresh
 from tidemark.plans.shop import table
 from tidemark.sources import bronze, ledger, snapshots, state
 from tidemark.sources.storage import materialise, scratch_path
@@ -605,7 +605,7 @@ def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @query
 def medallion_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs through all layers, the second one on a grown source."""
+    """A first load of the current state, then a whole run on the grown source."""
     warehouse = Warehouse(scratch_path(spark, "warehouse"))
     later = _sources(spark, sf_dir)
     first_orders = shop.orders(spark, sf_dir).drop("o_orderstatus")
@@ -613,6 +613,6 @@ def medallion_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         **later,
         "source_orders": first_orders.filter(F.col("updated_at") <= _ntz(SHIP_MARK)),
     }
-    refresh(spark, earlier, shop.SHOP, warehouse, "r1")
+    load(spark, earlier, shop.SHOP, warehouse, "r1")
     refresh(spark, later, shop.SHOP, warehouse, "r2")
     return _revenue(read_gold(spark, warehouse, DAILY_SALES))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +21,22 @@ class Refresh:
     gold: GoldBuild
 
 
+def load(
+    spark: SparkSession,
+    sources: Mapping[str, DataFrame],
+    contracts: Sequence[TableContract],
+    warehouse: Warehouse,
+    run_id: str,
+    fmt: str = "parquet",
+) -> tuple[list[Extraction], list[Promotion]]:
+    """Extracts every table, then promotes every table."""
+    extractions = [
+        extract_table(sources[c.name], c, warehouse, run_id, fmt) for c in contracts
+    ]
+    promotions = [promote_table(spark, c, warehouse, run_id, fmt) for c in contracts]
+    return extractions, promotions
+
+
 def refresh(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],
@@ -31,9 +47,6 @@ def refresh(
 ) -> Refresh:
     """Runs the three stages in order; ``contracts`` are products, customers
     and orders, and ``sources`` holds a table for each by its name."""
-    extractions = [
-        extract_table(sources[c.name], c, warehouse, run_id, fmt) for c in contracts
-    ]
-    promotions = [promote_table(spark, c, warehouse, run_id, fmt) for c in contracts]
+    extractions, promotions = load(spark, sources, contracts, warehouse, run_id, fmt)
     gold = build_gold(spark, warehouse, run_id, names=tuple(c.name for c in contracts))
     return Refresh(extractions, promotions, gold)

@@ -71,3 +71,22 @@ def replace(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
     version = write_draft(df, root, partition_by)
     publish(df.sparkSession, root, version)
     return version
+
+
+def retire(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
+    """Removes published versions older than the last ``keep``, and drafts that
+    were given up before the current one. Readers of a removed version fail, so
+    ``keep`` has to cover the longest-running of them."""
+    if keep < 1:
+        raise ValueError("the current version has to stay")
+    versions = _versions(spark, root)
+    published = [
+        v for v in versions if storage.exists(spark, f"{_version_path(root, v)}/{_MARKER}")
+    ]
+    if not published:
+        return []
+    kept = set(published[-keep:])
+    old = [v for v in versions if v not in kept and v < published[-1]]
+    for version in old:
+        storage.remove(spark, _version_path(root, version))
+    return old

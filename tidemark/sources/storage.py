@@ -38,6 +38,11 @@ def create_marker(spark: SparkSession, path: str) -> bool:
     return fs.createNewFile(target)
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.delete(target, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, from ``spark.checkpoint.dir``."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

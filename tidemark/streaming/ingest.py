@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import merge_into_state
 from tidemark.sources import snapshots
+from tidemark.sources.storage import materialise
 
 
 def read_files(
@@ -34,7 +35,8 @@ def merge_batch(root: str, key: str, ts: str) -> Callable[[DataFrame, int], None
     def merge(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
             return
-        latest = latest_per_key(batch, [key], ts)
+        # Written once: sizing and merging would each run the deduplication.
+        latest = materialise(latest_per_key(batch, [key], ts), "stream-batch")
         state = snapshots.read_current(batch.sparkSession, root)
         snapshots.replace(merge_into_state(state, latest, [key], ts), root)
 
