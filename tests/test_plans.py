@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import datetime
 import json
 from decimal import Decimal
@@ -45,7 +46,18 @@ def warehouse(root):
 
 
 def saved_state(spark, warehouse, table):
-    return state.last_run(spark, warehouse.state, warehouse.pipeline, table)
+    known = state.last_runs(spark, warehouse.state, warehouse.pipeline)
+    return known.get(table, state.NEVER_RUN)
+
+
+def extract_one(df, contract, warehouse, run_id, raw=extract.RawFormat()):
+    return extract.extract_tables(
+        df.sparkSession, {contract.name: df}, [contract], warehouse, run_id, raw
+    )[0]
+
+
+def promote_one(spark, contract, warehouse, run_id, fmt="parquet"):
+    return promote.promote_tables(spark, [contract], warehouse, run_id, fmt)[0]
 
 
 def silver(spark, warehouse, contract):
@@ -62,13 +74,14 @@ def sources(spark, p, c, o):
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_two_runs(spark, warehouse, fmt):
+    raw = extract.RawFormat(fmt, ordered=fmt == "csv")
     first = sources(
         spark,
         [(1, "2.50", 1), (2, "4.00", 1)],
         [(1, 1)],
         [(1, 1, 1, 2, 1), (2, 1, 9, 1, 2)],
     )
-    done = refresh(spark, first, ECOMMERCE, warehouse, "a", fmt)
+    done = refresh(spark, first, ECOMMERCE, warehouse, "a", raw)
     assert [e.rows for e in done.extractions] == [2, 1, 2]
     assert done.gold.status == gold.PUBLISHED and done.gold.rows == 2
 
@@ -79,7 +92,7 @@ def test_two_runs(spark, warehouse, fmt):
         [(1, 1)],
         [(1, 1, 1, 2, 1), (2, 1, 2, 3, 6), (3, 1, 1, 1, 7)],
     )
-    done = refresh(spark, second, ECOMMERCE, warehouse, "b", fmt)
+    done = refresh(spark, second, ECOMMERCE, warehouse, "b", raw)
     assert [e.status for e in done.extractions] == [
         state.SUCCESS, extract.NOTHING_NEW, state.SUCCESS,
     ]
@@ -113,37 +126,37 @@ def test_repeated_run_changes_nothing(spark, warehouse):
 
 
 def test_empty_source_is_skipped(spark, warehouse):
-    got = extract.extract_table(products(spark), PRODUCTS, warehouse, "a")
+    got = extract_one(products(spark), PRODUCTS, warehouse, "a")
     assert got.status == extract.EMPTY_SOURCE
     assert not storage.exists(spark, bronze.run_path(warehouse.root, PRODUCTS.name, "a"))
     assert saved_state(spark, warehouse, PRODUCTS.name) == state.LastRun(0)
-    assert promote.promote_table(spark, PRODUCTS, warehouse, "a").status == promote.NO_BATCH
+    assert promote_one(spark, PRODUCTS, warehouse, "a").status == promote.NO_BATCH
     assert gold.build_gold(spark, warehouse, "a").status == gold.SKIPPED
 
 
 def test_empty_batch_is_skipped(spark, warehouse):
     path = bronze.run_path(warehouse.root, PRODUCTS.name, "a")
     bronze.write_run(products(spark), path)
-    assert promote.promote_table(spark, PRODUCTS, warehouse, "a").status == promote.EMPTY_BATCH
+    assert promote_one(spark, PRODUCTS, warehouse, "a").status == promote.EMPTY_BATCH
 
 
 def test_failed_extraction_keeps_the_watermark(spark, warehouse):
-    extract.extract_table(products(spark, (1, "1.00", 1)), PRODUCTS, warehouse, "a")
+    extract_one(products(spark, (1, "1.00", 1)), PRODUCTS, warehouse, "a")
     mark = saved_state(spark, warehouse, PRODUCTS.name).watermark
     with pytest.raises(ValueError):
-        extract.extract_table(
-            products(spark, (2, "1.00", 2)), PRODUCTS, warehouse, "b", fmt="unknown"
+        extract_one(
+            products(spark, (2, "1.00", 2)), PRODUCTS, warehouse, "b", extract.RawFormat("unknown")
         )
     failed = saved_state(spark, warehouse, PRODUCTS.name)
     assert failed.watermark == mark and failed.status.startswith("FAILED: unknown raw format")
-    extract.extract_table(products(spark, (2, "1.00", 2)), PRODUCTS, warehouse, "b")
+    extract_one(products(spark, (2, "1.00", 2)), PRODUCTS, warehouse, "b")
     assert saved_state(spark, warehouse, PRODUCTS.name).status == state.SUCCESS
 
 
 def test_quarantine_metrics_and_duplicates(spark, warehouse):
     rows = [(i, "1.00", 1) for i in range(1, 30)] + [(1, "2.00", 2), (99, "0.00", 1)]
-    extract.extract_table(products(spark, *rows), PRODUCTS, warehouse, "a")
-    done = promote.promote_table(spark, PRODUCTS, warehouse, "a")
+    extract_one(products(spark, *rows), PRODUCTS, warehouse, "a")
+    done = promote_one(spark, PRODUCTS, warehouse, "a")
     assert done.metrics["metrics"] == {
         "input_records_extracted": 31,
         "clean_records_promoted": 29,
@@ -162,17 +175,32 @@ def test_quarantine_metrics_and_duplicates(spark, warehouse):
 
 
 def test_low_yield_stops_before_the_state_but_keeps_the_evidence(spark, warehouse):
-    extract.extract_table(products(spark, (1, "1.00", 1)), PRODUCTS, warehouse, "a")
-    promote.promote_table(spark, PRODUCTS, warehouse, "a")
+    extract_one(products(spark, (1, "1.00", 1)), PRODUCTS, warehouse, "a")
+    promote_one(spark, PRODUCTS, warehouse, "a")
     bad = products(spark, (2, "1.00", 2), (3, "0.00", 2))
-    extract.extract_table(bad, PRODUCTS, warehouse, "b")
+    extract_one(bad, PRODUCTS, warehouse, "b")
     with pytest.raises(YieldBelowTolerance, match="50.0"):
-        promote.promote_table(spark, PRODUCTS, warehouse, "b")
+        promote_one(spark, PRODUCTS, warehouse, "b")
     assert [r.product_id for r in silver(spark, warehouse, PRODUCTS).collect()] == [1]
     assert spark.read.parquet(warehouse.quarantine(PRODUCTS.name, "b")).count() == 1
     # The watermark has moved on, but the batch is still known and replayable.
     pending = promote.pending_runs(spark, warehouse)
     assert [tuple(r) for r in pending.collect()] == [("b", PRODUCTS.name)]
+    lenient = dataclasses.replace(PRODUCTS, rules={})
+    assert [p.status for p in promote.promote_pending(spark, [lenient], warehouse)["b"]] == [
+        promote.PUBLISHED
+    ]
+    assert silver(spark, warehouse, PRODUCTS).count() == 3
+    assert promote.promote_pending(spark, [lenient], warehouse) == {}
+
+
+def test_one_failing_table_does_not_hold_up_the_others(spark, warehouse):
+    data = sources(spark, [(1, "0.00", 1)], [(1, 1)], [(1, 1, 1, 1, 1)])
+    with pytest.raises(YieldBelowTolerance):
+        refresh(spark, data, ECOMMERCE, warehouse, "a")
+    assert silver(spark, warehouse, PRODUCTS) is None
+    assert silver(spark, warehouse, ORDERS).count() == 1
+    assert gold.build_gold(spark, warehouse, "a").status == gold.SKIPPED
 
 
 def test_malformed_text_is_quarantined(spark, warehouse):
@@ -184,7 +212,7 @@ def test_malformed_text_is_quarantined(spark, warehouse):
         "quantity", F.when(F.col("order_id") == "3", "many").otherwise(F.col("quantity"))
     )
     bronze.write_run(broken, path, "csv")
-    done = promote.promote_table(spark, ORDERS, warehouse, "a", "csv")
+    done = promote_one(spark, ORDERS, warehouse, "a", "csv")
     assert done.metrics["failures_by_rule_breakdown"]["invalid_quantity"] == 1
     assert silver(spark, warehouse, ORDERS).schema == ORDERS.schema
 
@@ -193,7 +221,7 @@ def test_missing_column_stops_the_run(spark, warehouse):
     path = bronze.run_path(warehouse.root, ORDERS.name, "a")
     bronze.write_run(orders(spark, (1, 1, 1, 1, 1)).drop("quantity"), path, "csv")
     with pytest.raises(MissingColumnsError, match="quantity"):
-        promote.promote_table(spark, ORDERS, warehouse, "a", "csv")
+        promote_one(spark, ORDERS, warehouse, "a", "csv")
 
 
 def test_audit_stops_gold_before_it_is_visible(spark, warehouse):
@@ -263,12 +291,17 @@ def test_snapshots(spark, root):
 
 
 def test_watermark_lookup_and_history(spark, root):
-    for table, mark in (("t", 5), ("u", 7), ("t", 3)):
-        state.record(spark, root, "p", table, mark, state.SUCCESS, f"run-{mark}")
-    assert state.last_run(spark, root, "p", "t") == state.LastRun(3, state.SUCCESS, "run-3")
-    assert state.last_run(spark, root, "p", "u").watermark == 7
-    assert state.last_run(spark, root, "other", "t").watermark == 0
-    assert snapshots.read_current(spark, root).count() == 2
+    state.record(spark, root, "p", "r1", [("t", 5, state.SUCCESS), ("u", 7, state.SUCCESS)])
+    state.record(spark, root, "p", "r2", [("t", 3, state.failed("x"))])
+    state.record(spark, root, "p", "r3", [])
+    assert state.last_runs(spark, root, "p") == {
+        "t": state.LastRun(3, "FAILED: x", "r2"),
+        "u": state.LastRun(7, state.SUCCESS, "r1"),
+    }
+    assert state.last_runs(spark, root, "other") == {}
+    stored = snapshots.read_current(spark, root, state.STATE_SCHEMA)
+    assert state.find_watermark(stored, "p", "u").first()[0] > datetime.datetime(1970, 1, 1)
+    assert state.find_watermark(stored, "p", "w").first()[0] == datetime.datetime(1970, 1, 1)
 
 
 def test_stream_equals_batch(spark, root):

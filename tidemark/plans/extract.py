@@ -1,17 +1,23 @@
-"""Source to raw batch."""
+"""Source tables to raw batches."""
 
 from __future__ import annotations
 
 import time
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.contracts import TableContract
 from tidemark.operators.extract import extract_window, high_watermark
+from tidemark.plans.concurrent import raise_all, side_by_side
 from tidemark.plans.layout import Warehouse
 from tidemark.sources import bronze, ledger, state
 
+EMPTY_SOURCE = "skipped: empty source"
+NOTHING_NEW = "skipped: no new rows"
+ALREADY_DONE = "skipped: this run has extracted the table"
+
 
 @dataclass(frozen=True)
 class Extraction:
@@ -20,58 +26,81 @@ class Extraction:
     low: int
     high: int | None = None
     rows: int = 0
+    seconds: float = 0.0
+    problem: Exception | None = None
 
 
-EMPTY_SOURCE = "skipped: empty source"
-NOTHING_NEW = "skipped: no new rows"
-ALREADY_DONE = "skipped: this run has extracted the table"
+@dataclass(frozen=True)
+class RawFormat:
+    """How raw batches are stored. ``ordered`` sorts the whole batch by the
+    watermark column, at the price of a shuffle."""
 
+    name: str = "parquet"
+    ordered: bool = False
+    rows_per_file: int = bronze.DEFAULT_ROWS_PER_FILE
 
-def extract_table(
-    source: DataFrame,
-    contract: TableContract,
+
+def extract_tables(
+    spark: SparkSession,
+    sources: Mapping[str, DataFrame],
+    contracts: Sequence[TableContract],
     warehouse: Warehouse,
     run_id: str,
-    fmt: str = "parquet",
-    ordered: bool = False,
-    rows_per_file: int = bronze.DEFAULT_ROWS_PER_FILE,
-) -> Extraction:
-    """Writes the rows above the stored watermark to the run's raw folder.
+    raw: RawFormat = RawFormat(),
+) -> list[Extraction]:
+    """Writes each table's rows above its stored watermark to the run's folder.
 
     The high mark is taken before the scan, so rows arriving meanwhile wait for
-    the next run. A skipped table writes nothing; a failed one keeps its old
-    watermark. A run that is repeated after success keeps the batch it wrote.
+    the next run. A skipped table writes nothing, a failed one keeps its old
+    watermark, and a run repeated after success keeps the batches it wrote.
+    Failures are raised once every table has been tried and recorded.
     """
-    spark = source.sparkSession
+    known = state.last_runs(spark, warehouse.state, warehouse.pipeline)
+
+    def extract(contract: TableContract) -> Extraction:
+        last = known.get(contract.name, state.NEVER_RUN)
+        return _extract(sources[contract.name], contract, warehouse, run_id, raw, last)
+
+    done = side_by_side(extract, contracts)
+    moved = [e for e in done if e.status == state.SUCCESS]
+    ledger.append(
+        spark, warehouse.ledger, run_id, ledger.EXTRACTED, [(e.table, e.rows, e.seconds) for e in moved]
+    )
+    state.record(
+        spark,
+        warehouse.state,
+        warehouse.pipeline,
+        run_id,
+        [(e.table, e.high, e.status) for e in moved]
+        + [(e.table, e.low, e.status) for e in done if e.problem],
+    )
+    raise_all([e.problem for e in done if e.problem], f"extraction of run {run_id}")
+    return done
+
+
+def _extract(
+    source: DataFrame,
+    contract: TableContract,
+    warehouse: Warehouse,
+    run_id: str,
+    raw: RawFormat,
+    last: state.LastRun,
+) -> Extraction:
     started = time.monotonic()
-    table, ts = contract.name, contract.watermark
-    last = state.last_run(spark, warehouse.state, warehouse.pipeline, table)
-    low = last.watermark
+    spark, table, ts, low = source.sparkSession, contract.name, contract.watermark, last.watermark
     if last.status == state.SUCCESS and last.run_id == run_id:
         return Extraction(table, ALREADY_DONE, low)
-    high = high_watermark(source, ts)
-    if high is None:
-        return Extraction(table, EMPTY_SOURCE, low)
-    if high <= low:
-        return Extraction(table, NOTHING_NEW, low, high)
-
-    def record(watermark: int, status: str) -> None:
-        state.record(
-            spark, warehouse.state, warehouse.pipeline, table, watermark, status, run_id
-        )
-
-    path = bronze.run_path(warehouse.root, table, run_id)
     try:
+        high = high_watermark(source, ts)
+        if high is None:
+            return Extraction(table, EMPTY_SOURCE, low)
+        if high <= low:
+            return Extraction(table, NOTHING_NEW, low, high)
+        path = bronze.run_path(warehouse.root, table, run_id)
         batch = extract_window(source, ts, low, high)
-        order = [ts, contract.key] if ordered else None
-        bronze.write_run(batch, path, fmt, rows_per_file, order)
-        rows = bronze.read_run(spark, path, fmt).count()
-        ledger.append(
-            spark, warehouse.ledger, run_id, table, ledger.EXTRACTED, rows,
-            time.monotonic() - started,
-        )
+        order = [ts, contract.key] if raw.ordered else None
+        bronze.write_run(batch, path, raw.name, raw.rows_per_file, order)
+        rows = bronze.read_run(spark, path, raw.name).count()
     except Exception as problem:
-        record(low, state.failed(str(problem)))
-        raise
-    record(high, state.SUCCESS)
-    return Extraction(table, state.SUCCESS, low, high, rows)
+        return Extraction(table, state.failed(str(problem)), low, problem=problem)
+    return Extraction(table, state.SUCCESS, low, high, rows, time.monotonic() - started)

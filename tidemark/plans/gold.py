@@ -5,12 +5,13 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.contracts import CUSTOMERS, ORDERS, PRODUCTS
 from tidemark.operators import star
 from tidemark.operators.audit import require_balance
 from tidemark.operators.sizing import BROADCAST_LIMIT
+from tidemark.plans.concurrent import side_by_side
 from tidemark.plans.layout import Warehouse
 from tidemark.sources import ledger, snapshots
 
@@ -48,14 +49,17 @@ def build_gold(
 
     drafts: dict[str, int] = {}
 
-    def draft(df, name: str, partition_by: tuple[str, ...] = ()):
+    def draft(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         root = warehouse.gold(name)
         drafts[name] = snapshots.write_draft(df, root, partition_by)
         return snapshots.read_version(spark, root, drafts[name], df.schema)
 
-    dim_products = draft(star.product_dimension(products), "dim_products")
-    dim_customers = draft(star.customer_dimension(customers), "dim_customers")
-    fact = star.order_fact(orders, dim_products, dim_customers, broadcast_limit)
+    dims = {
+        "dim_products": star.product_dimension(products),
+        "dim_customers": star.customer_dimension(customers),
+    }
+    written = side_by_side(lambda name: draft(dims[name], name), dims)
+    fact = star.order_fact(orders, *written, broadcast_limit)
     fact = draft(star.by_day(fact), FACT, ("order_date",))
     rows = fact.count()
     require_balance(orders.count(), rows)
@@ -63,11 +67,10 @@ def build_gold(
 
     for name, version in drafts.items():
         snapshots.publish(spark, warehouse.gold(name), version)
-    ledger.append(
-        spark, warehouse.ledger, run_id, FACT, ledger.GOLD, rows, time.monotonic() - started
-    )
+    seconds = time.monotonic() - started
+    ledger.append(spark, warehouse.ledger, run_id, ledger.GOLD, [(FACT, rows, seconds)])
     return GoldBuild(PUBLISHED, rows, drafts)
 
 
-def read_gold(spark: SparkSession, warehouse: Warehouse, name: str):
+def read_gold(spark: SparkSession, warehouse: Warehouse, name: str) -> DataFrame | None:
     return snapshots.read_current(spark, warehouse.gold(name))

@@ -1,9 +1,10 @@
-"""Raw batch to current-state table."""
+"""Raw batches to current-state tables."""
 
 from __future__ import annotations
 
 import json
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,12 +24,14 @@ from tidemark.operators.quality import (
     route,
     tag_counts,
 )
+from tidemark.plans.concurrent import raise_all, side_by_side
 from tidemark.plans.layout import Warehouse
 from tidemark.sources import bronze, ledger, snapshots
 
 NO_BATCH = "skipped: no raw batch"
 EMPTY_BATCH = "skipped: empty raw batch"
 PUBLISHED = "published"
+FAILED = "failed"
 
 
 @dataclass(frozen=True)
@@ -37,74 +40,128 @@ class Promotion:
     status: str
     version: int | None = None
     metrics: dict = field(default_factory=dict)
+    seconds: float = 0.0
+    problem: Exception | None = None
 
+    @property
+    def rows(self) -> int:
+        return self.metrics["metrics"]["clean_records_promoted"] if self.metrics else 0
 
-def promote_table(
+
+def promote_tables(
     spark: SparkSession,
-    contract: TableContract,
+    contracts: Sequence[TableContract],
     warehouse: Warehouse,
     run_id: str,
     fmt: str = "parquet",
     trim: bool = False,
-) -> Promotion:
-    """Validates one run's batch and merges it into the table's current state.
+) -> list[Promotion]:
+    """Validates the run's batches and merges them into the current state.
 
-    The batch is parsed once: the tagged rows are written partitioned by
-    validity, and quarantine, metrics and merge all read that table. Metrics
-    come from written tables rather than from accumulators, which can count a
-    re-run task twice. The yield gate is checked before the state is touched;
-    quarantined rows are kept either way.
+    Tables do not wait for each other; failures are raised once all of them
+    have been tried and the metrics of all were kept.
     """
+    done = side_by_side(
+        lambda contract: _promote(spark, contract, warehouse, run_id, fmt, trim), contracts
+    )
+    _keep_metrics(spark, [p.metrics for p in done if p.metrics], warehouse)
+    ledger.append(
+        spark,
+        warehouse.ledger,
+        run_id,
+        ledger.PROMOTED,
+        [(p.table, p.rows, p.seconds) for p in done if p.status == PUBLISHED],
+    )
+    raise_all([p.problem for p in done if p.problem], f"promotion of run {run_id}")
+    return done
+
+
+def _promote(
+    spark: SparkSession,
+    contract: TableContract,
+    warehouse: Warehouse,
+    run_id: str,
+    fmt: str,
+    trim: bool,
+) -> Promotion:
+    """Metrics are counted from written tables rather than with accumulators,
+    which can count a re-run task twice. The yield gate is checked before the
+    state is touched; quarantined rows are kept either way."""
     started = time.monotonic()
     table = contract.name
     raw = bronze.read_run(spark, bronze.run_path(warehouse.root, table, run_id), fmt)
     if raw is None:
         return Promotion(table, NO_BATCH)
-    if raw.isEmpty():
-        return Promotion(table, EMPTY_BATCH)
-    require_columns(raw, contract.required_columns, table)
-
-    staged = warehouse.staged(table, run_id)
-    tagged = tag_failures(cast_to_schema(raw, contract.schema, trim=trim), contract.rules)
-    tagged.write.mode("overwrite").partitionBy(VALID).parquet(f"{staged}/tagged")
-    tagged = spark.read.schema(tagged.schema).parquet(f"{staged}/tagged")
-    clean, quarantined = route(tagged, contract.rules)
-
-    latest = latest_per_key(clean, [contract.key], contract.watermark)
-    latest.write.mode("overwrite").parquet(f"{staged}/latest")
-    latest = spark.read.schema(latest.schema).parquet(f"{staged}/latest")
-
-    promoted = latest.count()
-    counts = tag_counts(tagged, contract.rules).withColumn("promoted", F.lit(promoted).cast("long"))
-    metrics = as_json(quality_metrics(counts, table, run_id))
-    payload = json.loads(metrics.first()[0])
-    _keep_metrics(spark, payload, warehouse)
-    if payload["metrics"]["quarantined_records_isolated"] > 0:
-        quarantined.write.mode("overwrite").parquet(warehouse.quarantine(table, run_id))
-    if payload["execution_status"] == FAILED_TOLERANCE:
-        share = payload["metrics"]["data_health_yield_percentage"]
-        raise YieldBelowTolerance(f"{table}: only {share} % of run {run_id} was promoted")
-
-    root = warehouse.silver(table)
-    state = snapshots.read_current(spark, root)
-    merged = merge_into_state(state, latest, [contract.key], contract.watermark)
-    version = snapshots.replace(merged, root)
-    ledger.append(
-        spark, warehouse.ledger, run_id, table, ledger.PROMOTED, promoted,
-        time.monotonic() - started,
-    )
-    return Promotion(table, PUBLISHED, version, payload)
-
-
-def _keep_metrics(spark: SparkSession, payload: dict, warehouse: Warehouse) -> None:
-    """Appends the payload, one small document per table and run."""
-    text = json.dumps(payload)
-    spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("append").text(
-        warehouse.metrics
-    )
+    payload: dict = {}
+    try:
+        if raw.isEmpty():
+            return Promotion(table, EMPTY_BATCH)
+        require_columns(raw, contract.required_columns, table)
+        staged = warehouse.staged(table, run_id)
+        tagged = tag_failures(cast_to_schema(raw, contract.schema, trim=trim), contract.rules)
+        if fmt != "parquet":
+            # Text is parsed once; a Parquet batch is cheaper to scan again.
+            tagged = _written(tagged, f"{staged}/tagged", [VALID])
+        clean, quarantined = route(tagged, contract.rules)
+        latest = _written(
+            latest_per_key(clean, [contract.key], contract.watermark), f"{staged}/latest"
+        )
+        counts = tag_counts(tagged, contract.rules).withColumn(
+            "promoted", F.lit(latest.count()).cast("long")
+        )
+        payload = json.loads(as_json(quality_metrics(counts, table, run_id)).first()[0])
+        if payload["metrics"]["quarantined_records_isolated"] > 0:
+            quarantined.write.mode("overwrite").parquet(warehouse.quarantine(table, run_id))
+        if payload["execution_status"] == FAILED_TOLERANCE:
+            share = payload["metrics"]["data_health_yield_percentage"]
+            raise YieldBelowTolerance(f"{table}: only {share} % of run {run_id} was promoted")
+        root = warehouse.silver(table)
+        merged = merge_into_state(
+            snapshots.read_current(spark, root), latest, [contract.key], contract.watermark
+        )
+        version = snapshots.replace(merged, root)
+    except Exception as problem:
+        return Promotion(table, FAILED, metrics=payload, problem=problem)
+    return Promotion(table, PUBLISHED, version, payload, time.monotonic() - started)
+
+
+def _written(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _keep_metrics(spark: SparkSession, payloads: list[dict], warehouse: Warehouse) -> None:
+    """Appends one small document per table and run."""
+    if payloads:
+        documents = F.array(*[F.lit(json.dumps(p)) for p in payloads])
+        lines = spark.range(1, numPartitions=1).select(F.explode(documents).alias("value"))
+        lines.write.mode("append").text(warehouse.metrics)
 
 
 def pending_runs(spark: SparkSession, warehouse: Warehouse) -> DataFrame | None:
     """Batches that were extracted but not promoted yet."""
     entries = ledger.read(spark, warehouse.ledger)
     return None if entries is None else ledger.pending(entries)
+
+
+def promote_pending(
+    spark: SparkSession,
+    contracts: Sequence[TableContract],
+    warehouse: Warehouse,
+    fmt: str = "parquet",
+) -> dict[str, list[Promotion]]:
+    """Promotes what earlier runs left behind, each run from its own folder.
+
+    Returns the promotions by run. The pending list has one row per run and
+    table, not per record.
+    """
+    waiting = pending_runs(spark, warehouse)
+    runs: dict[str, set[str]] = {}
+    for row in waiting.collect() if waiting is not None else []:
+        runs.setdefault(row["run_id"], set()).add(row["table_name"])
+    return {
+        run_id: promote_tables(
+            spark, [c for c in contracts if c.name in tables], warehouse, run_id, fmt
+        )
+        for run_id, tables in sorted(runs.items())
+    }

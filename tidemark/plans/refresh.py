@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.contracts import TableContract
-from tidemark.plans.extract import Extraction, extract_table
+from tidemark.plans.extract import Extraction, RawFormat, extract_tables
 from tidemark.plans.gold import GoldBuild, build_gold
 from tidemark.plans.layout import Warehouse
-from tidemark.plans.promote import Promotion, promote_table
+from tidemark.plans.promote import Promotion, promote_tables
 
 
 @dataclass(frozen=True)
@@ -27,13 +27,11 @@ def load(
     contracts: Sequence[TableContract],
     warehouse: Warehouse,
     run_id: str,
-    fmt: str = "parquet",
+    raw: RawFormat = RawFormat(),
 ) -> tuple[list[Extraction], list[Promotion]]:
     """Extracts every table, then promotes every table."""
-    extractions = [
-        extract_table(sources[c.name], c, warehouse, run_id, fmt) for c in contracts
-    ]
-    promotions = [promote_table(spark, c, warehouse, run_id, fmt) for c in contracts]
+    extractions = extract_tables(spark, sources, contracts, warehouse, run_id, raw)
+    promotions = promote_tables(spark, contracts, warehouse, run_id, raw.name)
     return extractions, promotions
 
 
@@ -43,10 +41,10 @@ def refresh(
     contracts: tuple[TableContract, TableContract, TableContract],
     warehouse: Warehouse,
     run_id: str,
-    fmt: str = "parquet",
+    raw: RawFormat = RawFormat(),
 ) -> Refresh:
     """Runs the three stages in order; ``contracts`` are products, customers
     and orders, and ``sources`` holds a table for each by its name."""
-    extractions, promotions = load(spark, sources, contracts, warehouse, run_id, fmt)
+    extractions, promotions = load(spark, sources, contracts, warehouse, run_id, raw)
     gold = build_gold(spark, warehouse, run_id, names=tuple(c.name for c in contracts))
     return Refresh(extractions, promotions, gold)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -25,17 +27,29 @@ LEDGER_SCHEMA = StructType(
 
 
 def append(
-    spark: SparkSession, path: str, run_id: str, table: str, stage: str, rows: int, seconds: float
+    spark: SparkSession,
+    path: str,
+    run_id: str,
+    stage: str,
+    entries: Sequence[tuple[str, int, float]],
 ) -> None:
-    entry = spark.range(1).select(
-        F.lit(run_id).alias("run_id"),
-        F.lit(table).alias("table_name"),
-        F.lit(stage).alias("stage"),
-        F.lit(rows).cast("long").alias("row_count"),
-        F.lit(float(seconds)).alias("duration_seconds"),
-        F.current_timestamp().cast("string").alias("logged_at"),
+    """Adds the (table, rows, seconds) of one stage of a run."""
+    if not entries:
+        return
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(run_id).alias("run_id"),
+                F.lit(table).alias("table_name"),
+                F.lit(stage).alias("stage"),
+                F.lit(count).cast("long").alias("row_count"),
+                F.lit(float(seconds)).alias("duration_seconds"),
+                F.current_timestamp().cast("string").alias("logged_at"),
+            )
+            for table, count, seconds in entries
+        ]
     )
-    entry.coalesce(1).write.mode("append").parquet(path)
+    spark.range(1, numPartitions=1).select(F.inline(rows)).write.mode("append").parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame | None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,16 +30,13 @@ def failed(message: str) -> str:
     return f"FAILED: {message}"
 
 
-def state_entry(
-    spark: SparkSession, pipeline: str, table: str, watermark: int, status: str, run_id: str
-) -> DataFrame:
-    return spark.range(1).select(
-        F.lit(pipeline).alias("pipeline_name"),
-        F.lit(table).alias("source_table"),
-        F.timestamp_micros(F.lit(watermark)).alias("last_success_watermark"),
-        F.lit(status).alias("last_run_status"),
-        F.lit(run_id).alias("pipeline_run_id"),
-    )
+class LastRun(NamedTuple):
+    watermark: int
+    status: str | None = None
+    run_id: str | None = None
+
+
+NEVER_RUN = LastRun(EPOCH)
 
 
 def entries_of(state: DataFrame, pipeline: str, table: str) -> DataFrame:
@@ -51,35 +49,43 @@ def find_watermark(state: DataFrame, pipeline: str, table: str) -> DataFrame:
     return entries_of(state, pipeline, table).agg(F.coalesce(F.max("last_success_watermark"), start).alias("low_watermark"))
 
 
-class LastRun(NamedTuple):
-    watermark: int
-    status: str | None = None
-    run_id: str | None = None
-
-
-def last_run(spark: SparkSession, root: str, pipeline: str, table: str) -> LastRun:
-    """The stored entry of a table; without one its history starts in 1970."""
+def last_runs(spark: SparkSession, root: str, pipeline: str) -> dict[str, LastRun]:
+    """The stored entries of a pipeline, one per source table."""
     state = snapshots.read_current(spark, root, STATE_SCHEMA)
     if state is None:
-        return LastRun(EPOCH)
-    entry = (
-        entries_of(state, pipeline, table)
-        .select(micros(F.col("last_success_watermark")), "last_run_status", "pipeline_run_id")
-        .first()
+        return {}
+    entries = state.filter(F.col("pipeline_name") == pipeline).select(
+        "source_table",
+        micros(F.col("last_success_watermark")),
+        "last_run_status",
+        "pipeline_run_id",
     )
-    return LastRun(*entry) if entry else LastRun(EPOCH)
+    return {table: LastRun(*entry) for table, *entry in entries.collect()}
 
 
 def record(
     spark: SparkSession,
     root: str,
     pipeline: str,
-    table: str,
-    watermark: int,
-    status: str,
     run_id: str,
+    entries: Sequence[tuple[str, int, str]],
 ) -> None:
-    entry = state_entry(spark, pipeline, table, watermark, status, run_id)
+    """Replaces the entries of the given (table, watermark, status)."""
+    if not entries:
+        return
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(pipeline).alias("pipeline_name"),
+                F.lit(table).alias("source_table"),
+                F.timestamp_micros(F.lit(watermark)).alias("last_success_watermark"),
+                F.lit(status).alias("last_run_status"),
+                F.lit(run_id).alias("pipeline_run_id"),
+            )
+            for table, watermark, status in entries
+        ]
+    )
+    incoming = spark.range(1, numPartitions=1).select(F.inline(rows))
     current = snapshots.read_current(spark, root, STATE_SCHEMA)
     # One row per table: a single file is the right size for it.
-    snapshots.replace(upsert_by_key(current, entry, STATE_KEYS).coalesce(1), root)
+    snapshots.replace(upsert_by_key(current, incoming, STATE_KEYS).coalesce(1), root)
