@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import extract, numbering
+from tidemark.operators.ordering import in_order
 from tidemark.sources import bronze
 
 SCHEMA = "id int, name string, ts timestamp"
@@ -67,11 +68,19 @@ def test_numbers_are_dense_and_ordered(spark):
     assert all(r.n == r.k + 5 for r in got.collect()) and got.count() == 997
 
 
-def test_a_shared_timestamp_is_still_spread(spark):
+@pytest.fixture
+def no_coalescing(spark):
+    """Small test partitions stay apart as large ones would."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_shared_timestamp_is_still_spread(spark, no_coalescing):
     df = spark.range(5000).select(F.lit(1).alias("ts"), F.col("id"))
-    ordered = bronze.in_order(df, ["ts", "id"])
+    ordered = in_order(df, ["ts", "id"])
     sizes = [r["count"] for r in ordered.groupBy(F.spark_partition_id()).count().collect()]
-    assert max(sizes) < 5000 or len(sizes) == 1
+    assert max(sizes) < 2500
     placed = ordered.withColumn("p", F.spark_partition_id()).groupBy("p").agg(
         F.min("id").alias("low"), F.max("id").alias("high")
     )
@@ -79,6 +88,16 @@ def test_a_shared_timestamp_is_still_spread(spark):
     assert all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
 
 
+def test_exact_copies_are_spread_and_still_numbered(spark, no_coalescing):
+    df = spark.range(4000, numPartitions=16).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
+    sizes = [
+        r["count"] for r in in_order(df, ["k"]).groupBy(F.spark_partition_id()).count().collect()
+    ]
+    assert sum(sizes) == 4000 and max(sizes) < 2000
+    numbers = [r.n for r in numbering.number_rows(df, ["k"], "n").collect()]
+    assert sorted(numbers) == list(range(1, 4001))
+
+
 def test_chunks(spark):
     df = spark.range(25).withColumnRenamed("id", "k")
     chunks = numbering.assign_chunks(df, ["k"], 10)
@@ -118,7 +137,7 @@ AWKWARD = [
 def test_raw_batches_come_back_unchanged(spark, root, fmt):
     df = frame(spark, *AWKWARD)
     path = bronze.run_path(root, "t", "r1")
-    bronze.write_run(df, path, fmt, order_by=["ts", "id"])
+    assert bronze.write_run(df, path, fmt, order_by=["ts", "id"]) == len(AWKWARD)
     raw = bronze.read_run(spark, path, fmt)
     back = raw.select(
         F.col("id").cast("int"), "name", F.col("ts").cast("timestamp")
@@ -137,7 +156,8 @@ def test_empty_text_is_null_in_csv(spark, root):
 def test_files_are_chunked_and_runs_isolated(spark, root):
     df = spark.range(95).coalesce(1).selectExpr("id", "id AS ts")
     bronze.write_run(df, bronze.run_path(root, "t", "a"), "csv", rows_per_file=10)
-    bronze.write_run(df.limit(3), bronze.run_path(root, "t", "b"), "csv")
+    assert bronze.write_run(df.limit(3), bronze.run_path(root, "t", "b"), "csv") == 3
+    assert bronze.write_run(df.limit(0), bronze.run_path(root, "t", "none")) == 0
     a = bronze.read_run(spark, bronze.run_path(root, "t", "a"), "csv")
     assert len(a.inputFiles()) == 10 and a.count() == 95
     assert bronze.read_run(spark, bronze.run_path(root, "t", "b"), "csv").count() == 3

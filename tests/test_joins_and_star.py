@@ -116,8 +116,9 @@ def test_salted_join_equals_plain_join(spark):
     )
 
 
-def test_a_hot_key_is_spread_over_tasks(spark):
-    df = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").alias("row"))
+@pytest.mark.parametrize("row", [F.col, lambda _: F.lit(0)], ids=["rows", "copies"])
+def test_a_hot_key_is_spread_over_tasks(spark, row):
+    df = spark.range(4000, numPartitions=32).select(F.lit(1).alias("k"), row("id").alias("row"))
     dim = spark.createDataFrame([(1, "a")], "k int, name string").hint("merge")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:

@@ -38,22 +38,24 @@ def salted_left_join(
 ) -> DataFrame:
     """Left equi-join in which each hot key is divided over ``salts`` tasks.
 
-    Rows of a hot key get a salt from a hash of ``spread_by`` (the row's own
-    key), and the matching dimension rows are repeated once per salt. Rows
-    without a key match nothing and are spread as well. Each row meets each of
-    its dimension rows exactly once, as in the plain join.
+    Rows of a hot key get a salt, and the matching dimension rows are repeated
+    once per salt, so each row meets each of its dimension rows exactly once,
+    as in the plain join. Rows without a key match nothing and are spread too.
+
+    The salt is a hash of ``spread_by``, such as the row's own key, and of the
+    task the row comes from, which also spreads exact copies and stays the same
+    when a lost task is run again.
     """
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    spread = F.pmod(F.xxhash64(*spread_by, F.spark_partition_id()), F.lit(salts)).cast("int")
+    cold = F.lit(0)
+    is_spread = F.col(key).isNull()
+    right = dim.withColumn(_SALT, cold)
     if hot:
         is_hot = F.col(key).isin(list(hot))
-        copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-            F.array(F.lit(0))
-        )
-    else:
-        is_hot = F.lit(False)
-        copies = F.array(F.lit(0))
-    left = df.withColumn(_SALT, F.when(F.col(key).isNull() | is_hot, spread).otherwise(F.lit(0)))
-    right = dim.withColumn(_SALT, F.explode(copies))
+        is_spread = is_spread | is_hot
+        every = F.sequence(F.lit(0), F.lit(salts - 1))
+        right = dim.withColumn(_SALT, F.explode(F.when(is_hot, every).otherwise(F.array(cold))))
+    left = df.withColumn(_SALT, F.when(is_spread, spread).otherwise(cold))
     return left.join(right, [key, _SALT], "left").drop(_SALT)
 
 

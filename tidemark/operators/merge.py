@@ -130,7 +130,7 @@ def insert_if_absent(
     ``order_by`` ranks batch rows that share a key: the first one is inserted.
     """
     first = first_per_key(batch, keys, order_by)
-    new = first.join(_present_keys(existing, first, keys), list(keys), "left_anti")
+    new = first.join(_present_keys(existing, batch, keys), list(keys), "left_anti")
     return existing.unionByName(new.select(*batch.columns))
 
 

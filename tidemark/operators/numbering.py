@@ -8,6 +8,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordering import in_order
 from tidemark.sources.storage import materialise
 
 _PART = "_part"
@@ -26,7 +27,7 @@ def number_rows(
     written out in between, because a second range partitioning of the same
     plan may sample other bounds.
     """
-    placed = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    placed = in_order(df, order_by)
     # The low 33 bits of the id are the row's position in its partition.
     position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     fixed = materialise(

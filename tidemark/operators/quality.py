@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.rules import ERRORS, VALID, error_column, tag_failures
+from tidemark.functions.rules import ERRORS, VALID, any_failure, error_column, tag_failures
 
 # The gate, the two statuses and the metric names of the payload.
 MINIMUM_YIELD = 90.0
@@ -52,7 +54,10 @@ def route(tagged: DataFrame, rules: Mapping[str, str]) -> Routed:
 
 
 def split_by_rules(df: DataFrame, rules: Mapping[str, str]) -> Routed:
-    return route(tag_failures(df, rules), rules)
+    """The two sides of an untagged table. The rejected side filters by the bare
+    predicates, which can reach the scan, and only its rows are tagged."""
+    bad = reduce(or_, [F.expr(p) for p in rules.values()], F.lit(False))
+    return Routed(df.filter(~any_failure(rules)), tag_failures(df.filter(bad), rules).drop(VALID))
 
 
 def failures_by_rule(quarantined: DataFrame, rules: Mapping[str, str]) -> DataFrame:

@@ -87,7 +87,7 @@ def _extract(
     last: state.LastRun,
 ) -> Extraction:
     started = time.monotonic()
-    spark, table, ts, low = source.sparkSession, contract.name, contract.watermark, last.watermark
+    table, ts, low = contract.name, contract.watermark, last.watermark
     if last.status == state.SUCCESS and last.run_id == run_id:
         return Extraction(table, ALREADY_DONE, low)
     try:
@@ -99,8 +99,7 @@ def _extract(
         path = bronze.run_path(warehouse.root, table, run_id)
         batch = extract_window(source, ts, low, high)
         order = [ts, contract.key] if raw.ordered else None
-        bronze.write_run(batch, path, raw.name, raw.rows_per_file, order)
-        rows = bronze.read_run(spark, path, raw.name).count()
+        rows = bronze.write_run(batch, path, raw.name, raw.rows_per_file, order)
     except Exception as problem:
         return Extraction(table, state.failed(str(problem)), low, problem=problem)
     return Extraction(table, state.SUCCESS, low, high, rows, time.monotonic() - started)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import TableContract
 from tidemark.functions.casting import cast_to_schema
-from tidemark.functions.rules import VALID, tag_failures
+from tidemark.functions.rules import tag_failures
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import merge_into_state
 from tidemark.operators.quality import (
@@ -101,7 +101,7 @@ def _promote(
         tagged = tag_failures(cast_to_schema(raw, contract.schema, trim=trim), contract.rules)
         if fmt != "parquet":
             # Text is parsed once; a Parquet batch is cheaper to scan again.
-            tagged = _written(tagged, f"{staged}/tagged", [VALID])
+            tagged = _written(tagged, f"{staged}/tagged")
         clean, quarantined = route(tagged, contract.rules)
         latest = _written(
             latest_per_key(clean, [contract.key], contract.watermark), f"{staged}/latest"
@@ -125,8 +125,8 @@ def _promote(
     return Promotion(table, PUBLISHED, version, payload, time.monotonic() - started)
 
 
-def _written(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

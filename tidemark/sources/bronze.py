@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.operators.ordering import in_order
 from tidemark.sources import storage
 
 DEFAULT_ROWS_PER_FILE = 1_000_000
@@ -32,35 +34,31 @@ def run_path(root: str, table: str, run_id: str) -> str:
     return f"{root}/bronze/{table}/run_{run_id}"
 
 
-def in_order(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """Global order over the output files without a single-task sort.
-
-    ``order_by`` should end in the key: range bounds then also split a
-    timestamp that very many rows share.
-    """
-    return df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-
-
 def write_run(
     df: DataFrame,
     path: str,
     fmt: str = "parquet",
     rows_per_file: int = DEFAULT_ROWS_PER_FILE,
     order_by: Sequence[str] | None = None,
-) -> None:
-    """Writes one run's batch in files of at most ``rows_per_file`` rows.
+) -> int:
+    """Writes one run's batch in files of at most ``rows_per_file`` rows and
+    returns the number of rows.
 
     Without ``order_by`` the write has no shuffle at all. A repeated run
-    replaces its own folder.
+    replaces its own folder. The rows are counted on their way into the files,
+    above any shuffle, where Spark counts a re-run task only once.
     """
     batch = in_order(df, order_by) if order_by else df
-    writer = batch.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+    written = Observation()
+    observed = batch.observe(written, F.count(F.lit(1)).alias("rows"))
+    writer = observed.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
     if fmt == "csv":
         writer.options(**_CSV_OPTIONS).csv(path)
     elif fmt == "parquet":
         writer.parquet(path)
     else:
         raise ValueError(f"unknown raw format: {fmt}")
+    return written.get["rows"]
 
 
 def read_run(
