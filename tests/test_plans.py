@@ -227,15 +227,29 @@ def test_missing_column_stops_the_run(spark, warehouse):
 def test_audit_stops_gold_before_it_is_visible(spark, warehouse):
     one = sources(spark, [(1, "1.00", 1)], [(1, 1)], [(1, 1, 1, 1, 1)])
     refresh(spark, one, ECOMMERCE, warehouse, "a")
-    before = snapshots.current_version(spark, warehouse.gold(gold.FACT))
+    assert gold.build_gold(spark, warehouse, "a2").status == gold.UNCHANGED
+    before = snapshots.current_version(spark, warehouse.gold)
     doubled = silver(spark, warehouse, PRODUCTS)
     snapshots.replace(doubled.unionAll(doubled), warehouse.silver(PRODUCTS.name))
     with pytest.raises(ReconciliationError):
         gold.build_gold(spark, warehouse, "b")
-    assert snapshots.current_version(spark, warehouse.gold(gold.FACT)) == before
+    assert snapshots.current_version(spark, warehouse.gold) == before
     assert gold.read_gold(spark, warehouse, gold.FACT).count() == 1
 
 
+def test_key_checks_of_the_fact(spark, warehouse):
+    data = sources(spark, [(1, "1.00", 1)], [(1, 1)], [(1, 1, 1, 1, 1), (2, 1, 1, 1, 1)])
+    refresh(spark, data, ECOMMERCE, warehouse, "a")
+    table = warehouse.silver(ORDERS.name)
+    good = silver(spark, warehouse, ORDERS)
+    for broken in (good.unionAll(good), good.withColumn("order_id", F.lit(None).cast("int"))):
+        snapshots.replace(broken, table)
+        with pytest.raises(ReconciliationError):
+            gold.build_gold(spark, warehouse, "b", check_keys=True)
+    snapshots.replace(good, table)
+    assert gold.build_gold(spark, warehouse, "c", check_keys=True).status == gold.PUBLISHED
+
+
 def test_fact_is_partitioned_and_pruned(spark, warehouse):
     rows = [(i, 1, 1, 1, 1) for i in range(1, 4)]
     data = sources(spark, [(1, "1.00", 1)], [(1, 1)], rows)

@@ -43,3 +43,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def require_unique(df: DataFrame, keys: Sequence[str], table: str) -> None:
     if not duplicate_keys(df, keys).isEmpty():
         raise ReconciliationError(f"{table} repeats a key of {list(keys)}")
+
+
+def require_keys(df: DataFrame, keys: Sequence[str], table: str) -> None:
+    """Fails on a missing or a repeated key."""
+    missing = null_keys(df, keys).first()
+    if any(missing):
+        raise ReconciliationError(f"{table} has missing keys: {missing.asDict()}")
+    require_unique(df, keys, table)

@@ -3,29 +3,32 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.contracts import CUSTOMERS, ORDERS, PRODUCTS
 from tidemark.operators import star
-from tidemark.operators.audit import require_balance
+from tidemark.operators.audit import require_balance, require_keys
 from tidemark.operators.sizing import BROADCAST_LIMIT
 from tidemark.plans.concurrent import side_by_side
 from tidemark.plans.layout import Warehouse
 from tidemark.sources import ledger, snapshots
 
 SKIPPED = "skipped: a current-state table is missing"
+UNCHANGED = "skipped: no current-state table has changed"
 PUBLISHED = "published"
 FACT = "fact_orders"
 DAILY_SALES = "aggregations/daily_category_sales"
+INPUTS = "built_from"
 
 
 @dataclass(frozen=True)
 class GoldBuild:
     status: str
     rows: int = 0
-    versions: dict[str, int] = field(default_factory=dict)
+    version: int | None = None
 
 
 def build_gold(
@@ -34,25 +37,35 @@ def build_gold(
     run_id: str,
     broadcast_limit: int = BROADCAST_LIMIT,
     names: tuple[str, str, str] = (PRODUCTS.name, CUSTOMERS.name, ORDERS.name),
+    check_keys: bool = False,
 ) -> GoldBuild:
-    """Builds dimensions, fact and daily sales, publishing all or nothing.
+    """Builds dimensions, fact and daily sales, published together or not at all.
 
     The joins run once: the fact is written as a draft, audited from the files'
-    own row counts, and the daily figures are aggregated from it. Drafts become
-    visible only after the audit has passed.
+    own row counts, and the daily figures are aggregated from it. The version
+    becomes visible only after the audit has passed. Nothing is built again
+    while the tables it was built from have the same versions.
+
+    ``check_keys`` also looks for missing and repeated order keys in the fact.
+    The row balance implies them for tables this library published, and the
+    check shuffles every key.
     """
     started = time.monotonic()
-    silver = [snapshots.read_current(spark, warehouse.silver(name)) for name in names]
-    if any(table is None for table in silver):
+    inputs = {name: snapshots.current_version(spark, warehouse.silver(name)) for name in names}
+    if None in inputs.values():
         return GoldBuild(SKIPPED)
-    products, customers, orders = silver
-
-    drafts: dict[str, int] = {}
+    if inputs == _built_from(spark, warehouse):
+        return GoldBuild(UNCHANGED)
+    products, customers, orders = [
+        snapshots.read_version(spark, warehouse.silver(name), inputs[name]) for name in names
+    ]
+    version = snapshots.next_version(spark, warehouse.gold)
+    folder = snapshots.version_path(warehouse.gold, version)
 
     def draft(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        root = warehouse.gold(name)
-        drafts[name] = snapshots.write_draft(df, root, partition_by)
-        return snapshots.read_version(spark, root, drafts[name], df.schema)
+        path = f"{folder}/{name}"
+        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     dims = {
         "dim_products": star.product_dimension(products),
@@ -63,14 +76,33 @@ def build_gold(
     fact = draft(star.by_day(fact), FACT, ("order_date",))
     rows = fact.count()
     require_balance(orders.count(), rows)
+    if check_keys:
+        require_keys(fact, ["order_id"], FACT)
     draft(star.daily_category_sales(fact), DAILY_SALES)
-
-    for name, version in drafts.items():
-        snapshots.publish(spark, warehouse.gold(name), version)
+    draft(_versions_frame(spark, inputs), INPUTS)
+    snapshots.publish(spark, warehouse.gold, version)
     seconds = time.monotonic() - started
     ledger.append(spark, warehouse.ledger, run_id, ledger.GOLD, [(FACT, rows, seconds)])
-    return GoldBuild(PUBLISHED, rows, drafts)
+    return GoldBuild(PUBLISHED, rows, version)
+
+
+def _built_from(spark: SparkSession, warehouse: Warehouse) -> dict[str, int]:
+    """Versions of the tables the published star schema was built from."""
+    stored = read_gold(spark, warehouse, INPUTS)
+    return {} if stored is None else {r["table_name"]: r["version"] for r in stored.collect()}
+
+
+def _versions_frame(spark: SparkSession, versions: dict[str, int]) -> DataFrame:
+    rows = [
+        F.struct(F.lit(name).alias("table_name"), F.lit(version).alias("version"))
+        for name, version in versions.items()
+    ]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
 
 
 def read_gold(spark: SparkSession, warehouse: Warehouse, name: str) -> DataFrame | None:
-    return snapshots.read_current(spark, warehouse.gold(name))
+    """A table of the published star schema, or None when there is none yet."""
+    version = snapshots.current_version(spark, warehouse.gold)
+    if version is None:
+        return None
+    return spark.read.parquet(f"{snapshots.version_path(warehouse.gold, version)}/{name}")

@@ -31,5 +31,6 @@ class Warehouse:
     def silver(self, table: str) -> str:
         return f"{self.root}/silver/{table}"
 
-    def gold(self, table: str) -> str:
-        return f"{self.root}/gold/{table}"
+    @property
+    def gold(self) -> str:
+        return f"{self.root}/gold"

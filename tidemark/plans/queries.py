@@ -586,12 +586,12 @@ def pending_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- whole runs ------------------------------------------------------------
 
 
-def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _sources(spark: SparkSession, sf_dir: str, orders: DataFrame) -> dict[str, DataFrame]:
     """The source tables after orders completed by the mark were touched again
     on the day after it."""
     mark = _ntz(SHIP_MARK)
     touched = (F.col("o_orderstatus") == "F") & (F.col("updated_at") <= mark)
-    orders = shop.orders(spark, sf_dir).withColumn(
+    orders = orders.withColumn(
         "updated_at",
         F.when(touched, mark + F.expr("INTERVAL 1 DAY")).otherwise(F.col("updated_at")),
     )
@@ -607,12 +607,10 @@ def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def medallion_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first load of the current state, then a whole run on the grown source."""
     warehouse = Warehouse(scratch_path(spark, "warehouse"))
-    later = _sources(spark, sf_dir)
-    first_orders = shop.orders(spark, sf_dir).drop("o_orderstatus")
-    earlier = {
-        **later,
-        "source_orders": first_orders.filter(F.col("updated_at") <= _ntz(SHIP_MARK)),
-    }
+    orders = materialise(shop.orders(spark, sf_dir), "source-orders")
+    later = _sources(spark, sf_dir, orders)
+    first = orders.drop("o_orderstatus").filter(F.col("updated_at") <= _ntz(SHIP_MARK))
+    earlier = {**later, "source_orders": first}
     load(spark, earlier, shop.SHOP, warehouse, "r1")
     refresh(spark, later, shop.SHOP, warehouse, "r2")
     return _revenue(read_gold(spark, warehouse, DAILY_SALES))

@@ -3,7 +3,8 @@
 Each write goes to its own ``v=<n>`` folder and becomes visible only once its
 marker file exists. Readers take the highest published version, so nothing is
 ever overwritten while it is being read, and a failed or rejected write leaves
-the previous version current.
+the previous version current. A version may also hold several tables that are
+published together.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ _MARKER = "_PUBLISHED"
 _PREFIX = "v="
 
 
-def _version_path(root: str, version: int) -> str:
+def version_path(root: str, version: int) -> str:
     return f"{root}/{_PREFIX}{version}"
 
 
@@ -30,16 +31,21 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
 
 def current_version(spark: SparkSession, root: str) -> int | None:
     for version in reversed(_versions(spark, root)):
-        if storage.exists(spark, f"{_version_path(root, version)}/{_MARKER}"):
+        if storage.exists(spark, f"{version_path(root, version)}/{_MARKER}"):
             return version
     return None
 
 
+def next_version(spark: SparkSession, root: str) -> int:
+    """One more than any version there is, published or not."""
+    return max(_versions(spark, root), default=0) + 1
+
+
 def read_version(
     spark: SparkSession, root: str, version: int, schema: StructType | None = None
 ) -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(_version_path(root, version))
+    return reader.parquet(version_path(root, version))
 
 
 def read_current(
@@ -52,17 +58,16 @@ def read_current(
 
 def write_draft(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
     """Writes a new version without publishing it."""
-    known = _versions(df.sparkSession, root)
-    version = (known[-1] if known else 0) + 1
+    version = next_version(df.sparkSession, root)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(_version_path(root, version))
+    writer.parquet(version_path(root, version))
     return version
 
 
 def publish(spark: SparkSession, root: str, version: int) -> None:
-    if not storage.create_marker(spark, f"{_version_path(root, version)}/{_MARKER}"):
+    if not storage.create_marker(spark, f"{version_path(root, version)}/{_MARKER}"):
         raise RuntimeError(f"version {version} of {root} is already published")
 
 
@@ -81,12 +86,12 @@ def retire(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
         raise ValueError("the current version has to stay")
     versions = _versions(spark, root)
     published = [
-        v for v in versions if storage.exists(spark, f"{_version_path(root, v)}/{_MARKER}")
+        v for v in versions if storage.exists(spark, f"{version_path(root, v)}/{_MARKER}")
     ]
     if not published:
         return []
     kept = set(published[-keep:])
     old = [v for v in versions if v not in kept and v < published[-1]]
     for version in old:
-        storage.remove(spark, _version_path(root, version))
+        storage.remove(spark, version_path(root, version))
     return old
