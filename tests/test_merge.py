@@ -53,7 +53,9 @@ def test_hot_keys_shrink_before_the_shuffle(spark):
     assert "WindowGroupLimit" in below_exchange and "Partial" in below_exchange
 
 
-STATE = [(1, "old", 5), (2, "old", 5), (3, "old", 5), (4, "old", None), (5, "old", 1), (7, "old", 9)]
+STATE = [
+    (1, "old", 5), (2, "old", 5), (3, "old", 5), (4, "old", None), (5, "old", 1), (7, "old", 9),
+]
 BATCH = [
     (1, "new", 6), (2, "new", 5), (3, "new", 4), (4, "new", None), (5, "new", None), (6, "new", 1),
 ]
@@ -95,7 +97,8 @@ def test_random_merges_agree_and_do_not_depend_on_their_order(spark, name):
     rng = random.Random(7)
     batches = []
     for b in range(3):
-        rows = [(k, f"b{b}", rng.choice([None, *range(12)])) for k in range(20) if rng.random() < 0.6]
+        keys = [k for k in range(20) if rng.random() < 0.6]
+        rows = [(k, f"b{b}", rng.choice([None, *range(12)])) for k in keys]
         batches.append(rows)
     flat = [row for rows in batches for row in rows]
     best = {}

@@ -265,7 +265,8 @@ def test_fact_is_partitioned_and_pruned(spark, warehouse):
 
 
 def test_missing_date_goes_to_the_default_partition(spark, root):
-    df = spark.createDataFrame([(1, None), (2, datetime.date(2026, 1, 1))], "id int, order_date date")
+    rows = [(1, None), (2, datetime.date(2026, 1, 1))]
+    df = spark.createDataFrame(rows, "id int, order_date date")
     snapshots.replace(df, root + "/t", ["order_date"])
     assert "order_date=__HIVE_DEFAULT_PARTITION__" in storage.child_folders(spark, root + "/t/v=1")
     back = snapshots.read_current(spark, root + "/t", df.schema)
@@ -291,7 +292,7 @@ def test_snapshots(spark, root):
     assert snapshots.read_current(spark, table).count() == 1
     snapshots.publish(spark, table, draft)
     assert snapshots.read_current(spark, table).count() == 2
-    with pytest.raises(RuntimeError):
+    with pytest.raises(snapshots.ConcurrentWriteError):
         snapshots.publish(spark, table, draft)
     # A table can be rebuilt from itself.
     mine = snapshots.read_current(spark, table)
@@ -304,6 +305,17 @@ def test_snapshots(spark, root):
     assert snapshots.retire(spark, root + "/none") == []
 
 
+def test_a_draft_that_would_undo_another_jobs_work_is_refused(spark, root):
+    snapshots.replace(spark.range(1), root, based_on=0)
+    late = snapshots.write_draft(spark.range(2), root)
+    snapshots.replace(spark.range(3), root, based_on=1)
+    with pytest.raises(snapshots.ConcurrentWriteError):
+        snapshots.publish(spark, root, late)
+    with pytest.raises(snapshots.ConcurrentWriteError):
+        snapshots.replace(spark.range(4), root, based_on=1)
+    assert snapshots.read_current(spark, root).count() == 3
+
+
 def test_watermark_lookup_and_history(spark, root):
     state.record(spark, root, "p", "r1", [("t", 5, state.SUCCESS), ("u", 7, state.SUCCESS)])
     state.record(spark, root, "p", "r2", [("t", 3, state.failed("x"))])
@@ -325,8 +337,10 @@ def test_stream_equals_batch(spark, root):
     for batch in (early, late, late.limit(0)):
         batch.coalesce(1).write.mode("append").parquet(source)
         stream = read_files(spark, source, ORDERS.schema)
-        merge_available(stream, table, "order_id", "updated_at", root + "/log").awaitTermination()
-    got = {r.order_id: (r.quantity, r.updated_at) for r in snapshots.read_current(spark, table).collect()}
+        merge_available(stream, table, ORDERS, root + "/log", keep_versions=1).awaitTermination()
+    rows = snapshots.read_current(spark, table).collect()
+    assert storage.child_folders(spark, table) == ["v=2"]
+    got = {r.order_id: (r.quantity, r.updated_at) for r in rows}
     assert got == {1: (7, at(3)), 2: (1, at(5)), 3: (1, at(1))}
 
 

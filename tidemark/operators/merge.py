@@ -140,7 +140,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
-def upsert_by_key(existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert_by_key(
+    existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str]
+) -> DataFrame:
     """Incoming rows replace existing rows of the same key unconditionally.
 
     ``incoming`` holds each key at most once.

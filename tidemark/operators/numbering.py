@@ -35,7 +35,8 @@ def number_rows(
         "numbered",
     )
     # One size per partition of the range shuffle, however many rows there are.
-    sizes = sorted((r[_PART], r["n"]) for r in fixed.groupBy(_PART).agg(F.count("*").alias("n")).collect())
+    counted = fixed.groupBy(_PART).agg(F.count(F.lit(1)).alias("n"))
+    sizes = sorted((row[_PART], row["n"]) for row in counted.collect())
     starts = accumulate([n for _, n in sizes], initial=start)
     offsets = df.sparkSession.createDataFrame(
         [(part, first) for (part, _), first in zip(sizes, starts)],

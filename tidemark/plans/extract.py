@@ -64,7 +64,11 @@ def extract_tables(
     done = side_by_side(extract, contracts)
     moved = [e for e in done if e.status == state.SUCCESS]
     ledger.append(
-        spark, warehouse.ledger, run_id, ledger.EXTRACTED, [(e.table, e.rows, e.seconds) for e in moved]
+        spark,
+        warehouse.ledger,
+        run_id,
+        ledger.EXTRACTED,
+        [(e.table, e.rows, e.seconds) for e in moved],
     )
     state.record(
         spark,

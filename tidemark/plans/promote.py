@@ -55,14 +55,17 @@ def promote_tables(
     run_id: str,
     fmt: str = "parquet",
     trim: bool = False,
+    keep_versions: int | None = None,
 ) -> list[Promotion]:
     """Validates the run's batches and merges them into the current state.
 
     Tables do not wait for each other; failures are raised once all of them
-    have been tried and the metrics of all were kept.
+    have been tried and the metrics of all were kept. ``keep_versions`` removes
+    older versions of a table once the new one is published.
     """
     done = side_by_side(
-        lambda contract: _promote(spark, contract, warehouse, run_id, fmt, trim), contracts
+        lambda contract: _promote(spark, contract, warehouse, run_id, fmt, trim, keep_versions),
+        contracts,
     )
     _keep_metrics(spark, [p.metrics for p in done if p.metrics], warehouse)
     ledger.append(
@@ -83,6 +86,7 @@ def _promote(
     run_id: str,
     fmt: str,
     trim: bool,
+    keep_versions: int | None,
 ) -> Promotion:
     """Metrics are counted from written tables rather than with accumulators,
     which can count a re-run task twice. The yield gate is checked before the
@@ -115,16 +119,26 @@ def _promote(
         if payload["execution_status"] == FAILED_TOLERANCE:
             share = payload["metrics"]["data_health_yield_percentage"]
             raise YieldBelowTolerance(f"{table}: only {share} % of run {run_id} was promoted")
-        root = warehouse.silver(table)
-        merged = merge_into_state(
-            snapshots.read_current(spark, root), latest, [contract.key], contract.watermark
-        )
-        version = snapshots.replace(merged, root)
+        version = merge_and_publish(latest, warehouse.silver(table), contract, keep_versions)
     except Exception as problem:
         return Promotion(table, FAILED, metrics=payload, problem=problem)
     return Promotion(table, PUBLISHED, version, payload, time.monotonic() - started)
 
 
+def merge_and_publish(
+    latest: DataFrame, root: str, contract: TableContract, keep_versions: int | None = None
+) -> int:
+    """Merges a deduplicated batch into the published table at ``root``."""
+    spark = latest.sparkSession
+    current = snapshots.current_version(spark, root)
+    state = None if current is None else snapshots.read_version(spark, root, current)
+    merged = merge_into_state(state, latest, [contract.key], contract.watermark)
+    version = snapshots.replace(merged, root, based_on=current or 0)
+    if keep_versions is not None:
+        snapshots.retire(spark, root, keep_versions)
+    return version
+
+
 def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType, StructField, StructType, TimestampNTZType
 
+from tidemark.contracts import TableContract
 from tidemark.functions.casting import CAST_FAILED, cast_to_schema
 from tidemark.functions.rules import (
     ERRORS,
@@ -45,7 +46,9 @@ LINE_KEYS = ["l_orderkey", "l_linenumber"]
 CUSTOMER_RULES = {
     "null_primary_key": missing("c_custkey"),
     "no_credit": missing_or_not_positive("c_acctbal"),
-    "unknown_segment": outside("c_mktsegment", ("BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD")),
+    "unknown_segment": outside(
+        "c_mktsegment", ("BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD")
+    ),
 }
 PART_RULES = {
     "null_primary_key": missing("p_partkey"),
@@ -407,10 +410,11 @@ def sample_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def streaming_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest event per user, merged by a stream that stops when caught up."""
     schema = table(spark, sf_dir, "events").schema
+    contract = TableContract("events", schema, key="user_id", watermark="ts")
     work = scratch_path(spark, "stream")
     # A pattern, because a stream takes a folder or a pattern but not one file.
     stream = read_files(spark, f"{sf_dir}/events*.parquet", schema)
-    merge_available(stream, f"{work}/table", "user_id", "ts", f"{work}/log").awaitTermination()
+    merge_available(stream, f"{work}/table", contract, f"{work}/log").awaitTermination()
     return snapshots.read_current(spark, f"{work}/table", schema).select(*_event_columns())
 
 
@@ -421,7 +425,9 @@ def _clean_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products that pass validation; lines of the others stay unmatched."""
     rules = {
         "no_price": missing_or_not_positive("price"),
-        "unknown_category": outside("category", ("ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD")),
+        "unknown_category": outside(
+            "category", ("ECONOMY", "LARGE", "MEDIUM", "SMALL", "STANDARD")
+        ),
     }
     return quality.split_by_rules(shop.products(spark, sf_dir), rules).clean
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
@@ -72,9 +72,11 @@ def pending(ledger: DataFrame, done_stage: str = PROMOTED) -> DataFrame:
 def run_summary(ledger: DataFrame) -> DataFrame:
     """Capacity report: rows per stage of each run and table, the difference
     between what was promoted and what went in, and the time taken."""
-    def rows(stage: str):
+    def rows(stage: str) -> Column:
         return F.max(F.when(F.col("stage") == stage, F.col("row_count")))
 
+    missing = F.lit(0)
+    balance = F.coalesce("extracted_rows", missing) - F.coalesce("silver_rows", missing)
     return (
         ledger.groupBy("run_id", "table_name")
         .agg(
@@ -83,8 +85,5 @@ def run_summary(ledger: DataFrame) -> DataFrame:
             rows(GOLD).alias("gold_rows"),
             F.sum("duration_seconds").alias("duration_seconds"),
         )
-        .withColumn(
-            "discrepancy",
-            F.coalesce(F.col("extracted_rows"), F.lit(0)) - F.coalesce(F.col("silver_rows"), F.lit(0)),
-        )
+        .withColumn("discrepancy", balance)
     )

@@ -20,6 +20,10 @@ _MARKER = "_PUBLISHED"
 _PREFIX = "v="
 
 
+class ConcurrentWriteError(RuntimeError):
+    """Another job published the table first."""
+
+
 def version_path(root: str, version: int) -> str:
     return f"{root}/{_PREFIX}{version}"
 
@@ -66,15 +70,26 @@ def write_draft(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> i
     return version
 
 
-def publish(spark: SparkSession, root: str, version: int) -> None:
+def publish(spark: SparkSession, root: str, version: int, based_on: int | None = None) -> None:
+    """Makes a draft the current version.
+
+    Fails if a later version was published meanwhile or, given the version the
+    draft was computed from (0 for none), if that is no longer the current one:
+    the draft would undo what another job has published.
+    """
+    newest = current_version(spark, root) or 0
+    if newest >= version or (based_on is not None and newest != based_on):
+        raise ConcurrentWriteError(f"{root} is at version {newest}; {version} comes too late")
     if not storage.create_marker(spark, f"{version_path(root, version)}/{_MARKER}"):
-        raise RuntimeError(f"version {version} of {root} is already published")
+        raise ConcurrentWriteError(f"version {version} of {root} is already published")
 
 
-def replace(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
+def replace(
+    df: DataFrame, root: str, partition_by: Sequence[str] = (), based_on: int | None = None
+) -> int:
     """Writes and publishes a new version of the whole table."""
     version = write_draft(df, root, partition_by)
-    publish(df.sparkSession, root, version)
+    publish(df.sparkSession, root, version, based_on)
     return version
 
 

@@ -46,7 +46,8 @@ def entries_of(state: DataFrame, pipeline: str, table: str) -> DataFrame:
 def find_watermark(state: DataFrame, pipeline: str, table: str) -> DataFrame:
     """One row: the stored watermark of a table, or 1970-01-01."""
     start = F.timestamp_micros(F.lit(EPOCH))
-    return entries_of(state, pipeline, table).agg(F.coalesce(F.max("last_success_watermark"), start).alias("low_watermark"))
+    latest = F.coalesce(F.max("last_success_watermark"), start)
+    return entries_of(state, pipeline, table).agg(latest.alias("low_watermark"))
 
 
 def last_runs(spark: SparkSession, root: str, pipeline: str) -> dict[str, LastRun]:
@@ -86,6 +87,10 @@ def record(
         ]
     )
     incoming = spark.range(1, numPartitions=1).select(F.inline(rows))
-    current = snapshots.read_current(spark, root, STATE_SCHEMA)
+    version = snapshots.current_version(spark, root)
+    current = None
+    if version is not None:
+        current = snapshots.read_version(spark, root, version, STATE_SCHEMA)
     # One row per table: a single file is the right size for it.
-    snapshots.replace(upsert_by_key(current, incoming, STATE_KEYS).coalesce(1), root)
+    merged = upsert_by_key(current, incoming, STATE_KEYS).coalesce(1)
+    snapshots.replace(merged, root, based_on=version or 0)

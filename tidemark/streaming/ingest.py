@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from tidemark.contracts import TableContract
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.merge import merge_into_state
-from tidemark.sources import snapshots
+from tidemark.plans.promote import merge_and_publish
 from tidemark.sources.storage import materialise
 
 
@@ -22,10 +22,13 @@ def read_files(
     spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", files: int = 1000
 ) -> DataFrame:
     """New files under ``path``, at most ``files`` of them per batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).format(fmt).load(path)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    return reader.format(fmt).load(path)
 
 
-def merge_batch(root: str, key: str, ts: str) -> Callable[[DataFrame, int], None]:
+def merge_batch(
+    root: str, contract: TableContract, keep_versions: int | None = None
+) -> Callable[[DataFrame, int], None]:
     """Merges a micro-batch into the published table at ``root``.
 
     Repeating a batch after a failure leads to the same table, so the
@@ -36,19 +39,24 @@ def merge_batch(root: str, key: str, ts: str) -> Callable[[DataFrame, int], None
         if batch.isEmpty():
             return
         # Written once: sizing and merging would each run the deduplication.
-        latest = materialise(latest_per_key(batch, [key], ts), "stream-batch")
-        state = snapshots.read_current(batch.sparkSession, root)
-        snapshots.replace(merge_into_state(state, latest, [key], ts), root)
+        latest = materialise(
+            latest_per_key(batch, [contract.key], contract.watermark), "stream-batch"
+        )
+        merge_and_publish(latest, root, contract, keep_versions)
 
     return merge
 
 
 def merge_available(
-    stream: DataFrame, root: str, key: str, ts: str, checkpoint: str
+    stream: DataFrame,
+    root: str,
+    contract: TableContract,
+    checkpoint: str,
+    keep_versions: int | None = None,
 ) -> StreamingQuery:
     """Starts a query that merges everything available now and then stops."""
     return (
-        stream.writeStream.foreachBatch(merge_batch(root, key, ts))
+        stream.writeStream.foreachBatch(merge_batch(root, contract, keep_versions))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
