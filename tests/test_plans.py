@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.contracts import CUSTOMERS, ECOMMERCE, ORDERS, PRODUCTS
+from tidemark.operators import star
 from tidemark.operators.audit import ReconciliationError
 from tidemark.operators.quality import MissingColumnsError, YieldBelowTolerance
 from tidemark.plans import extract, gold, promote
@@ -264,6 +265,17 @@ def test_fact_is_partitioned_and_pruned(spark, warehouse):
     assert "PartitionFilters: [isnotnull(order_date" in plan
 
 
+def test_days_of_a_large_fact_can_be_split(spark):
+    df = spark.range(100).select(F.lit("2026-01-01").cast("date").alias("order_date"), "id")
+
+    def plan(rows):
+        return star.by_day(df, rows)._jdf.queryExecution().executedPlan().toString()
+
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(None)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(star.SMALL_FACT + 1)
+    assert "REPARTITION_BY_NUM" in plan(100)
+
+
 def test_missing_date_goes_to_the_default_partition(spark, root):
     rows = [(1, None), (2, datetime.date(2026, 1, 1))]
     df = spark.createDataFrame(rows, "id int, order_date date")

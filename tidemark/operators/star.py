@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.operators.joins import dimension_join
 from tidemark.operators.sizing import BROADCAST_LIMIT, fits
 
+# Rows that a single task can sort and write without spilling much.
+SMALL_FACT = 5_000_000
+
 # Source column -> dimension column.
 PRODUCT_COLUMNS = {
     "product_id": "product_id",
@@ -121,10 +124,16 @@ def sales_between(fact: DataFrame, first_day: str, last_day: str) -> DataFrame:
     return fact.filter(day.between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
 
 
-def by_day(fact: DataFrame) -> DataFrame:
+def by_day(fact: DataFrame, rows: int | None = None) -> DataFrame:
     """Rows of one day brought together for the partitioned write.
 
     A rebalance, unlike a plain repartition by date, lets Spark cut a day that
-    is too large for one task into several files and join the small ones.
+    is too large for one task into several files and join the small ones. It
+    goes by bytes, though, and a small table of many days costs its number of
+    files: one known to have few enough ``rows`` for any single task is divided
+    over all cores instead.
     """
+    if rows is not None and rows <= SMALL_FACT:
+        cores = fact.sparkSession.sparkContext.defaultParallelism
+        return fact.repartition(cores, "order_date")
     return fact.hint("rebalance", "order_date")

@@ -73,9 +73,10 @@ def build_gold(
     }
     written = side_by_side(lambda name: draft(dims[name], name), dims)
     fact = star.order_fact(orders, *written, broadcast_limit)
-    fact = draft(star.by_day(fact), FACT, ("order_date",))
+    expected = orders.count()
+    fact = draft(star.by_day(fact, expected), FACT, ("order_date",))
     rows = fact.count()
-    require_balance(orders.count(), rows)
+    require_balance(expected, rows)
     if check_keys:
         require_keys(fact, ["order_id"], FACT)
     draft(star.daily_category_sales(fact), DAILY_SALES)

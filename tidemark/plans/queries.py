@@ -525,7 +525,7 @@ def distinct_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range of days of the fact, from its date-partitioned table."""
     root = scratch_path(spark, "fact")
-    fact = star.by_day(_fact(spark, sf_dir))
+    fact = star.by_day(_fact(spark, sf_dir), _lines(spark, sf_dir).count())
     snapshots.replace(fact, root, ["order_date"])
     stored = snapshots.read_current(spark, root, fact.schema)
     return star.sales_between(stored, "1997-01-01", "1997-03-31").select(*_fact_columns())
