@@ -88,16 +88,22 @@ def test_other_measures(shop):
     assert {r.total_orders for r in star.distinct_orders(doubled).collect()} == {1}
 
 
+def hot_list(df, key, rows):
+    return sorted(map(tuple, hot_keys(df, key, rows).collect()))
+
+
 def test_hot_keys_are_found_and_bounded(spark):
     df = spark.range(1000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).cast("long").alias("k")
     )
-    assert hot_keys(df, "k", share=0.1) == [7]
-    assert hot_keys(df.limit(0), "k") == []
-    assert hot_keys(df.select(F.lit(None).cast("long").alias("k")), "k") == []
+    assert hot_list(df, "k", 100) == [(7, 4)]  # 335 rows
+    assert hot_list(df, "k", 335) == []
+    assert hot_list(df.limit(0), "k", 1) == []
+    assert hot_list(df.select(F.lit(None).cast("long").alias("k")), "k", 1) == []
 
 
-def test_salted_join_equals_plain_join(spark):
+@pytest.mark.parametrize("rows_per_task", [1, 20, 1000])
+def test_salted_join_equals_plain_join(spark, rows_per_task):
     """With a hot key, missing keys, unknown keys and a repeated dimension key."""
     df = spark.range(600).select(
         F.when(F.col("id") % 3 == 0, F.lit(1))
@@ -108,7 +114,7 @@ def test_salted_join_equals_plain_join(spark):
         F.col("id").alias("row"),
     )
     dim = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (40, "d")], "k long, name string")
-    salted = salted_left_join(df, dim, "k", ["row"], hot_keys(df, "k", 0.1), salts=5)
+    salted = salted_left_join(df, dim, "k", ["row"], hot_keys(df, "k", rows_per_task))
     plain = df.join(dim, "k", "left")
     assert salted.columns == plain.columns
     assert sorted(map(tuple, salted.collect()), key=repr) == sorted(
@@ -116,13 +122,17 @@ def test_salted_join_equals_plain_join(spark):
     )
 
 
+@pytest.mark.parametrize("key", [1, None], ids=["hot", "missing"])
 @pytest.mark.parametrize("row", [F.col, lambda _: F.lit(0)], ids=["rows", "copies"])
-def test_a_hot_key_is_spread_over_tasks(spark, row):
-    df = spark.range(4000, numPartitions=32).select(F.lit(1).alias("k"), row("id").alias("row"))
+def test_a_hot_key_is_spread_over_tasks(spark, key, row):
+    df = spark.range(4000, numPartitions=32).select(
+        F.lit(key).cast("int").alias("k"), row("id").alias("row")
+    )
     dim = spark.createDataFrame([(1, "a")], "k int, name string").hint("merge")
+    hot = hot_keys(df, "k", 100)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = salted_left_join(df, dim, "k", ["row"], [1])
+        joined = salted_left_join(df, dim, "k", ["row"], hot)
         sizes = [
             r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()
         ]

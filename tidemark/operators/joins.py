@@ -8,54 +8,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.sizing import BROADCAST_LIMIT, fits
+from tidemark.sources.storage import materialise
 
 _SALT = "_salt"
-DEFAULT_SALTS = 64
-HOT_SHARE = 1 / 256
+_SALTS = "_salts"
 
+# Rows of one key that one task should have to join.
+ROWS_PER_TASK = 4_000_000
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Non-NULL key values that hold at least ``share`` of all rows.
 
-    There can be at most ``1 / share`` of them, whatever the size of the table,
-    so the list is safe on the driver. Only the key column is read and counts
-    are combined before the shuffle.
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Key values with more rows than one task should take, and over how many
+    tasks (``_salts``) each is to be divided.
+
+    A table of N rows has fewer than ``N / rows_per_task`` of them, a few
+    hundred thousand short rows for a trillion, which bounds their broadcast.
+    Only the key column is read, and counts are combined before the shuffle.
     """
-    total = df.count()
-    if total == 0:
-        return []
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return [row[0] for row in counts.filter(F.col("n") >= F.lit(total * share)).collect()]
+    salts = F.ceil(F.col("n") / F.lit(rows_per_task)).cast("long")
+    hot = counts.filter(F.col("n") > rows_per_task).select(key, salts.alias(_SALTS))
+    return materialise(hot, "hot-keys")
 
 
 def salted_left_join(
-    df: DataFrame,
-    dim: DataFrame,
-    key: str,
-    spread_by: Sequence[str],
-    hot: Sequence,
-    salts: int = DEFAULT_SALTS,
+    df: DataFrame, dim: DataFrame, key: str, spread_by: Sequence[str], hot: DataFrame
 ) -> DataFrame:
-    """Left equi-join in which each hot key is divided over ``salts`` tasks.
+    """Left equi-join in which each hot key is divided over several tasks.
 
-    Rows of a hot key get a salt, and the matching dimension rows are repeated
-    once per salt, so each row meets each of its dimension rows exactly once,
-    as in the plain join. Rows without a key match nothing and are spread too.
+    Rows of a hot key get one of its salts, and the matching dimension rows are
+    repeated once per salt, so each row meets each of its dimension rows
+    exactly once, as in the plain join. Rows without a key match nothing and
+    are spread over all tasks.
 
     The salt is a hash of ``spread_by``, such as the row's own key, and of the
     task the row comes from, which also spreads exact copies and stays the same
     when a lost task is run again.
     """
-    spread = F.pmod(F.xxhash64(*spread_by, F.spark_partition_id()), F.lit(salts)).cast("int")
-    cold = F.lit(0)
-    is_spread = F.col(key).isNull()
-    right = dim.withColumn(_SALT, cold)
-    if hot:
-        is_hot = F.col(key).isin(list(hot))
-        is_spread = is_spread | is_hot
-        every = F.sequence(F.lit(0), F.lit(salts - 1))
-        right = dim.withColumn(_SALT, F.explode(F.when(is_hot, every).otherwise(F.array(cold))))
-    left = df.withColumn(_SALT, F.when(is_spread, spread).otherwise(cold))
+    spread = F.xxhash64(*spread_by, F.spark_partition_id())
+    no_salt = F.lit(0).cast("long")
+    salt = F.when(F.col(key).isNull(), spread)
+    left, right = df, dim.withColumn(_SALT, no_salt)
+    if not hot.isEmpty():
+        salt = salt.when(F.col(_SALTS).isNotNull(), F.pmod(spread, F.col(_SALTS)))
+        left = df.join(F.broadcast(hot), key, "left")
+        last = F.coalesce(F.col(_SALTS), F.lit(1)) - 1
+        right = dim.join(F.broadcast(hot), key, "left").select(
+            *dim.columns, F.explode(F.sequence(no_salt, last)).alias(_SALT)
+        )
+    left = left.select(*df.columns, salt.otherwise(no_salt).alias(_SALT))
     return left.join(right, [key, _SALT], "left").drop(_SALT)
 
 
