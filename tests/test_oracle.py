@@ -11,6 +11,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tidemark.plans.oracle import ORACLE_SQL
+from tidemark.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -39,10 +41,12 @@ def _rows(names, rows):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(name, spark, database):
     got = contract.queries()[name](spark, SF_DIR)
     expected = database.execute(contract.oracle_sql()[name])

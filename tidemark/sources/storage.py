@@ -6,6 +6,7 @@ disks, HDFS and object stores behave alike.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -44,15 +45,22 @@ def remove(spark: SparkSession, path: str) -> bool:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, from ``spark.checkpoint.dir``."""
+    """Folder all executors can reach, from ``spark.checkpoint.dir``.
+
+    Only a session inside one machine's single process may go without: its folder
+    then becomes the checkpoint folder of the context, for later calls as well.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    current = context._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get().rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    chosen = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", chosen)
-    return chosen
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
