@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, mixing, ngram_join, quality_rules, suffix_dedup
-from tidemark.operators.sizing import fits
 from tidemark.sources.storage import materialise
 
 # Bytes of the shortest passage whose later copies go: short enough for fifty short words.
@@ -43,7 +42,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         found.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct(), "contaminated"
     )
     return docs.join(
-        F.broadcast(gone) if fits(gone) else gone,
+        gone,
         F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash")), "left_anti",
     )
 

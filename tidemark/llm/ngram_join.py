@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.groups import components
 from tidemark.llm.windows import binary_slices
 from tidemark.llm.words import mixed, shingles, words_of
-from tidemark.operators.sizing import fits
 from tidemark.sources.storage import materialise
 
 TREES, DEPTH, RECALL = 32, 8, 0.9999
@@ -94,7 +93,6 @@ def near_duplicates(
         .select("key", "root"),
         "near-buckets",
     )
-    shared = F.broadcast(shared) if fits(shared) else shared
     met = keyed.join(shared, "key").filter("node <> root").select("node", "root").distinct()
     verified = materialise(
         _verified(source, nodes, components(met, "node", "root"), shingle, threshold), "near-verified"
@@ -140,10 +138,9 @@ def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     matches = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (
         F.xxhash64(F.col(f"`{text_col}`").cast("string")) == F.col("__hash")
     )
-    kept = docs.join(F.broadcast(gone) if fits(gone) else gone, matches, "left_anti")
+    kept = docs.join(gone, matches, "left_anti")
     if repeated.isEmpty():
         return kept
-    repeated = F.broadcast(repeated) if fits(repeated) else repeated
     return kept.join(repeated, matches, "left_anti").unionByName(
         kept.join(repeated, matches, "left_semi").dropDuplicates([id_col, text_col])
     )
@@ -221,7 +218,6 @@ def _verified(
         ),
         "near-dealt",
     )
-    dealt = F.broadcast(dealt) if fits(dealt) else dealt
     texts = source.join(
         dealt, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
     )

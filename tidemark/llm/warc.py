@@ -20,7 +20,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.sizing import fits
 from tidemark.sources.storage import materialise, scratch_path
 
 # Payload bytes below which a record is always stored whole.
@@ -130,7 +129,6 @@ def deduplicate(
     revisits = revisits.select(
         "record_id", F.col("refers_to_record").alias("__record"), F.col("refers_to").alias("__page")
     )
-    revisits = F.broadcast(revisits) if fits(revisits) else revisits
     joined = read_archives(spark, source).join(revisits, "record_id", "left")
     write_archives(
         joined.withColumns({
