@@ -41,7 +41,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.windows import binary_slices, fingerprints, minimizers
-from tidemark.operators.sizing import fits
 from tidemark.sources.storage import materialise
 
 # Kinds of span of one gram that one task compares; more are dealt over several.
@@ -119,10 +118,9 @@ def without_repeats(
     ).select(
         F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans")
     )
-    if fits(found):
-        found = F.broadcast(found)
+    # Both sides grow with the texts: joined the same way at every size.
     joined = docs.join(
-        found,
+        found.hint("merge"),
         F.col(f"`{id_col}`").eqNullSafe(F.col("__doc"))
         & (F.xxhash64(F.col(f"`{text_col}`").cast("string")) == F.col("__hash")),
         "left",
@@ -193,12 +191,10 @@ def _compared(keyed: DataFrame, spans: DataFrame, min_bytes: int, keep_first: bo
         ),
         "dedup-compared",
     )
-    small = fits(per_text)
     wanted = per_text.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), "spans")
-    wanted = F.broadcast(wanted) if small else wanted
     id_field = T.StructField("doc_id", keyed.schema["doc_id"].dataType)
     contexts = keyed.join(
-        wanted,
+        wanted.hint("merge"),
         F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_hash") == F.col("__hash")),
     ).select("doc_id", "text_hash", "bytes", "spans").mapInArrow(
         _context_batches(min_bytes),
