@@ -26,11 +26,11 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (
-            both.filter("v > u").join(smallest, "u")
+            both.filter("v > u").join(smallest.hint("merge"), "u")
             .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
         )
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(smallest, "u")
+        small = large.join(smallest.hint("merge"), "u")
         edges = materialise(
             small.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
             .unionByName(smallest.select("u", F.col("m").alias("v"))).distinct(),

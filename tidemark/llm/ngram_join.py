@@ -93,7 +93,7 @@ def near_duplicates(
         .select("key", "root"),
         "near-buckets",
     )
-    met = keyed.join(shared, "key").filter("node <> root").select("node", "root").distinct()
+    met = keyed.join(shared.hint("merge"), "key").filter("node <> root").select("node", "root").distinct()
     verified = materialise(
         _verified(source, nodes, components(met, "node", "root"), shingle, threshold), "near-verified"
     )
@@ -138,7 +138,7 @@ def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     matches = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (
         F.xxhash64(F.col(f"`{text_col}`").cast("string")) == F.col("__hash")
     )
-    kept = docs.join(gone, matches, "left_anti")
+    kept = docs.join(gone.hint("merge"), matches, "left_anti")
     if repeated.isEmpty():
         return kept
     return kept.join(repeated, matches, "left_anti").unionByName(
@@ -218,8 +218,9 @@ def _verified(
         ),
         "near-dealt",
     )
+    # Both sides grow with the texts: joined the same way at every size.
     texts = source.join(
-        dealt, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
+        dealt.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
     )
     paired = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "grp", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),

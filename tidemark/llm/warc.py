@@ -129,7 +129,7 @@ def deduplicate(
     revisits = revisits.select(
         "record_id", F.col("refers_to_record").alias("__record"), F.col("refers_to").alias("__page")
     )
-    joined = read_archives(spark, source).join(revisits, "record_id", "left")
+    joined = read_archives(spark, source).join(revisits.hint("merge"), "record_id", "left")
     write_archives(
         joined.withColumns({
             "record_type": F.when(F.col("__record").isNotNull(), "revisit").otherwise(F.col("record_type")),
