@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.latest import latest_per_key
+from tidemark.operators.latest import latest_per_key, tie_breakers
 from tidemark.operators.sizing import BROADCAST_LIMIT, fits
 
 _SIDE = "_from_batch"
@@ -39,13 +39,13 @@ def merge_into_state(
     ts: str,
     broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """``merge_latest`` for two sides that each hold a key at most once.
+    """``merge_latest`` for a batch that holds each key at most once.
 
-    A published table and a deduplicated batch both do. If the keys of the
-    batch are measured to be small, the table is never shuffled: it is scanned
-    against the broadcast keys, and only the few key matches decide which batch
-    rows are stale. Otherwise both sides meet in one full outer join, without
-    the second sort that ranking the union takes.
+    State rows newer than the batch's row of their key stay and keep it out; other
+    state rows of the batch's keys give way to it. A state that repeats a key is
+    thus handled row by row, and the result is the same however it is joined: if
+    the keys of the batch are measured to be small, the table is never shuffled but
+    scanned against the broadcast keys, otherwise the sides meet by their keys.
     """
     if existing is None:
         return batch
@@ -55,8 +55,21 @@ def merge_into_state(
         )
     marks = batch.select(*_renamed(keys), F.col(ts).alias("_batch_ts"), F.lit(True).alias(_MATCHED))
     if fits(marks, broadcast_limit):
-        return _merge_by_broadcast(existing, batch, marks, keys, ts)
-    return _merge_by_full_join(existing, batch, keys, ts)
+        marks = F.broadcast(marks)
+    state_wins = _newer(F.col(ts), F.col("_batch_ts"))
+    kept = (
+        existing.join(marks, _same_key(existing, marks, keys), "left")
+        .filter(F.col(_MATCHED).isNull() | state_wins)
+        .select(*existing.columns)
+    )
+    narrow = existing.select(*keys, ts)
+    stale = (
+        narrow.join(marks, _same_key(narrow, marks, keys), "inner")
+        .filter(state_wins)
+        .select(*_renamed(keys))
+    )
+    fresh = batch.join(stale, _same_key(batch, stale, keys), "left_anti")
+    return kept.unionByName(fresh)
 
 
 def _renamed(keys: Sequence[str]) -> list[Column]:
@@ -75,43 +88,6 @@ def _newer(state_ts: Column, batch_ts: Column) -> Column:
     return state_ts.isNotNull() & (batch_ts.isNull() | (state_ts > batch_ts))
 
 
-def _merge_by_broadcast(
-    existing: DataFrame, batch: DataFrame, marks: DataFrame, keys: Sequence[str], ts: str
-) -> DataFrame:
-    state_wins = _newer(F.col(ts), F.col("_batch_ts"))
-    kept = (
-        existing.join(F.broadcast(marks), _same_key(existing, marks, keys), "left")
-        .filter(F.col(_MATCHED).isNull() | state_wins)
-        .select(*existing.columns)
-    )
-    narrow = existing.select(*keys, ts)
-    stale = (
-        narrow.join(F.broadcast(marks), _same_key(narrow, marks, keys), "inner")
-        .filter(state_wins)
-        .select(*_renamed(keys))
-    )
-    fresh = batch.join(stale, _same_key(batch, stale, keys), "left_anti")
-    return kept.unionByName(fresh)
-
-
-def _merge_by_full_join(
-    existing: DataFrame, batch: DataFrame, keys: Sequence[str], ts: str
-) -> DataFrame:
-    incoming = batch.select(
-        *[F.col(c).alias(f"_batch_{c}") for c in batch.columns], F.lit(True).alias(_MATCHED)
-    )
-    state = existing.withColumn("_in_state", F.lit(True))
-    from_batch = F.col(_MATCHED).isNotNull() & (
-        F.col("_in_state").isNull() | ~_newer(F.col(ts), F.col(f"_batch_{ts}"))
-    )
-    return state.join(incoming, _same_key(state, incoming, keys), "full").select(
-        *[
-            F.when(from_batch, F.col(f"_batch_{c}")).otherwise(F.col(c)).alias(c)
-            for c in existing.columns
-        ]
-    )
-
-
 def _present_keys(existing: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Batch keys that ``existing`` already holds.
 
@@ -135,7 +111,8 @@ def insert_if_absent(
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*order_by)
+    """The first row per key; rows that tie are decided by their other columns."""
+    window = Window.partitionBy(*keys).orderBy(*order_by, *tie_breakers(df, keys))
     ranked = df.withColumn("_rank", F.row_number().over(window))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
@@ -145,8 +122,10 @@ def upsert_by_key(
 ) -> DataFrame:
     """Incoming rows replace existing rows of the same key unconditionally.
 
-    ``incoming`` holds each key at most once.
+    Of incoming rows that share a key, the one with the largest other columns
+    counts, so that an upsert never adds rows for a known key.
     """
+    incoming = first_per_key(incoming, keys, [])
     if existing is None:
         return incoming
     kept = existing.join(incoming.select(*keys), list(keys), "left_anti")
@@ -162,9 +141,10 @@ def update_by_key(
     """Sets ``columns`` of the rows whose key has a patch.
 
     Other columns and rows stay; patches for unknown keys have no effect; a
-    patch may set a column to NULL. ``patches`` holds each key at most once.
+    patch may set a column to NULL. Of patches that share a key, the one with
+    the largest values counts: an update never adds rows.
     """
-    changes = patches.select(
+    changes = first_per_key(patches.select(*keys, *columns), keys, []).select(
         *_renamed(keys),
         *[F.col(c).alias(f"_new_{c}") for c in columns],
         F.lit(True).alias(_MATCHED),
@@ -204,7 +184,12 @@ def require_new_keys(existing: DataFrame, batch: DataFrame, keys: Sequence[str])
 
 
 def append_batch(batch: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Appends the batch to a Parquet table, or fails leaving it as it was."""
+    """Appends the batch to a Parquet table after checking its keys.
+
+    For one writer at a time: the check and the append are two steps, and a write
+    that fails half-way may leave files behind. ``snapshots.replace`` publishes a
+    whole version instead.
+    """
     spark = batch.sparkSession
     require_new_keys(spark.read.parquet(path), batch, keys)
     batch.write.mode("append").parquet(path)

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from tidemark.operators.joins import dimension_join
 from tidemark.operators.sizing import BROADCAST_LIMIT, fits
 
-# Rows that a single task can sort and write without spilling much.
-SMALL_FACT = 5_000_000
-
 # Source column -> dimension column.
 PRODUCT_COLUMNS = {
     "product_id": "product_id",
@@ -80,28 +77,23 @@ def daily_category_sales_from_orders(
 ) -> DataFrame:
     """The same figures straight from the orders, without building the fact.
 
-    A product dimension too large to broadcast is joined after the orders were
-    summed per day and product: a hot product then reaches the shuffle as a
-    few partial sums instead of all of its rows. Exact because quantities are
-    whole and prices have two decimals, so the rounding changes nothing.
+    Orders are counted per day, product and quantity before the products are
+    joined: a hot product reaches the shuffle as a few counts instead of all of its
+    rows. Each counted sale is rounded as in the fact, so the figures are the same
+    whatever the tables' sizes and the prices' decimals; only whether the products
+    are broadcast depends on their size.
     """
     needed = products.select("product_id", "unit_price", "product_category")
-    if fits(needed, broadcast_limit):
-        lines = orders.select("order_id", "product_id", "quantity", "updated_at")
-        return daily_category_sales(
-            with_measures(lines.join(F.broadcast(needed), "product_id", "left"))
-        )
-    per_product = orders.groupBy(F.to_date("updated_at").alias("order_date"), "product_id").agg(
-        F.sum("quantity").alias("units"), F.count("order_id").alias("orders")
+    counted = orders.groupBy(
+        F.to_date("updated_at").alias("updated_at"), "product_id", "quantity"
+    ).agg(F.count("*").alias("n"), F.count("order_id").alias("orders"))
+    priced = with_measures(
+        counted.join(F.broadcast(needed) if fits(needed, broadcast_limit) else needed, "product_id", "left")
     )
-    revenue = (F.col("units") * F.col("unit_price")).cast("decimal(32,2)")
-    return (
-        per_product.join(needed, "product_id", "left")
-        .groupBy("order_date", "product_category")
-        .agg(
-            F.sum(revenue).cast("decimal(32,2)").alias("total_revenue"),
-            F.sum("orders").alias("total_orders"),
-        )
+    revenue = (F.col("net_sales") * F.col("n")).cast("decimal(32,2)")
+    return priced.groupBy("order_date", "product_category").agg(
+        F.sum(revenue).cast("decimal(32,2)").alias("total_revenue"),
+        F.sum("orders").alias("total_orders"),
     )
 
 
@@ -124,16 +116,10 @@ def sales_between(fact: DataFrame, first_day: str, last_day: str) -> DataFrame:
     return fact.filter(day.between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
 
 
-def by_day(fact: DataFrame, rows: int | None = None) -> DataFrame:
+def by_day(fact: DataFrame) -> DataFrame:
     """Rows of one day brought together for the partitioned write.
 
     A rebalance, unlike a plain repartition by date, lets Spark cut a day that
-    is too large for one task into several files and join the small ones. It
-    goes by bytes, though, and a small table of many days costs its number of
-    files: one known to have few enough ``rows`` for any single task is divided
-    over all cores instead.
+    is too large for one task into several files and join the small ones.
     """
-    if rows is not None and rows <= SMALL_FACT:
-        cores = fact.sparkSession.sparkContext.defaultParallelism
-        return fact.repartition(cores, "order_date")
     return fact.hint("rebalance", "order_date")

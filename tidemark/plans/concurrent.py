@@ -6,6 +6,9 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
+
 Item = TypeVar("Item")
 Result = TypeVar("Result")
 
@@ -17,6 +20,8 @@ def side_by_side(work: Callable[[Item], Result], items: Iterable[Item]) -> list[
     cluster idle while it is the only one at work.
     """
     items = list(items)
+    # Threads take over the job group, tags and pool of the caller.
+    work = inheritable_thread_target(SparkSession.active())(work)
     with ThreadPoolExecutor(max_workers=max(1, len(items))) as pool:
         return [future.result() for future in [pool.submit(work, item) for item in items]]
 

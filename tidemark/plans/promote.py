@@ -26,7 +26,7 @@ from tidemark.operators.quality import (
 )
 from tidemark.plans.concurrent import raise_all, side_by_side
 from tidemark.plans.layout import Warehouse
-from tidemark.sources import bronze, ledger, snapshots
+from tidemark.sources import bronze, ledger, snapshots, storage
 
 NO_BATCH = "skipped: no raw batch"
 EMPTY_BATCH = "skipped: empty raw batch"
@@ -93,11 +93,11 @@ def _promote(
     state is touched; quarantined rows are kept either way."""
     started = time.monotonic()
     table = contract.name
-    raw = bronze.read_run(spark, bronze.run_path(warehouse.root, table, run_id), fmt)
-    if raw is None:
-        return Promotion(table, NO_BATCH)
     payload: dict = {}
     try:
+        raw = bronze.read_run(spark, bronze.run_path(warehouse.root, table, run_id), fmt)
+        if raw is None:
+            return Promotion(table, NO_BATCH)
         if raw.isEmpty():
             return Promotion(table, EMPTY_BATCH)
         require_columns(raw, contract.required_columns, table)
@@ -114,6 +114,8 @@ def _promote(
             "promoted", F.lit(latest.count()).cast("long")
         )
         payload = json.loads(as_json(quality_metrics(counts, table, run_id)).first()[0])
+        # A repeated run may reject fewer rows than the attempt before it.
+        storage.remove(spark, warehouse.quarantine(table, run_id))
         if payload["metrics"]["quarantined_records_isolated"] > 0:
             quarantined.write.mode("overwrite").parquet(warehouse.quarantine(table, run_id))
         if payload["execution_status"] == FAILED_TOLERANCE:
@@ -163,19 +165,25 @@ def promote_pending(
     contracts: Sequence[TableContract],
     warehouse: Warehouse,
     fmt: str = "parquet",
+    trim: bool = False,
+    keep_versions: int | None = None,
 ) -> dict[str, list[Promotion]]:
     """Promotes what earlier runs left behind, each run from its own folder.
 
-    Returns the promotions by run. The pending list has one row per run and
-    table, not per record.
+    All runs are tried, oldest first; what failed is raised at the end and stays
+    pending. Returns the promotions by run. The pending list has one row per run
+    and table, not per record.
     """
     waiting = pending_runs(spark, warehouse)
     runs: dict[str, set[str]] = {}
     for row in waiting.collect() if waiting is not None else []:
         runs.setdefault(row["run_id"], set()).add(row["table_name"])
-    return {
-        run_id: promote_tables(
-            spark, [c for c in contracts if c.name in tables], warehouse, run_id, fmt
-        )
-        for run_id, tables in sorted(runs.items())
-    }
+    done, problems = {}, []
+    for run_id, tables in sorted(runs.items()):
+        wanted = [c for c in contracts if c.name in tables]
+        try:
+            done[run_id] = promote_tables(spark, wanted, warehouse, run_id, fmt, trim, keep_versions)
+        except Exception as problem:
+            problems.append(problem)
+    raise_all(problems, "promotion of pending runs")
+    return done

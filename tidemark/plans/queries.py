@@ -160,8 +160,9 @@ def watermark_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later marks replace stored ones whatever their order."""
     events = table(spark, sf_dir, "events")
     keys = ["event_type", "user_id"]
-    stored = events.filter(F.col("ts") <= _ntz(EVENTS_MARK)).groupBy(*keys)
-    coming = events.filter(F.col("ts") > _ntz(EVENTS_MARK)).groupBy(*keys)
+    late = F.coalesce(F.col("ts") > _ntz(EVENTS_MARK), F.lit(False))
+    stored = events.filter(~late).groupBy(*keys)
+    coming = events.filter(late).groupBy(*keys)
     merged = merge.upsert_by_key(
         stored.agg(F.max("ts").alias("mark"), F.lit("stored").alias("status")),
         coming.agg(F.min("ts").alias("mark"), F.lit("incoming").alias("status")),
@@ -330,8 +331,8 @@ def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State up to a mark and the batch after it, neither of them unique."""
     lines = _lines(spark, sf_dir)
-    before = lines.filter(F.col("l_shipdate") <= _ntz(SHIP_MARK))
-    after = lines.filter(F.col("l_shipdate") > _ntz(SHIP_MARK))
+    late = F.coalesce(F.col("l_shipdate") > _ntz(SHIP_MARK), F.lit(False))
+    before, after = lines.filter(~late), lines.filter(late)
     return _dated(merge.merge_latest(before, after, LINE_KEYS, "l_shipdate"))
 
 
@@ -373,8 +374,8 @@ def insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def append_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
-    existing = orders.filter(F.col("o_orderstatus") == "F")
-    return merge.append_new(existing, orders.filter(F.col("o_orderstatus") != "F"), ["o_orderkey"])
+    stored = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    return merge.append_new(orders.filter(stored), orders.filter(~stored), ["o_orderkey"])
 
 
 @query
@@ -413,7 +414,7 @@ def streaming_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     contract = TableContract("events", schema, key="user_id", watermark="ts")
     work = scratch_path(spark, "stream")
     # A pattern, because a stream takes a folder or a pattern but not one file.
-    stream = read_files(spark, f"{sf_dir}/events*.parquet", schema)
+    stream = read_files(spark, f"{sf_dir}/events.parque[t]", schema)
     merge_available(stream, f"{work}/table", contract, f"{work}/log").awaitTermination()
     return snapshots.read_current(spark, f"{work}/table", schema).select(*_event_columns())
 
@@ -527,7 +528,7 @@ def distinct_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A range of days of the fact, from its date-partitioned table."""
     root = scratch_path(spark, "fact")
-    fact = star.by_day(_fact(spark, sf_dir), _lines(spark, sf_dir).count())
+    fact = star.by_day(_fact(spark, sf_dir))
     snapshots.replace(fact, root, ["order_date"])
     stored = snapshots.read_current(spark, root, fact.schema)
     return star.sales_between(stored, "1997-01-01", "1997-03-31").select(*_fact_columns())

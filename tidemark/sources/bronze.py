@@ -61,6 +61,10 @@ def write_run(
     return written.get["rows"]
 
 
+class IncompleteBatchError(ValueError):
+    """A raw batch whose extraction failed half-way."""
+
+
 def read_run(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None
 ) -> DataFrame | None:
@@ -71,6 +75,8 @@ def read_run(
     """
     if not storage.exists(spark, path):
         return None
+    if not storage.exists(spark, f"{path}/_SUCCESS"):
+        raise IncompleteBatchError(f"{path} was not written to its end")
     if fmt == "parquet":
         return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     reader = spark.read.options(**_CSV_OPTIONS).option("multiLine", True)

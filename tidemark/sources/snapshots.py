@@ -18,6 +18,7 @@ from tidemark.sources import storage
 
 _MARKER = "_PUBLISHED"
 _PREFIX = "v="
+_CLAIM = "_after-"
 
 
 class ConcurrentWriteError(RuntimeError):
@@ -73,17 +74,31 @@ def write_draft(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> i
 def publish(spark: SparkSession, root: str, version: int, based_on: int | None = None) -> None:
     """Makes a draft the current version.
 
+    The base is claimed first, which only one writer can do (on the file systems of
+    ``storage.EXCLUSIVE_SCHEMES``; others are refused). A writer that dies between its
+    claim and the marker leaves a base that nobody else can follow until
+    :func:`release` takes the claim back.
+
     Fails if a later version was published meanwhile or, given the version the
     draft was computed from (0 for none), if that is no longer the current one:
     the draft would undo what another job has published.
     """
     newest = current_version(spark, root) or 0
-    if newest >= version or (based_on is not None and newest != based_on):
+    base = newest if based_on is None else based_on
+    if newest >= version or newest != base:
         raise ConcurrentWriteError(f"{root} is at version {newest}; {version} comes too late")
+    # One draft per base can win, however the steps of two writers interleave.
+    if not storage.claim(spark, f"{root}/{_CLAIM}{base}"):
+        raise ConcurrentWriteError(f"another draft follows version {base} of {root}")
     if not storage.create_marker(spark, f"{version_path(root, version)}/{_MARKER}"):
         raise ConcurrentWriteError(f"version {version} of {root} is already published")
 
 
+def release(spark: SparkSession, root: str) -> bool:
+    """Takes back the claim on the current version of a writer known to be dead."""
+    return storage.remove(spark, f"{root}/{_CLAIM}{current_version(spark, root) or 0}")
+
+
 def replace(
     df: DataFrame, root: str, partition_by: Sequence[str] = (), based_on: int | None = None
 ) -> int:

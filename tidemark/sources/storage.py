@@ -9,7 +9,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from pathlib import Path
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -33,12 +35,42 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
 
 
+# File systems on which only one of several writers can create a file.
+EXCLUSIVE_SCHEMES = ("file", "hdfs", "viewfs")
+
+
 def create_marker(spark: SparkSession, path: str) -> bool:
-    """Creates an empty file; False when somebody else already created it."""
+    """Creates an empty file; False when it was already there."""
     fs, target = _file_system(spark, path)
     return fs.createNewFile(target)
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Creates a file that at most one caller can create; False for the others.
+
+    Object stores check and create in two steps and are refused.
+    """
+    fs, target = _file_system(spark, path)
+    scheme = fs.getUri().getScheme()
+    if scheme not in EXCLUSIVE_SCHEMES:
+        raise ValueError(f"{scheme} cannot create a file exclusively; publish on one of {EXCLUSIVE_SCHEMES}")
+    if scheme == "file":
+        local = Path(target.toUri().getPath())
+        local.parent.mkdir(parents=True, exist_ok=True)
+        try:
+            local.touch(exist_ok=False)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        fs.create(target, False).close()
+    except Py4JJavaError:
+        if fs.exists(target):
+            return False
+        raise
+    return True
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     fs, target = _file_system(spark, path)
     return fs.delete(target, True)

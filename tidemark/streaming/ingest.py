@@ -18,11 +18,25 @@ from tidemark.plans.promote import merge_and_publish
 from tidemark.sources.storage import materialise
 
 
+# A century.
+MAX_FILE_AGE_DAYS = 36_500
+
+
 def read_files(
     spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", files: int = 1000
 ) -> DataFrame:
-    """New files under ``path``, at most ``files`` of them per batch."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    """New files under ``path``, at most ``files`` of them per batch.
+
+    Spark ignores files whose time stamp lies ``maxFileAge`` before the latest one
+    it has seen, seven days unless told otherwise. Copied files keep old stamps, so
+    the age is set beyond any retention; the stream's log remembers file names for
+    as long, which is what removing files that were taken in keeps small.
+    """
+    reader = (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files)
+        .option("maxFileAge", f"{MAX_FILE_AGE_DAYS}d")
+    )
     return reader.format(fmt).load(path)
 
 
