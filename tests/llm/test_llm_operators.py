@@ -113,6 +113,7 @@ def test_repeats_by_brute_force(docs, monkeypatch, keep_first, kinds):
 @pytest.mark.parametrize("slice_bytes", [10, 1 << 20])
 def test_contamination_by_brute_force(docs, items, monkeypatch, slice_bytes):
     monkeypatch.setattr(decontaminate, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(decontaminate, "_CANDIDATES", 1 if slice_bytes < 1 << 20 else 1 << 19)
     windows = {}
     for r in items.collect():
         w = words(r.text)

@@ -25,12 +25,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.windows import binary_slices
 from tidemark.llm.words import words_of
-from tidemark.sources.storage import materialise
+from tidemark.sources.storage import materialise, scratch_path
 
 WINDOW = 13
 # Text of the items that one search holds; more items take further passes over the index.
 SLICE_BYTES = 8 << 20
-_BLOCK_BYTES = 2 << 20
+# Text of a block, and index bytes that a reader or writer of the index holds at a time.
+_BLOCK_BYTES, _ROW_GROUP_BYTES = 512 << 10, 16 << 20
+# Candidate places that a search compares at a time.
+_CANDIDATES = 1 << 19
 
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -46,14 +49,15 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         text.cast("binary").alias("bytes"),
     )
     id_type = source.schema["doc_id"].dataType.simpleString()
-    return materialise(
-        source.mapInArrow(
-            _index_batches,
-            f"doc_id array<{id_type}>, text_hash array<bigint>, n_words array<int>, base array<int>, "
-            "terms binary, bounds binary, places binary",
-        ),
-        "positional-index",
+    index = source.mapInArrow(
+        _index_batches,
+        f"doc_id array<{id_type}>, text_hash array<bigint>, n_words array<int>, base array<int>, "
+        "terms binary, bounds binary, places binary",
     )
+    path = scratch_path(docs.sparkSession, "positional-index")
+    # Rows are long: row groups are closed by bytes, looked at after every row.
+    index.write.option("parquet.block.size", _ROW_GROUP_BYTES).option("parquet.page.size.row.check.min", 1).parquet(path)
+    return docs.sparkSession.read.schema(index.schema).parquet(path)
 
 
 def contamination(
@@ -286,7 +290,18 @@ def _phrase_search(items: list[np.ndarray], frequency: np.ndarray, window: int):
     def search(postings: _Postings):
         if not len(item):
             return item, item, item
-        place, entry = postings.of(flat[begin + offset])
+        # Entries are taken in parts of a bounded number of candidates; a run cut
+        # between two parts comes out as two.
+        sizes = postings.size[flat[begin + offset]]
+        entries = np.flatnonzero(sizes)
+        part = (np.cumsum(sizes[entries]) - 1) // _CANDIDATES
+        cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else []
+        found = [compare(postings, e) for e in np.split(entries, cuts[1:])] if len(part) else [(item[:0],) * 3]
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def compare(postings: _Postings, entries: np.ndarray):
+        place, entry = postings.of(flat[begin[entries] + offset[entries]])
+        entry = entries[entry]
         align = place - offset[entry]
         for step in range(deepest):
             at = order[entry, step]
