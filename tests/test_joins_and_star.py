@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import audit, star
+from tidemark.operators import audit, joins, star
 from tidemark.operators.joins import dimension_join, hot_keys, salted_left_join
 from tidemark.operators.sizing import fits
 
@@ -80,6 +80,22 @@ def test_daily_sales_agree_on_every_path(shop, limit):
     assert {tuple(r) for r in summed.collect()} == want
 
 
+def test_hot_keys_are_counted_in_stored_tables_only(shop, monkeypatch):
+    counted = []
+
+    def counting(df, key):
+        counted.append(key)
+        return hot_keys(df, key, 1)
+
+    monkeypatch.setattr(joins, "hot_keys", counting)
+    plain = star.order_fact(*shop, 0)
+    assert counted == []
+    salted = star.order_fact(*shop, 0, stored=shop[0])
+    assert counted == ["product_id", "customer_id"]
+    assert plain.columns == salted.columns
+    assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, salted.collect()), key=repr)
+
+
 def test_other_measures(shop):
     fact = star.order_fact(*shop)
     revenue = {r.order_date: r.total_revenue for r in star.revenue_by_amount(fact).collect()}

@@ -69,12 +69,17 @@ def dimension_join(
     count_in: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a dimension: broadcast when it was measured to be small,
-    else a shuffle join with the hot keys salted.
-
-    ``count_in`` is a cheaper frame with the same distribution of ``key`` to
-    look for hot keys in, such as the table ``df`` was joined together from.
+    else a shuffle join.
+
+    Hot keys are counted and divided when ``count_in`` is given: a *stored* narrow
+    table with the same distribution of ``key``, such as the table ``df`` was joined
+    together from. Without it no job looks for them, and the skew join of adaptive
+    execution, which splits a large partition of the left side, is relied on. Leave
+    it out for keys that are nearly unique, and where ``df`` is itself a join, which
+    counting would run once more. The rows are the same either way.
     """
     if fits(dim, broadcast_limit):
         return df.join(F.broadcast(dim), key, "left")
-    hot = hot_keys(df if count_in is None else count_in, key)
-    return salted_left_join(df, dim, key, spread_by, hot)
+    if count_in is None:
+        return df.join(dim, key, "left")
+    return salted_left_join(df, dim, key, spread_by, hot_keys(count_in, key))

@@ -54,12 +54,14 @@ def order_fact(
     products: DataFrame,
     customers: DataFrame,
     broadcast_limit: int = BROADCAST_LIMIT,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
-    """Orders with both dimensions attached; unmatched orders are kept."""
-    priced = dimension_join(orders, products, "product_id", ["order_id"], broadcast_limit)
-    placed = dimension_join(
-        priced, customers, "customer_id", ["order_id"], broadcast_limit, count_in=orders
-    )
+    """Orders with both dimensions attached; unmatched orders are kept.
+
+    ``stored`` is a stored table of the orders' keys in which hot ones may be counted.
+    """
+    priced = dimension_join(orders, products, "product_id", ["order_id"], broadcast_limit, stored)
+    placed = dimension_join(priced, customers, "customer_id", ["order_id"], broadcast_limit, stored)
     return with_measures(placed)
 
 

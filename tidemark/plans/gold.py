@@ -73,7 +73,7 @@ def build_gold(
         "dim_customers": star.customer_dimension(customers),
     }
     written = side_by_side(lambda name: draft(dims[name], name), dims)
-    fact = star.order_fact(orders, *written, broadcast_limit)
+    fact = star.order_fact(orders, *written, broadcast_limit, stored=orders)
     expected = orders.count()
     fact = draft(star.by_day(fact), FACT, ("order_date",))
     rows = fact.count()
