@@ -231,16 +231,23 @@ def test_base_scores_by_brute_force(docs):
 def test_model_is_causal_normalised_and_scores_each_token_once(docs):
     model = lm_scoring.fit(docs)
     p, vocabulary, end = lm_scoring._unpacked(model.parameters), model.vocabulary, model.tokenizer.end
-    assert np.bincount(vocabulary.classes, 10**vocabulary.within).max() == pytest.approx(1)
+    neighbours, buckets = model.neighbours, vocabulary.buckets
+    # After any id, the ids of a class add up to one; so do the classes' priors.
+    for before in (end, 0, 17):
+        own = 10 ** (neighbours.share + neighbours.within[buckets[before], buckets])
+        mass = np.bincount(vocabulary.classes, own)
+        assert mass[mass > 0] == pytest.approx(1, rel=1e-4)
+    np.testing.assert_allclose(np.exp(neighbours.prior).sum(axis=1), 1, rtol=1e-4)
     rng = np.random.default_rng(3)
     ids = rng.integers(0, end, 100)
     inputs, target = vocabulary.inputs[np.append(end, ids)[None, :32]], vocabulary.classes[ids[None, :32]]
+    prior, previous = neighbours.prior, buckets[np.append(end, ids)[None, :32]]
     wanted = np.ones((1, 32), bool)
-    base = lm_scoring.log_probabilities(p, inputs, target, wanted)
+    base = lm_scoring.log_probabilities(p, inputs, prior, previous, target, wanted)
     later = inputs.copy()
     later[0, 20:] = 0
-    np.testing.assert_allclose(base[:20], lm_scoring.log_probabilities(p, later, target, wanted)[:20], rtol=1e-4)
-    mass = sum(10 ** lm_scoring.log_probabilities(p, inputs, np.full((1, 32), c), wanted) for c in range(lm_scoring.CLASSES))
+    np.testing.assert_allclose(base[:20], lm_scoring.log_probabilities(p, later, prior, previous, target, wanted)[:20], rtol=1e-4)
+    mass = sum(10 ** lm_scoring.log_probabilities(p, inputs, prior, previous, np.full((1, 32), c), wanted) for c in range(lm_scoring.CLASSES))
     np.testing.assert_allclose(mass, 1, rtol=1e-4)
     # Window by window, each token from the window that shows it the most context.
     sequence = np.append(ids, end)
@@ -249,12 +256,19 @@ def test_model_is_causal_normalised_and_scores_each_token_once(docs):
         k = max(0, -(-(t + 1 - lm_scoring.CONTEXT) // lm_scoring.STRIDE))
         at = np.minimum(k * lm_scoring.STRIDE + np.arange(32), len(sequence) - 1)
         one = np.arange(32)[None] == t - k * lm_scoring.STRIDE
-        total += lm_scoring.log_probabilities(p, vocabulary.inputs[before[at]][None], vocabulary.classes[sequence[at]][None], one)[0]
-        total += vocabulary.within[sequence[t]]
-    got = lm_scoring._text_scores(p, vocabulary, ids, np.array([0, 100]), end)
+        total += lm_scoring.log_probabilities(
+            p, vocabulary.inputs[before[at]][None], prior, buckets[before[at]][None],
+            vocabulary.classes[sequence[at]][None], one,
+        )[0]
+        total += neighbours.share[sequence[t]] + neighbours.within[buckets[before[t]], buckets[sequence[t]]]
+    got = lm_scoring._text_scores(model, p, ids, np.array([0, 100]))
     assert got[0] == pytest.approx(total, rel=1e-4)
     scores = {r.doc_id: r.score for r in lm_scoring.score(docs, model).collect()}
     assert scores[6] == scores[7] == scores[8] < 0 and scores[11] < scores[1]
+    # Without any counts every id stays possible.
+    pairs = np.zeros((lm_scoring.BUCKETS, lm_scoring.BUCKETS))
+    plain = lm_scoring.Neighbours.from_counts(np.zeros(end + 1), pairs, vocabulary)
+    assert np.isfinite(plain.share).all() and np.isfinite(plain.within).all()
 
 
 @pytest.mark.parametrize("html, text", [
