@@ -271,6 +271,60 @@ def test_model_is_causal_normalised_and_scores_each_token_once(docs):
     assert np.isfinite(plain.share).all() and np.isfinite(plain.within).all()
 
 
+def test_model_is_fitted_on_all_ids(spark, monkeypatch):
+    # The word of the long text's last third lies outside the middles of its pieces of 16 KB.
+    texts = ["alpha " * 1000 + "omega " * 500, "short one", "", None, prose(7, 300)]
+    table = spark.createDataFrame([(t,) for t in texts], "text string")
+    tokenizer = lm_scoring.Tokenizer.load()
+    encoder, end, expected = tokenizer.encoder(), tokenizer.end, Counter()
+    for t in texts:
+        data = (t or "").encode()
+        ids, _ = encoder.ids(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        expected.update([*ids.tolist(), end])
+    seen = []
+    plain = lm_scoring.Vocabulary.from_counts
+    monkeypatch.setattr(lm_scoring.Vocabulary, "from_counts", lambda counts: seen.append(counts.copy()) or plain(counts))
+    model = lm_scoring.fit(table, rounds=0)
+    assert {i: int(n) for i, n in enumerate(seen[0]) if n} == expected
+    # A round takes each id once as a target, with the ids truly before it.
+    taken = []
+    monkeypatch.setattr(
+        lm_scoring, "_gradient",
+        lambda p, inputs, prior, before, target, wanted: taken.extend(zip(before[wanted], target[wanted]))
+        or np.zeros_like(model.parameters),
+    )
+    rows = spark.createDataFrame([(t.encode() if t is not None else None,) for t in texts], "bytes binary").toArrow()
+    sequences = list(lm_scoring._sequences(tokenizer)(iter(rows.to_batches())))
+    vocabulary = model.vocabulary
+    list(lm_scoring._trainer(model.parameters, vocabulary, model.neighbours.prior, end)(iter(sequences)))
+    pairs = Counter()
+    for t in texts:
+        data = (t or "").encode()
+        ids, _ = encoder.ids(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        ids = [end, *ids.tolist(), end]
+        pairs.update((vocabulary.buckets[a], vocabulary.classes[b]) for a, b in zip(ids[:-1], ids[1:]))
+    assert Counter(taken) == pairs
+
+
+def test_gradient_by_differences():
+    rng = np.random.default_rng(8)
+    shape = (3, lm_scoring.CONTEXT)
+    inputs, target = rng.integers(0, 50, shape), rng.integers(0, lm_scoring.CLASSES, shape)
+    before, wanted = rng.integers(0, lm_scoring.BUCKETS, shape), rng.random(shape) < 0.7
+    prior = np.log(rng.dirichlet(np.ones(lm_scoring.CLASSES), lm_scoring.BUCKETS))
+    flat = lm_scoring.initial().astype(np.float64)
+
+    def loss(at):
+        p = lm_scoring._unpacked(at)
+        return -lm_scoring.log_probabilities(p, inputs, prior, before, target, wanted).mean() * math.log(10)
+
+    got = lm_scoring._gradient(lm_scoring._unpacked(flat), inputs, prior, before, target, wanted)
+    for i in [*np.argsort(-np.abs(got))[:20], *rng.integers(0, len(flat), 20)]:
+        step = np.zeros_like(flat)
+        step[i] = 1e-4
+        assert got[i] == pytest.approx((loss(flat + step) - loss(flat - step)) / 2e-4, rel=1e-2, abs=1e-5)
+
+
 @pytest.mark.parametrize("html, text", [
     (None, ""), ("", ""), ("<p>a<p>b", "a\n\nb"), ("a<br>b <b> c</b>", "a\nb c"),
     ("<ul><li>a<li>b<ol><li>x<li>y</ol></ul>", "- a\n- b\n  1. x\n  2. y"),
