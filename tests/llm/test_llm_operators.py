@@ -7,9 +7,12 @@ import math
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,6 +231,31 @@ def test_base_scores_by_brute_force(docs):
     assert sorted(got, key=repr) == sorted(expected, key=repr)
 
 
+def test_base_scores_deal_a_frequent_word_over_chunks(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "_CHUNK_BYTES", 2000)
+    texts = ["the " * 400 + w for w in prose(21, 60).split()]
+    table = pa.table({
+        "doc_id": range(60), "text_hash": range(60), "held_out": [i % 10 == 0 for i in range(60)],
+        "bytes": pa.array([t.encode() for t in texts], pa.binary()),
+    })
+    monkeypatch.setattr(lm_scoring, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    rows = pa.Table.from_batches(lm_scoring._packer(8)(iter(table.to_batches()))).to_pandas()
+    sent, kept = rows[rows["bucket"].notna()], rows[rows["bucket"].isna()]
+    # A bucket gets one entry per chunk and word, however often and in however many texts the word stands.
+    assert len(kept) > 20 and sent[["sizes", "texts", "times"]].isna().all(axis=None)
+    assert sum(map(len, sent["terms"])) <= 8 * (len(kept) + 60)
+    counted = pd.concat([lm_scoring._bucket_counts(g) for _, g in sent.groupby("bucket")])
+    assert counted["tokens"].sum() == sum(len(t.split()) for i, t in enumerate(texts) if i % 10)
+    got = pd.concat(
+        lm_scoring._chunk_rows(0.0, False)(pd.concat([k.to_frame().T, counted[counted["chunk"] == k["chunk"]]]))
+        for _, k in kept.iterrows()
+    ).set_index("doc_id")
+    counts = Counter(w for i, t in enumerate(texts) if i % 10 for w in t.split())
+    for i, t in enumerate(texts):
+        assert got.loc[i, "total"] == pytest.approx(sum(math.log10(counts[w] + 0.1) for w in t.split()))
+        assert got.loc[i, "n_known"] == sum(counts[w] > 0 for w in t.split())
+
+
 def test_model_is_causal_normalised_and_scores_each_token_once(docs):
     model = lm_scoring.fit(docs)
     p, vocabulary, end = lm_scoring._unpacked(model.parameters), model.vocabulary, model.tokenizer.end
