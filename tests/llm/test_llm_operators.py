@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import textwrap
 import zlib
 from collections import Counter
 from types import SimpleNamespace
@@ -163,6 +164,34 @@ def test_licenses(docs):
     assert got[6].labels == "" and got[6].first_word is None and got[6].score == 0
 
 
+def test_wrapped_notices_by_brute_force(spark):
+    plain = [(label, prose(30 + i, 50) + "\n\n" + text + "\n\n" + prose(60 + i, 50)) for i, (label, text) in enumerate(licenses.TEMPLATES)]
+    texts = [text for _, text in plain]
+    texts += ["\n".join(mark + x for x in textwrap.wrap(text, width)) for _, text in plain for mark, width in (("", 72), (" * ", 40))]
+    # Scattered words and half a notice stay without a label.
+    mit = licenses.TEMPLATES[0][1].split()
+    texts += [" ".join(mit[:13]), "\n".join(w + " " + prose(i, 12) for i, w in enumerate(mit)), ("\n".join(mit) + "\n") * 50]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    width = max(len(words(text)) for _, text in licenses.TEMPLATES)
+    got = {r.doc_id: (r.labels, round(r.score, 9)) for r in licenses.scan(table, phrases={}).collect()}
+    for i, text in enumerate(texts):
+        own = words(text)
+        blocks = [set(words(line)) for line in text.split("\n")]
+        blocks += [set(own[k : k + width]) for k in range(len(own))]
+        labels, score = set(), 0.0
+        for label, template in licenses.TEMPLATES:
+            held = set(words(template))
+            share = max(len(held & b) for b in blocks) / len(held)
+            if share >= 0.8 - 1e-9:
+                labels.add(label)
+                score = max(score, share)
+        assert got[i] == (",".join(sorted(labels)), round(score, 9))
+    for k, (label, _) in enumerate(plain):
+        n = len(plain)
+        assert all(label in got[i][0].split(",") for i in (k, n + 2 * k, n + 2 * k + 1))
+    assert got[len(texts) - 3][0] == got[len(texts) - 2][0] == "" and got[len(texts) - 1][0] == "mit"
+
+
 def test_archives_round_trip(spark):
     body = "WARC/1.1\r\n\r\n" + "é" * 60
     pages = spark.createDataFrame(

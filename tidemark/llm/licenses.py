@@ -1,8 +1,9 @@
 """License scan as an exact set-similarity join of text blocks with license templates.
 
-Blocks are the lines of a text, templates short license notices, both as sets of
+Blocks are the lines of a text and all its windows of as many words as the longest
+template has, across line breaks; templates are short license notices; both are sets of
 words. A template is found in a block that holds at least a share ``containment`` of
-its words. Words are ordered by their number of blocks, rarest first, counted over
+its words. Words are ordered by their number of lines, rarest first, counted over
 the whole table, and
 
 * prefix filter: a block with ``need`` of a template's ``n`` words has one of its
@@ -12,12 +13,15 @@ the whole table, and
   ``j`` of the block's ``m`` template words, ``min(i, j) + min(n - i, m - j)`` words
   are shared at most.
 
-What passes is compared exactly. Blocks travel as lists of template words only.
+What passes is compared exactly. Blocks travel as lists of template words only. Windows
+slide over the words near those of the prefixes, and of each text only one travels for
+each template: the first that shares most with it.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -99,11 +103,12 @@ def scan(
     rank = {vocabulary[w]: i for i, w in enumerate(order)}
     ordered = [sorted(rank[w] for w in s) for _, s in sets]
     prefix = {s[i] for s, need in zip(ordered, needs) for i in range(len(s) - need + 1)}
+    width = max((len(words(text.encode())) for _, text in templates), default=1)
 
     id_type = source.schema["doc_id"].dataType.simpleString()
     scanned = materialise(
         source.mapInArrow(
-            _blocks(rank, prefix, min(needs, default=1), dict(phrases)),
+            _blocks(rank, prefix, list(zip(ordered, needs)), width, dict(phrases)),
             f"doc_id {id_type}, text_hash bigint, n_words bigint, n_base bigint, first_word bigint, "
             "last_word bigint, base_labels array<string>, blocks array<array<int>>",
         ),
@@ -148,7 +153,7 @@ def _need(size: int, containment: float) -> int:
 
 
 def _frequencies(vocabulary: list[bytes]):
-    """Blocks that hold each template word."""
+    """Lines that hold each template word."""
     number = {w: i for i, w in enumerate(vocabulary)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,10 +171,49 @@ def _frequencies(vocabulary: list[bytes]):
     return run
 
 
-def _blocks(rank: dict[bytes, int], prefix: set[int], least: int, phrases: dict[str, str]):
+def _windows(own: list[bytes], rank: dict[bytes, int], prefix: set[int], ordered: list, width: int) -> list[list[int]]:
+    """For each template (words, need) that a window of ``width`` words holds, the first of those that share most."""
+    templates_of: dict[int, list[int]] = {}
+    for t, (held, _) in enumerate(ordered):
+        for w in held:
+            templates_of.setdefault(w, []).append(t)
+    needs = [need for _, need in ordered]
+    places = [(i, rank[w]) for i, w in enumerate(own) if w in rank]
+    marks = [i for i, w in places if w in prefix]
+    # Only words within a window's reach of a prefix word.
+    after = [bisect_left(marks, i) for i, _ in places]
+    places = [
+        (i, w) for (i, w), k in zip(places, after)
+        if (k < len(marks) and marks[k] - i < width) or (k and i - marks[k - 1] < width)
+    ]
+    best: dict[int, int] = {}
+    blocks: dict[int, list[int]] = {}
+    count: Counter = Counter()
+    shared, first = [0] * len(ordered), 0
+    for i, word in places:
+        count[word] += 1
+        if count[word] == 1:
+            for t in templates_of[word]:
+                shared[t] += 1
+        while places[first][0] <= i - width:
+            gone = places[first][1]
+            count[gone] -= 1
+            if not count[gone]:
+                del count[gone]
+                for t in templates_of[gone]:
+                    shared[t] -= 1
+            first += 1
+        for t in templates_of[word]:
+            if shared[t] >= needs[t] and shared[t] > best.get(t, 0):
+                best[t], blocks[t] = shared[t], sorted(count)
+    return [blocks[t] for t in sorted(blocks)]
+
+
+def _blocks(rank: dict[bytes, int], prefix: set[int], ordered: list, width: int, phrases: dict[str, str]):
     names = ["doc_id", "text_hash", "n_words", "n_base", "first_word", "last_word", "base_labels", "blocks"]
     patterns = [(re.compile(b"(?= %s )" % p.encode()), label) for p, label in phrases.items()]
     rare = {w for w, i in rank.items() if i in prefix}
+    least = min((need for _, need in ordered), default=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,6 +233,8 @@ def _blocks(rank: dict[bytes, int], prefix: set[int], least: int, phrases: dict[
                     held = rank.keys() & line.split()
                     if len(held) >= least and not rare.isdisjoint(held):
                         blocks.append(sorted(rank[w] for w in held))
+                if not rare.isdisjoint(own):
+                    blocks += _windows(own, rank, prefix, ordered, width)
                 rows.append((
                     len(own), len(places), min(places, default=None), max(places, default=None),
                     sorted(labels), blocks,
