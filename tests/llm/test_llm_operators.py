@@ -393,6 +393,21 @@ def test_rendering(html, text):
     assert html_render.render(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<html><head><title>T</title><p>text<div>more", "text\n\nmore"), ("<head><title>T</title>text <b>more</b>", "text more"),
+    ("<head>\n<meta charset=x><link rel=y><script>s</script><noscript>n</noscript>\n<title>T</title></head><body>b", "b"),
+    ("a <i aria-hidden='true'>b</i> c", "a b c"), ("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "x=2"),
+    ("a<math><mi>x</mi><annotation>tex</annotation></math>", "ax"),
+    ("<div style='visibility: hidden'>no<b style='visibility:visible'>yes<i>too</i></b>no</div>", "yestoo"),
+    ("<ol style='visibility:hidden'><li>no<li style='visibility:visible'>yes</ol>", "2. yes"),
+    ("<div style='visibility:hidden'><hr><table><tr><td>no</table></div>yes", "yes"),
+    ("<p>a<svg width='3'/>b <math/>c<p>d", "ab c\n\nd"), ("<p>a<svg><path d='x'/><g>no</g></svg>b", "ab"),
+    ("a<b/>c<div/>d", "ac\nd"),
+])
+def test_rendering_of_implied_and_foreign_tags(html, text):
+    assert html_render.render(html) == text
+
+
 def test_deep_and_wide_pages_end():
     assert html_render.render("<div>" * 20_000 + "x") == "x"
     assert html_render.render("<ul><li>" * 3000 + "x").strip("- ") == "x"

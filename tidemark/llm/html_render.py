@@ -21,7 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_HIDDEN = frozenset("head script style template noscript iframe object svg math audio video canvas datalist".split())
+_HIDDEN = frozenset(
+    "head script style template noscript iframe object svg annotation annotation-xml audio video canvas datalist".split()
+)
+# What may stand in a head; anything else ends it.
+_IN_HEAD = frozenset("head title meta link base basefont bgsound script style template noscript noframes".split())
+# Inside svg and math a slash closes a tag, but for what stands in these.
+_FOREIGN = frozenset(("svg", "math"))
+_HTML_AGAIN = frozenset("foreignobject desc title mi mo mn ms mtext annotation-xml".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td "
@@ -38,7 +45,8 @@ _CLOSES = {
     **{t: ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}) for t in ("thead", "tbody", "tfoot")},
 }
 _ENDS_PARAGRAPH = _BLOCK - {"td", "th", "tr", "thead", "tbody", "tfoot", "title", "option", "optgroup", "html", "body"}
-_INVISIBLE_STYLE = re.compile(r"(^|;)\s*(display\s*:\s*none|visibility\s*:\s*(hidden|collapse))\b", re.I)
+_INVISIBLE_STYLE = re.compile(r"(^|;)\s*display\s*:\s*none\b", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|initial|hidden|collapse)\b", re.I)
 _BLANK = re.compile("[ \t\n\r\f]+")
 
 
@@ -47,6 +55,9 @@ class _Node:
     tag: str
     visible: bool = True
     children: list[_Node | str] = field(default_factory=list)
+    # Whether its own text shows; elements inside may differ.
+    shown: bool = True
+    foreign: bool = False
 
 
 class _TreeBuilder(HTMLParser):
@@ -62,6 +73,8 @@ class _TreeBuilder(HTMLParser):
             return
         if tag == "body":
             self._end({"head"}, set())
+        if tag not in _IN_HEAD:
+            self._end_head()
         ends, within = _CLOSES.get(tag, (set(), set()))
         if tag in _ENDS_PARAGRAPH:
             self._end({"p"}, {"table", "td", "th", "button", "li", "dd"})
@@ -72,18 +85,24 @@ class _TreeBuilder(HTMLParser):
             self._push(_Node("tr"))
         given = {k: v or "" for k, v in attributes}
         hidden = (
-            tag in _HIDDEN or "hidden" in given or given.get("aria-hidden", "").lower() == "true"
-            or (tag == "input") or bool(_INVISIBLE_STYLE.search(given.get("style", "")))
+            tag in _HIDDEN or "hidden" in given or (tag == "input") or bool(_INVISIBLE_STYLE.search(given.get("style", "")))
             or (tag == "dialog" and "open" not in given)
         )
+        parent = self.open[-1]
+        stated = _VISIBILITY.findall(given.get("style", ""))
         node = _Node(tag, not hidden)
-        self.open[-1].children.append(node)
+        node.shown = stated[-1].lower() in ("visible", "initial") if stated else parent.shown
+        node.foreign = tag in _FOREIGN or (parent.foreign and tag not in _HTML_AGAIN)
+        parent.children.append(node)
         if tag not in _VOID:
             self.open.append(node)
 
     def handle_startendtag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
-        # A slash means nothing on other than void tags.
+        # A slash means nothing on other than void tags, svg, math and what stands in these.
+        closed = tag in _FOREIGN or self.open[-1].foreign
         self.handle_starttag(tag, attributes)
+        if closed and self.open[-1].tag == tag:
+            self.open.pop()
 
     def handle_endtag(self, tag: str) -> None:
         if tag in _VOID or tag in ("html", "body"):
@@ -96,9 +115,17 @@ class _TreeBuilder(HTMLParser):
                 return  # the end tag belongs outside the cell
 
     def handle_data(self, data: str) -> None:
-        self.open[-1].children.append(data)
+        if data.strip(" \t\n\r\f"):
+            self._end_head()
+        if self.open[-1].shown:
+            self.open[-1].children.append(data)
+
+    def _end_head(self) -> None:
+        if self.open[-1].tag == "head":
+            self.open.pop()
 
     def _push(self, node: _Node) -> None:
+        node.shown = self.open[-1].shown
         self.open[-1].children.append(node)
         self.open.append(node)
 
@@ -183,7 +210,7 @@ def _lines(node: _Node, depth: int = 0) -> list[str]:
             page.end_line()
         elif child.tag == "hr":
             page.space()
-            page.verbatim(["---"])
+            page.verbatim(["---"] if child.shown else [])
             page.space()
         elif child.tag in ("ul", "ol", "menu") and depth < 50:
             page.space() if depth == 0 else page.end_line()
@@ -219,7 +246,12 @@ def _list(node: _Node, depth: int) -> list[str]:
             if child is not None and child.visible:
                 number += 1
                 mark = f"{number}. " if node.tag == "ol" else "- "
-                lines = _lines(child, depth + 1) or [""]
+                lines = _lines(child, depth + 1)
+                if not child.shown:
+                    if not lines:
+                        continue
+                    mark = " " * len(mark)
+                lines = lines or [""]
                 out.append((mark + lines[0]).rstrip())
                 out += [(" " * len(mark) + x).rstrip() for x in lines[1:]]
         else:
