@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontaminate, html_render, licenses, lm_scoring, mixing, ngram_join, quality_classifier, quality_rules,
-    suffix_dedup, warc,
+    conversation_repair, decontaminate, html_render, licenses, lm_scoring, mixing, ngram_join, quality_classifier,
+    quality_rules, suffix_dedup, warc, whitening,
 )
 
 POLICY = "v3"
@@ -86,11 +86,27 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversation_repair.damaged(_table(spark, sf_dir, "conversations"))
+    return conversation_repair.reports(rows).select(
+        F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        "repaired_sha256",
+    )
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return whitening.whitened(rows, whitening.fit(rows)).select(
+        "vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened", "explained",
+        "identity_error",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_ngram_jaccard_join, op3_quality_classifier, op4_warc_revisits, op5_decontaminate,
-        op6_suffix_dedup, op7_html_render, op8_license_scan, op9_mixture, op10_lm_scoring,
+        op6_suffix_dedup, op7_html_render, op8_license_scan, op9_mixture, op10_lm_scoring, op11_conversation_repair, op13_whitening,
     )
 }
 
@@ -98,4 +114,5 @@ ORACLE_SQL = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op4_warc_revisits": warc.ORACLE,
     "op5_decontaminate": decontaminate.ORACLE,
+    "op11_conversation_repair": conversation_repair.ORACLE,
 }
