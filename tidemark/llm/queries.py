@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
     conversation_repair, decontaminate, html_render, licenses, lm_scoring, mixing, ngram_join, quality_classifier,
-    quality_rules, suffix_dedup, warc, whitening,
+    quality_rules, suffix_dedup, token_files, warc, whitening,
 )
+from tidemark.sources.storage import materialise, scratch_path
 
 POLICY = "v3"
 THRESHOLD = 0.3
@@ -94,6 +96,14 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    vocabulary = token_files.load_vocabulary(public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    token_files.write(_table(spark, sf_dir, "documents"), path, vocabulary)
+    documents = materialise(token_files.read(spark, path), "token-documents")
+    return token_files.offsets(documents).select(F.col("doc").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     return whitening.whitened(rows, whitening.fit(rows)).select(
@@ -106,7 +116,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_ngram_jaccard_join, op3_quality_classifier, op4_warc_revisits, op5_decontaminate,
-        op6_suffix_dedup, op7_html_render, op8_license_scan, op9_mixture, op10_lm_scoring, op11_conversation_repair, op13_whitening,
+        op6_suffix_dedup, op7_html_render, op8_license_scan, op9_mixture, op10_lm_scoring, op11_conversation_repair, op12_token_files,
+        op13_whitening,
     )
 }
 
