@@ -40,16 +40,20 @@ def cast_to_schema(
         none = F.array().cast("array<string>")
         lost = [
             F.when(
-                _source_text(df, field.name, trim).isNotNull()
-                & _typed(_source_text(df, field.name, trim), field).isNull(),
-                F.array(F.lit(field.name)),
+                _source_text(df, name, trim).isNotNull() & _typed(_source_text(df, name, trim), declared[name]).isNull(),
+                F.array(F.lit(name)),
             ).otherwise(none)
-            for field in schema.fields
+            for name in casts(df, schema)
         ]
-        projection.append(F.concat(*lost).alias(CAST_FAILED))
+        projection.append((F.concat(*lost) if lost else none).alias(CAST_FAILED))
     return df.select(*projection)
 
 
+def casts(df: DataFrame, schema: StructType) -> list[str]:
+    """The contract columns whose type differs from the declared one, in the contract's order."""
+    return [f.name for f in schema.fields if f.name in df.columns and df.schema[f.name].dataType != f.dataType]
+
+
 def all_text(schema: StructType) -> StructType:
     """The same columns, every one of them a nullable string."""
     return StructType([StructField(field.name, StringType(), True) for field in schema.fields])

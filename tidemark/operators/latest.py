@@ -11,13 +11,13 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantT
 _RANK = "_rank"
 
 
-def _orderable(dtype: DataType) -> bool:
+def orderable(dtype: DataType) -> bool:
     if isinstance(dtype, (MapType, VariantType)):
         return False
     if isinstance(dtype, ArrayType):
-        return _orderable(dtype.elementType)
+        return orderable(dtype.elementType)
     if isinstance(dtype, StructType):
-        return all(_orderable(f.dataType) for f in dtype.fields)
+        return all(orderable(f.dataType) for f in dtype.fields)
     return True
 
 
@@ -27,7 +27,7 @@ def tie_breakers(df: DataFrame, exclude: Sequence[str]) -> list[Column]:
     return [
         F.col(f"`{f.name}`").desc_nulls_last()
         for f in df.schema.fields
-        if f.name not in exclude and _orderable(f.dataType)
+        if f.name not in exclude and orderable(f.dataType)
     ]
 
 

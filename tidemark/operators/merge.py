@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.latest import latest_per_key, tie_breakers
+from tidemark.operators.latest import latest_per_key, orderable, tie_breakers
 from tidemark.operators.sizing import BROADCAST_LIMIT, fits
 
 _SIDE = "_from_batch"
@@ -49,10 +51,7 @@ def merge_into_state(
     """
     if existing is None:
         return batch
-    if set(existing.columns) != set(batch.columns):
-        raise ValueError(
-            f"columns differ: {sorted(existing.columns)} and {sorted(batch.columns)}"
-        )
+    _require_same_columns(existing, batch)
     marks = batch.select(*_renamed(keys), F.col(ts).alias("_batch_ts"), F.lit(True).alias(_MATCHED))
     if fits(marks, broadcast_limit):
         marks = F.broadcast(marks)
@@ -72,6 +71,62 @@ def merge_into_state(
     return kept.unionByName(fresh)
 
 
+def changes_to(existing: DataFrame, batch: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """``before`` and ``after`` of every row of ``batch`` that changes a keyed table.
+
+    For tables that hold each key at most once, and no NULL key, on both sides: a row
+    counts if its key is new (``before`` is NULL) or the table's row of the key is not newer and
+    differs from it. A table stored in buckets of the keys is not shuffled; the batch is.
+    """
+    _require_same_columns(existing, batch)
+    columns = [f"`{c}`" for c in existing.columns]
+    after = batch.select(F.struct(*columns).alias("after"))
+    joined = after.join(existing, _after_has(keys), "left")
+    known = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
+    won = ~_newer(F.col(f"`{ts}`"), F.col(f"after.`{ts}`"))
+    # Columns without an order, such as maps, can't be compared and count as changed.
+    equal = [
+        F.col(f"`{f.name}`").eqNullSafe(F.col(f"after.`{f.name}`")) if orderable(f.dataType) else F.lit(False)
+        for f in existing.schema.fields
+    ]
+    return joined.filter(~known | (won & ~reduce(and_, equal))).select(
+        F.when(known, F.struct(*columns)).alias("before"), "after"
+    )
+
+
+def apply_changes(existing: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``existing`` with the ``after`` rows of :func:`changes_to` in place of their keys' rows.
+
+    One full join by the keys: a table stored in buckets of them is read bucket by bucket
+    and comes out in the same buckets, sorted, without a shuffle.
+    """
+    changed = F.col("after").isNotNull()
+    return existing.join(changes.select("after"), _after_has(keys), "full").select(
+        *[F.when(changed, F.col(f"after.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in existing.columns]
+    )
+
+
+def _after_has(keys: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(f"`{k}`") == F.col(f"after.`{k}`") for k in keys])
+
+
+def net_changes(changes: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """One ``before`` and ``after`` per key from the changes of consecutive versions, oldest first."""
+    if len(changes) == 1:
+        return changes[0]
+    numbered = [c.withColumn("_turn", F.lit(i)) for i, c in enumerate(changes)]
+    together = reduce(DataFrame.unionByName, numbered)
+    # A struct may be NULL, which min_by takes as a value like others.
+    return together.groupBy(*[F.col(f"after.`{k}`").alias(f"_{i}") for i, k in enumerate(keys)]).agg(
+        F.min_by("before", "_turn").alias("before"), F.max_by("after", "_turn").alias("after")
+    ).select("before", "after")
+
+
+def _require_same_columns(existing: DataFrame, batch: DataFrame) -> None:
+    if set(existing.columns) != set(batch.columns):
+        raise ValueError(f"columns differ: {sorted(existing.columns)} and {sorted(batch.columns)}")
+
+
 def _renamed(keys: Sequence[str]) -> list[Column]:
     return [F.col(k).alias(f"_batch_{k}") for k in keys]
 

@@ -7,10 +7,12 @@ from functools import reduce
 from operator import or_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.casting import CAST_FAILED
 from tidemark.functions.rules import ERRORS, VALID, any_failure, error_column, tag_failures
+from tidemark.operators.latest import tie_breakers
 
 # The gate, the two statuses and the metric names of the payload.
 MINIMUM_YIELD = 90.0
@@ -24,6 +26,10 @@ COUNT_FIELDS = (
 )
 YIELD_FIELD = "data_health_yield_percentage"
 
+# What becomes of a row of a batch.
+OUTCOME, CLEAN, REJECTED = "outcome", "clean", "rejected"
+_ALONE, _RANK = "_alone", "_rank"
+
 
 class MissingColumnsError(ValueError):
     """The raw batch lacks columns its contract requires."""
@@ -60,6 +66,46 @@ def split_by_rules(df: DataFrame, rules: Mapping[str, str]) -> Routed:
     return Routed(df.filter(~any_failure(rules)), tag_failures(df.filter(bad), rules).drop(VALID))
 
 
+def sorted_out(tagged: DataFrame, rules: Mapping[str, str], keys: Sequence[str], ts: str) -> DataFrame:
+    """Every rejected row, and of the valid rows the newest of each key, told apart by ``outcome``.
+
+    One shuffle for both: valid rows meet by their key, where all but one per key and map task
+    have already gone, and each rejected row is a group of its own, so that neither
+    a frequent key nor many rejected rows gather in one task.
+    """
+    tags = [*map(error_column, rules), ERRORS, VALID, CAST_FAILED]
+    plain = [c for c in tagged.columns if c not in tags]
+    alone = F.when(~F.col(VALID), F.monotonically_increasing_id())
+    order = [F.col(f"`{ts}`").desc_nulls_last(), *tie_breakers(tagged.select(*[f"`{c}`" for c in plain]), [*keys, ts])]
+    window = Window.partitionBy(*[f"`{k}`" for k in keys], _ALONE).orderBy(*order)
+    ranked = tagged.withColumn(_ALONE, alone).withColumn(_RANK, F.row_number().over(window))
+    outcome = F.when(F.col(VALID), F.lit(CLEAN)).otherwise(F.lit(REJECTED))
+    return ranked.filter(F.col(_RANK) == 1).drop(_RANK, _ALONE).withColumn(OUTCOME, outcome).drop(VALID)
+
+
+def outcome_counts(rules: Mapping[str, str], cast_columns: Sequence[str] = ()) -> list[Column]:
+    """What to observe of the rows of :func:`sorted_out`: rows by outcome, and failures per rule and cast."""
+    return [
+        F.count_if(F.col(OUTCOME) == CLEAN).alias("promoted"),
+        F.count_if(F.col(OUTCOME) == REJECTED).alias("quarantined"),
+        *[F.count(error_column(rule)).alias(error_column(rule)) for rule in rules],
+        *[F.count_if(F.array_contains(CAST_FAILED, c)).alias(f"{CAST_FAILED}:{c}") for c in cast_columns],
+    ]
+
+
+def counts_frame(spark: SparkSession, total: int, observed: Mapping[str, int], rules: Mapping[str, str]) -> DataFrame:
+    """The row of counts that :func:`quality_metrics` takes, from observed figures."""
+    quarantined = observed["quarantined"]
+    none = F.create_map().cast("map<string,bigint>")
+    pairs = [part for rule in rules for part in (F.lit(rule), F.lit(observed[error_column(rule)]).cast("long"))]
+    return spark.range(1, numPartitions=1).select(
+        F.lit(total).cast("long").alias("input"), F.lit(quarantined).cast("long").alias("quarantined"),
+        F.lit(total - quarantined).cast("long").alias("clean"),
+        F.lit(observed["promoted"]).cast("long").alias("promoted"),
+        (F.create_map(*pairs) if pairs and quarantined else none).alias("failures_by_rule_breakdown"),
+    )
+
+
 def failures_by_rule(quarantined: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """One row per rule with the number of rows it rejected, in one pass."""
     counts = quarantined.agg(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -23,7 +24,9 @@ def side_by_side(work: Callable[[Item], Result], items: Iterable[Item]) -> list[
     # Threads take over the job group, tags and pool of the caller.
     work = inheritable_thread_target(SparkSession.active())(work)
     with ThreadPoolExecutor(max_workers=max(1, len(items))) as pool:
-        return [future.result() for future in [pool.submit(work, item) for item in items]]
+        # Each thread has a copy of the caller's context, such as the owner of scratch tables.
+        running = [pool.submit(copy_context().run, work, item) for item in items]
+        return [future.result() for future in running]
 
 
 def raise_all(problems: list[Exception], message: str) -> None:

@@ -33,4 +33,9 @@ class Warehouse:
 
     @property
     def gold(self) -> str:
+        """Versions of the star schema: its aggregate, and which parts belong to it."""
         return f"{self.root}/gold"
+
+    def gold_part(self, name: str) -> str:
+        """Dimensions and days of the fact, under the build that wrote them."""
+        return f"{self.root}/gold_parts/{name}"

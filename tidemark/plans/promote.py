@@ -7,26 +7,29 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contracts import TableContract
-from tidemark.functions.casting import cast_to_schema
+from tidemark.functions.casting import CAST_FAILED, cast_to_schema, casts
 from tidemark.functions.rules import tag_failures
-from tidemark.operators.latest import latest_per_key
-from tidemark.operators.merge import merge_into_state
 from tidemark.operators.quality import (
+    CLEAN,
     FAILED_TOLERANCE,
+    OUTCOME,
+    REJECTED,
     YieldBelowTolerance,
     as_json,
+    counts_frame,
+    outcome_counts,
     quality_metrics,
     require_columns,
-    route,
-    tag_counts,
+    sorted_out,
 )
 from tidemark.plans.concurrent import raise_all, side_by_side
 from tidemark.plans.layout import Warehouse
-from tidemark.sources import bronze, ledger, snapshots, storage
+from tidemark.plans.versions import merge_and_publish
+from tidemark.sources import bronze, ledger, storage
 
 NO_BATCH = "skipped: no raw batch"
 EMPTY_BATCH = "skipped: empty raw batch"
@@ -42,6 +45,8 @@ class Promotion:
     metrics: dict = field(default_factory=dict)
     seconds: float = 0.0
     problem: Exception | None = None
+    # Rows of the outcome whose text in a column did not parse, by column.
+    cast_failures: dict[str, int] = field(default_factory=dict)
 
     @property
     def rows(self) -> int:
@@ -61,12 +66,15 @@ def promote_tables(
 
     Tables do not wait for each other; failures are raised once all of them
     have been tried and the metrics of all were kept. ``keep_versions`` removes
-    older versions of a table once the new one is published.
+    older versions of a table once the new one is published. Nothing but the quarantine, the
+    metrics and the tables is left of a promotion, however it ends.
     """
-    done = side_by_side(
-        lambda contract: _promote(spark, contract, warehouse, run_id, fmt, trim, keep_versions),
-        contracts,
-    )
+
+    def promote(contract: TableContract) -> Promotion:
+        with storage.owned_scratch(spark):
+            return _promote(spark, contract, warehouse, run_id, fmt, trim, keep_versions)
+
+    done = side_by_side(promote, contracts)
     _keep_metrics(spark, [p.metrics for p in done if p.metrics], warehouse)
     ledger.append(
         spark,
@@ -88,62 +96,55 @@ def _promote(
     trim: bool,
     keep_versions: int | None,
 ) -> Promotion:
-    """Metrics are counted from written tables rather than with accumulators,
-    which can count a re-run task twice. The yield gate is checked before the
-    state is touched; quarantined rows are kept either way."""
+    """One pass over the batch writes its clean and its rejected rows side by side.
+
+    They are counted on their way into the files, above the shuffle, where Spark counts a
+    re-run task once; how many rows went in is known from the batch's footers. The yield
+    gate is checked before the state is touched; quarantined rows are kept either way.
+    """
     started = time.monotonic()
     table = contract.name
     payload: dict = {}
+    lost: dict[str, int] = {}
+    staged = warehouse.staged(table, run_id)
     try:
         raw = bronze.read_run(spark, bronze.run_path(warehouse.root, table, run_id), fmt)
         if raw is None:
             return Promotion(table, NO_BATCH)
-        if raw.isEmpty():
+        total = raw.count()
+        if total == 0:
             return Promotion(table, EMPTY_BATCH)
         require_columns(raw, contract.required_columns, table)
-        staged = warehouse.staged(table, run_id)
-        tagged = tag_failures(cast_to_schema(raw, contract.schema, trim=trim), contract.rules)
-        if fmt != "parquet":
-            # Text is parsed once; a Parquet batch is cheaper to scan again.
-            tagged = _written(tagged, f"{staged}/tagged")
-        clean, quarantined = route(tagged, contract.rules)
-        latest = _written(
-            latest_per_key(clean, [contract.key], contract.watermark), f"{staged}/latest"
-        )
-        counts = tag_counts(tagged, contract.rules).withColumn(
-            "promoted", F.lit(latest.count()).cast("long")
+        cast = casts(raw, contract.schema)
+        typed = cast_to_schema(raw, contract.schema, trim=trim, report_failures=True)
+        columns = [c for c in typed.columns if c != CAST_FAILED]
+        rows = sorted_out(tag_failures(typed, contract.rules), contract.rules, [contract.key], contract.watermark)
+        written = Observation()
+        rows.observe(written, *outcome_counts(contract.rules, cast)).write.mode("overwrite").partitionBy(OUTCOME).parquet(
+            staged
         )
+        found = written.get
+        lost = {c: found[f"{CAST_FAILED}:{c}"] for c in cast if found[f"{CAST_FAILED}:{c}"]}
+        counts = counts_frame(spark, total, found, contract.rules)
         payload = json.loads(as_json(quality_metrics(counts, table, run_id)).first()[0])
         # A repeated run may reject fewer rows than the attempt before it.
         storage.remove(spark, warehouse.quarantine(table, run_id))
-        if payload["metrics"]["quarantined_records_isolated"] > 0:
-            quarantined.write.mode("overwrite").parquet(warehouse.quarantine(table, run_id))
+        if found["quarantined"]:
+            storage.move(spark, f"{staged}/{OUTCOME}={REJECTED}", warehouse.quarantine(table, run_id))
         if payload["execution_status"] == FAILED_TOLERANCE:
             share = payload["metrics"]["data_health_yield_percentage"]
             raise YieldBelowTolerance(f"{table}: only {share} % of run {run_id} was promoted")
-        version = merge_and_publish(latest, warehouse.silver(table), contract, keep_versions)
+        latest = typed.select(*[f"`{c}`" for c in columns]).limit(0)
+        if found["promoted"]:
+            latest = spark.read.schema(latest.schema).parquet(f"{staged}/{OUTCOME}={CLEAN}")
+        version = merge_and_publish(
+            latest, warehouse.silver(table), [contract.key], contract.watermark, keep_versions, keep_changes=True
+        )
     except Exception as problem:
-        return Promotion(table, FAILED, metrics=payload, problem=problem)
-    return Promotion(table, PUBLISHED, version, payload, time.monotonic() - started)
-
-
-def merge_and_publish(
-    latest: DataFrame, root: str, contract: TableContract, keep_versions: int | None = None
-) -> int:
-    """Merges a deduplicated batch into the published table at ``root``."""
-    spark = latest.sparkSession
-    current = snapshots.current_version(spark, root)
-    state = None if current is None else snapshots.read_version(spark, root, current)
-    merged = merge_into_state(state, latest, [contract.key], contract.watermark)
-    version = snapshots.replace(merged, root, based_on=current or 0)
-    if keep_versions is not None:
-        snapshots.retire(spark, root, keep_versions)
-    return version
-
-
-def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+        return Promotion(table, FAILED, metrics=payload, problem=problem, cast_failures=lost)
+    finally:
+        storage.remove(spark, staged)
+    return Promotion(table, PUBLISHED, version, payload, time.monotonic() - started, cast_failures=lost)
 
 
 def _keep_metrics(spark: SparkSession, payloads: list[dict], warehouse: Warehouse) -> None:

@@ -12,6 +12,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Bucketed state tables have one sorted file per bucket; a merge need not sort them again.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
 }
 
 

@@ -9,6 +9,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from py4j.protocol import Py4JJavaError
@@ -35,6 +38,14 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
 
 
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files right below ``path``; empty when it does not exist."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(target) if s.isFile()]
+
+
 # File systems on which only one of several writers can create a file.
 EXCLUSIVE_SCHEMES = ("file", "hdfs", "viewfs")
 
@@ -76,6 +87,15 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder, whose new place must be free."""
+    fs, old = _file_system(spark, source)
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, from ``spark.checkpoint.dir``.
 
@@ -95,9 +115,39 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+# Scratch paths of the job that is running in this context, None outside any.
+_OWNED: ContextVar[list[str] | None] = ContextVar("tidemark_scratch", default=None)
+
+
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes all scratch tables made inside once the block is left, however it is left.
+
+    For jobs whose results are published or collected inside the block: what is
+    still to be read afterwards must not depend on scratch tables. Blocks may be
+    nested, and the threads of ``side_by_side`` belong to the block they start in.
+    """
+    paths: list[str] = []
+    token = _OWNED.set(paths)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
-    """A fresh path in the shared folder; never reused between calls."""
-    return f"{shared_folder(spark)}/tidemark/{purpose}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; never reused between calls.
+
+    It belongs to the ``owned_scratch`` block it is made in, and to the caller
+    outside of any.
+    """
+    path = f"{shared_folder(spark)}/tidemark/{purpose}-{uuid.uuid4().hex}"
+    paths = _OWNED.get()
+    if paths is not None:
+        paths.append(path)
+    return path
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:

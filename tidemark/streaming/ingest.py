@@ -13,9 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.contracts import TableContract
-from tidemark.operators.latest import latest_per_key
-from tidemark.plans.promote import merge_and_publish
-from tidemark.sources.storage import materialise
+from tidemark.plans.versions import merge_stream_batch
 
 
 # A century.
@@ -50,13 +48,7 @@ def merge_batch(
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
-        # Written once: sizing and merging would each run the deduplication.
-        latest = materialise(
-            latest_per_key(batch, [contract.key], contract.watermark), "stream-batch"
-        )
-        merge_and_publish(latest, root, contract, keep_versions)
+        merge_stream_batch(batch, root, [contract.key], contract.watermark, keep_versions)
 
     return merge
 
