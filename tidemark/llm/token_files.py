@@ -8,13 +8,14 @@ select on the ends; there is no table of 64-bit offsets. Files are written by Sp
 which commits the output of one attempt of each task on any file system.
 
 **Encoding.** BPE with byte-level pre-tokens never joins anything across a space that stands before a
-letter or digit, so texts are cut there and each distinct piece is encoded once per task, a
-few in one call, parted by line breaks. Tokenizers of other kinds encode whole texts. The result is that of the whole text
+letter or digit, so texts are cut there and each distinct piece is encoded once per worker (if
+it comes up again before many others), a few in one call, parted by line breaks. Tokenizers of other kinds encode whole texts. The result is that of the whole text
 either way, and the memory that of pieces, however long a text is.
 """
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import json
 import os
@@ -38,8 +39,10 @@ MAGIC, VERSION = b"TOKENIDS", 1
 _FOOTER = struct.Struct("<8sBBIIQQQQq")
 _END = b"\n"
 FILE_TOKENS = 4 << 20
-# Pieces a task remembers, and what it encodes in one call.
-_REMEMBERED, _GROUP, _SLICE = 300_000, 20, 1 << 20
+# Pieces a worker remembers (up to twice as many), pieces of one call, characters of a slice.
+_REMEMBERED, _GROUP, _SLICE = 400_000, 20, 1 << 20
+# Encoders of this process: the tasks of a worker share what it has learned.
+_ENCODERS: dict[tuple[bytes, int], Encoder] = {}
 _CUT = re.compile(r" (?=[^\W_])")
 _UNSAFE = re.compile(r" (?![^\W_])")
 _DOCUMENTS = "part int, start_in_part long, doc long, n_tokens long, ids_crc32 long"
@@ -82,10 +85,20 @@ class Encoder:
         self.dtype = np.dtype("<u2" if largest < 1 << 16 else "<u4")
         self.end = np.array([vocabulary.end_id], self.dtype).tobytes()
         self.in_pieces = vocabulary.in_pieces
+        # Pieces met lately, and those met before; the latter go when the former are full.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         line = self._ids(["\n"])[0]
         self.line = int(np.frombuffer(line, self.dtype)[0]) if len(line) == self.dtype.itemsize else None
 
+    @staticmethod
+    def of(vocabulary: Vocabulary) -> Encoder:
+        """This process's encoder of the vocabulary."""
+        key = hashlib.sha256(vocabulary.tokenizer.encode("utf-8")).digest(), vocabulary.end_id
+        if key not in _ENCODERS:
+            _ENCODERS[key] = Encoder(vocabulary)
+        return _ENCODERS[key]
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
@@ -120,8 +133,11 @@ class Encoder:
                     keys[-1] += " " + piece
         first, rest = keys[0], keys[1:]
         if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        self._learn({k for k in rest if k not in self.known})
+            self.known, self.older = {}, self.known
+        missing = {k for k in rest if k not in self.known}
+        again = missing & self.older.keys()
+        self.known.update((k, self.older[k]) for k in again)
+        self._learn(missing - again)
         return (self._ids([first])[0] if first else b"") + b"".join(map(self.known.__getitem__, rest))
 
     def _learn(self, pieces: set[str]) -> None:
@@ -247,7 +263,7 @@ def file_of(
 
 def _file_writer(vocabulary: Vocabulary, file_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(vocabulary), TaskContext.get().partitionId()
+        encoder, part = Encoder.of(vocabulary), TaskContext.get().partitionId()
         width = encoder.dtype.itemsize
         ids, lengths, doc_ids = bytearray(), [], []
         file = before = 0
