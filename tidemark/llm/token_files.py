@@ -22,7 +22,7 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -105,65 +105,69 @@ class Encoder:
 
     def encode(self, text: str) -> Iterator[bytes]:
         """The ids of a text in parts, the end not among them."""
-        if not self.in_pieces:
-            yield self._ids([text])[0]
-            return
         at = 0
-        while len(text) - at > _SLICE:
+        while self.in_pieces and len(text) - at > _SLICE:
             cut = _CUT.search(text, at + _SLICE)
             if cut is None:
                 break
-            yield self._encode_slice(text[at : cut.start()])
+            yield self.encode_all([text[at : cut.start()]])[0]
             at = cut.start()
-        yield self._encode_slice(text[at:] if at else text)
-
-    def _encode_slice(self, text: str) -> bytes:
-        if not text:
-            return b""
-        pieces = text.split(" ")
-        if _UNSAFE.search(text) is None:
-            # The space goes to the piece behind it; the first one has none.
-            keys = pieces
-        else:
-            keys = [pieces[0]]
-            for piece in pieces[1:]:
-                if piece[:1].isalnum():
-                    keys.append(piece)
-                else:
-                    keys[-1] += " " + piece
-        first, rest = keys[0], keys[1:]
+        yield self.encode_all([text[at:] if at else text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of some texts, or slices of texts, that are short together."""
+        if not self.in_pieces:
+            return self._ids(texts)
+        pieces = [_pieces(text) for text in texts]
         if len(self.known) > _REMEMBERED:
             self.known, self.older = {}, self.known
-        missing = {k for k in rest if k not in self.known}
+        # The space goes to the piece behind it; the first one has none.
+        missing = set(itertools.chain.from_iterable(itertools.islice(p, 1, None) for p in pieces))
+        missing = missing.difference(self.known)
         again = missing & self.older.keys()
         self.known.update((k, self.older[k]) for k in again)
-        self._learn(missing - again)
-        return (self._ids([first])[0] if first else b"") + b"".join(map(self.known.__getitem__, rest))
-
-    def _learn(self, pieces: set[str]) -> None:
+        self._learn(list(missing - again))
+        known = self.known
+        return [
+            first + b"".join([known[p] for p in itertools.islice(mine, 1, None)])
+            for first, mine in zip(self._ids([mine[0] for mine in pieces]), pieces)
+        ]
+
+    def _learn(self, pieces: list[str]) -> None:
         """Remembers the ids of the pieces, each with a space before it."""
-        alone = [p for p in pieces if "\n" in p or self.line is None or len(p) > 1000]
-        together = [p for p in pieces if not ("\n" in p or self.line is None or len(p) > 1000)]
+        apart = [self.line is None or "\n" in p or len(p) > 1000 for p in pieces]
+        alone = list(itertools.compress(pieces, apart))
+        together = [p for p, a in zip(pieces, apart) if not a]
         for first in range(0, len(alone), 1000):
             part = alone[first : first + 1000]
             self.known.update(zip(part, self._ids([" " + p for p in part])))
         width = self.dtype.itemsize
-        for first in range(0, len(together), 1000 * _GROUP):
-            part = together[first : first + 1000 * _GROUP]
-            groups = [part[i : i + _GROUP] for i in range(0, len(part), _GROUP)]
-            ids = self._ids([" " + "\n ".join(g) for g in groups])
-            lengths = np.array([len(x) // width for x in ids])
-            data = b"".join(ids)
-            flat = np.frombuffer(data, self.dtype)
+        for first in range(0, len(together), 500 * _GROUP):
+            part = together[first : first + 500 * _GROUP]
             # A line break between two pieces is an id of its own, and no piece here holds one.
-            breaks = np.flatnonzero(flat == self.line)
-            ends = np.cumsum(lengths)
-            stops = np.sort(np.append(breaks, ends))
-            starts = np.append(0, stops[:-1] + np.isin(stops[:-1], breaks, assume_unique=False))
+            ids = self._ids([" " + "\n ".join(part[i : i + _GROUP]) for i in range(0, len(part), _GROUP)])
+            data = (np.array([self.line], self.dtype).tobytes()).join(ids)
+            stops = np.append(np.flatnonzero(np.frombuffer(data, self.dtype) == self.line) * width, len(data)).tolist()
             if len(stops) != len(part):
                 raise ValueError("the tokenizer joins pieces across line breaks")
-            for piece, a, b in zip(part, (starts * width).tolist(), (stops * width).tolist()):
-                self.known[piece] = data[a:b]
+            start = 0
+            for piece, stop in zip(part, stops):
+                self.known[piece] = data[start:stop]
+                start = stop + width
+
+
+def _pieces(text: str) -> list[str]:
+    """The text cut at its spaces, but at none that a token might reach over."""
+    found = text.split(" ")
+    if _UNSAFE.search(text) is None:
+        return found
+    pieces = [found[0]]
+    for piece in found[1:]:
+        if piece[:1].isalnum():
+            pieces.append(piece)
+        else:
+            pieces[-1] += " " + piece
+    return pieces
 
 
 def write(
@@ -272,26 +276,43 @@ def _file_writer(vocabulary: Vocabulary, file_tokens: int):
             content = file_of(bytes(ids), width, lengths, doc_ids, part, file, before)
             return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], names=["content"])
 
-        for batch in batches:
-            for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text")):
-                size = len(ids)
-                data = text.as_py()
-                for some in encoder.encode(data.decode("utf-8", "replace") if data else ""):
-                    ids += some
-                ids += encoder.end
-                lengths.append((len(ids) - size) // width)
-                doc_ids.append(doc)
-                if len(ids) >= file_tokens * width:
-                    yield finished()
-                    before += len(ids) // width
-                    file += 1
-                    ids, lengths, doc_ids = bytearray(), [], []
+        for doc, parts in _encoded(batches, encoder):
+            size = len(ids)
+            for some in parts:
+                ids += some
+            ids += encoder.end
+            lengths.append((len(ids) - size) // width)
+            doc_ids.append(doc)
+            if len(ids) >= file_tokens * width:
+                yield finished()
+                before += len(ids) // width
+                file += 1
+                ids, lengths, doc_ids = bytearray(), [], []
         if doc_ids:
             yield finished()
 
     return run
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[tuple[int | None, Iterable[bytes]]]:
+    """Documents and their ids in parts; short texts are encoded together, long ones in slices."""
+    for batch in batches:
+        docs, texts, size = [], [], 0
+        for doc, value in zip(batch.column("doc").to_pylist(), batch.column("text")):
+            data = value.as_py()
+            text = data.decode("utf-8", "replace") if data else ""
+            if docs and size + len(text) > _SLICE:
+                yield from zip(docs, ([x] for x in encoder.encode_all(texts)))
+                docs, texts, size = [], [], 0
+            if len(text) > _SLICE:
+                yield doc, encoder.encode(text)
+            else:
+                docs.append(doc)
+                texts.append(text)
+                size += len(text)
+        yield from zip(docs, ([x] for x in encoder.encode_all(texts)))
+
+
 def _file_reader(with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
