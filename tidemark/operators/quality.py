@@ -184,3 +184,45 @@ def quality_metrics(counts: DataFrame, table: str, run_id: str) -> DataFrame:
 
 def as_json(metrics: DataFrame, name: str = "payload") -> DataFrame:
     return metrics.select(F.to_json(F.struct("*")).alias(name))
+
+
+METRICS_SCHEMA = (
+    "pipeline_run_id string, table_name string, "
+    "metrics struct<input_records_extracted: bigint, clean_records_promoted: bigint, "
+    "quarantined_records_isolated: bigint, duplicate_records_purged: bigint, "
+    "data_health_yield_percentage: decimal(5,2)>, "
+    "failures_by_rule_breakdown map<string,bigint>, execution_status string"
+)
+
+
+def from_json(payloads: DataFrame, name: str = "payload") -> DataFrame:
+    """The typed rows of :func:`as_json` documents; rules are a map, so new ones need no new column.
+
+    A document that is not such a payload raises.
+    """
+    return payloads.select(F.from_json(name, METRICS_SCHEMA, {"mode": "FAILFAST"}).alias("m")).select("m.*")
+
+
+def yield_history(metrics: DataFrame) -> DataFrame:
+    """Each run's yield per table with the run before it and the change; repeated runs count by themselves."""
+    before = Window.partitionBy("table_name").orderBy("pipeline_run_id", "metrics")
+    share = F.col(f"metrics.{YIELD_FIELD}")
+    return metrics.select(
+        "table_name", "pipeline_run_id", "execution_status", *[f"metrics.{c}" for c in COUNT_FIELDS],
+        share.alias(YIELD_FIELD), F.lag("pipeline_run_id").over(before).alias("previous_run"),
+        (share - F.lag(share).over(before)).alias("yield_change"),
+    )
+
+
+def rule_history(metrics: DataFrame) -> DataFrame:
+    """Failures of every rule a table has ever had, in each of its runs, and the change from the run before.
+
+    A rule a run does not list counts 0 there. One row per run and rule of the same table.
+    """
+    rules = metrics.select("table_name", F.explode(F.map_keys("failures_by_rule_breakdown")).alias("rule")).distinct()
+    before = Window.partitionBy("table_name", "rule").orderBy("pipeline_run_id", "failures")
+    listed = metrics.join(rules, "table_name").select(
+        "table_name", "pipeline_run_id", "rule",
+        F.coalesce(F.col("failures_by_rule_breakdown")[F.col("rule")], F.lit(0).cast("long")).alias("failures"),
+    )
+    return listed.withColumn("change", F.col("failures") - F.lag("failures").over(before))

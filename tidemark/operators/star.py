@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import dimension_join
@@ -25,6 +27,8 @@ CUSTOMER_COLUMNS = {
     "city": "customer_city",
 }
 
+SALES_KEYS = ("order_date", "product_category")
+
 
 def dimension(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Projects the listed columns under their dimension names."""
@@ -68,9 +72,44 @@ def order_fact(
 def daily_category_sales(fact: DataFrame) -> DataFrame:
     """Net sales and order rows per day and category; a missing category is a
     group of its own."""
-    return fact.groupBy("order_date", "product_category").agg(
+    return sales_of(sales_parts(fact))
+
+
+def sales_parts(fact: DataFrame) -> DataFrame:
+    """Daily sales with the counts that let parts of a fact be added and taken away."""
+    return fact.groupBy(*SALES_KEYS).agg(
         F.sum("net_sales").alias("total_revenue"),
         F.count("order_id").alias("total_orders"),
+        F.count("net_sales").alias("priced_rows"),
+        F.count(F.lit(1)).alias("fact_rows"),
+    )
+
+
+def sales_of(parts: DataFrame) -> DataFrame:
+    return parts.select(*SALES_KEYS, "total_revenue", "total_orders")
+
+
+def apply_sales_delta(stored: DataFrame, removed: DataFrame, added: DataFrame) -> DataFrame:
+    """:func:`sales_parts` of a fact after the rows of ``removed`` have left and those of ``added`` have come.
+
+    The three are parts of their own: only rows that change are aggregated, with a sign, and met
+    with the stored figures, one row per day and category. A group goes with its last row, and has
+    no revenue (NULL, not 0) without any price. Exact for decimal sales.
+    """
+    figures = ("total_orders", "priced_rows", "fact_rows")
+    sides = [
+        parts.select(
+            *SALES_KEYS, (F.coalesce("total_revenue", F.lit(0)) * F.lit(sign)).alias("total_revenue"),
+            *[(F.col(c) * F.lit(sign)).alias(c) for c in figures],
+        )
+        for parts, sign in ((stored, 1), (sales_parts(removed), -1), (sales_parts(added), 1))
+    ]
+    summed = reduce(DataFrame.unionByName, sides).groupBy(*SALES_KEYS).agg(
+        *[F.sum(c).alias(c) for c in ("total_revenue", *figures)]
+    )
+    revenue = F.col("total_revenue").cast(stored.schema["total_revenue"].dataType)
+    return summed.filter(F.col("fact_rows") > 0).select(
+        *SALES_KEYS, F.when(F.col("priced_rows") > 0, revenue).alias("total_revenue"), *figures
     )
 
 
@@ -118,6 +157,13 @@ def sales_between(fact: DataFrame, first_day: str, last_day: str) -> DataFrame:
     return fact.filter(day.between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
 
 
+def on_days(days: Sequence[date | None], column: str = "order_date") -> Column:
+    """True for rows of the given days, None among them standing for rows without one; never NULL."""
+    known = [F.lit(d) for d in days if d is not None]
+    found = F.coalesce(F.col(column).isin(*known), F.lit(False)) if known else F.lit(False)
+    return found | F.col(column).isNull() if None in days else found
+
+
 def by_day(fact: DataFrame) -> DataFrame:
     """Rows of one day brought together for the partitioned write.
 

@@ -1,27 +1,44 @@
-"""Current-state tables to the star schema."""
+"""Current-state tables to the star schema.
+
+A build writes only what its inputs' changes touch: a dimension whose table has a new version,
+and the days of the fact that gain, lose or reprice an order. Everything else stays in the files
+of the build that wrote it. A version of the star schema is a small folder that names the build
+of each dimension and of each day, next to the daily sales; publishing it makes all parts
+visible at once, and a build that fails leaves nothing but files nobody refers to.
+"""
 
 from __future__ import annotations
 
+import json
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.contracts import CUSTOMERS, ORDERS, PRODUCTS
 from tidemark.operators import star
-from tidemark.operators.audit import require_balance, require_keys
+from tidemark.operators.audit import content_audit, digest, require_balance, require_content, require_keys
 from tidemark.operators.sizing import BROADCAST_LIMIT
 from tidemark.plans.concurrent import side_by_side
 from tidemark.plans.layout import Warehouse
-from tidemark.sources import ledger, snapshots
+from tidemark.plans.versions import changes_between, forget_changes
+from tidemark.sources import ledger, snapshots, storage
 
 SKIPPED = "skipped: a current-state table is missing"
 UNCHANGED = "skipped: no current-state table has changed"
 PUBLISHED = "published"
 FACT = "fact_orders"
+DIM_PRODUCTS, DIM_CUSTOMERS = "dim_products", "dim_customers"
 DAILY_SALES = "aggregations/daily_category_sales"
 INPUTS = "built_from"
+DAYS = "fact_days"
+_RESERVED = "_reserved"
+_DIMENSIONS = {DIM_PRODUCTS: (0, star.product_dimension, star.PRODUCT_COLUMNS, "product_id"),
+               DIM_CUSTOMERS: (1, star.customer_dimension, star.CUSTOMER_COLUMNS, "customer_id")}
 
 
 @dataclass(frozen=True)
@@ -29,6 +46,17 @@ class GoldBuild:
     status: str
     rows: int = 0
     version: int | None = None
+    # Days of the fact that were written, None for all there are.
+    days: tuple[date | None, ...] | None = None
+
+
+@dataclass(frozen=True)
+class _Part:
+    """What a version says of an input or a part: the table's version, the build that wrote it, its columns."""
+
+    version: int | None = None
+    build: int | None = None
+    schema: str | None = None
 
 
 def build_gold(
@@ -38,73 +66,285 @@ def build_gold(
     broadcast_limit: int = BROADCAST_LIMIT,
     names: tuple[str, str, str] = (PRODUCTS.name, CUSTOMERS.name, ORDERS.name),
     check_keys: bool = False,
+    keep_versions: int | None = None,
 ) -> GoldBuild:
     """Builds dimensions, fact and daily sales, published together or not at all.
 
-    The joins run once: the fact is written as a draft, audited from the files'
-    own row counts, and the daily figures are aggregated from it. The version
-    becomes visible only after the audit has passed. Nothing is built again
-    while the tables it was built from have the same versions.
+    With the changes of all inputs since the published version at hand, only the days
+    they touch are joined and written; otherwise all are. The written rows are checked
+    against the orders they come from by count and content before the version is published.
+    Nothing is built again while the tables it was built from have the same versions.
 
-    ``check_keys`` also looks for missing and repeated order keys in the fact.
-    The row balance implies them for tables this library published, and the
-    check shuffles every key.
+    ``check_keys`` also looks for missing and repeated order keys in the whole fact, which
+    shuffles every key. ``keep_versions`` removes older versions and what only they refer to.
     """
     started = time.monotonic()
     inputs = {name: snapshots.current_version(spark, warehouse.silver(name)) for name in names}
     if None in inputs.values():
         return GoldBuild(SKIPPED)
-    if inputs == _built_from(spark, warehouse):
-        return GoldBuild(UNCHANGED)
-    products, customers, orders = [
-        snapshots.read_version(spark, warehouse.silver(name), inputs[name]) for name in names
-    ]
     base = snapshots.current_version(spark, warehouse.gold) or 0
-    version = snapshots.next_version(spark, warehouse.gold)
-    folder = snapshots.version_path(warehouse.gold, version)
-
-    def draft(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        path = f"{folder}/{name}"
-        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    dims = {
-        "dim_products": star.product_dimension(products),
-        "dim_customers": star.customer_dimension(customers),
-    }
-    written = side_by_side(lambda name: draft(dims[name], name), dims)
-    fact = star.order_fact(orders, *written, broadcast_limit, stored=orders)
-    expected = orders.count()
-    fact = draft(star.by_day(fact), FACT, ("order_date",))
-    rows = fact.count()
-    require_balance(expected, rows)
-    if check_keys:
-        require_keys(fact, ["order_id"], FACT)
-    draft(star.daily_category_sales(fact), DAILY_SALES)
-    draft(_versions_frame(spark, inputs), INPUTS)
+    known = _parts(spark, warehouse, base)
+    if inputs == {name: known[name].version for name in names if name in known}:
+        return GoldBuild(UNCHANGED)
+    version = _reserve(spark, warehouse.gold)
+    with storage.owned_scratch(spark):
+        built = _Build(spark, warehouse, names, inputs, known, base, version, broadcast_limit)
+        rows, days = built.run(check_keys)
     snapshots.publish(spark, warehouse.gold, version, base)
+    for name in names:
+        forget_changes(spark, warehouse.silver(name), inputs[name])
+    if keep_versions is not None:
+        retire_gold(spark, warehouse, keep_versions)
     seconds = time.monotonic() - started
     ledger.append(spark, warehouse.ledger, run_id, ledger.GOLD, [(FACT, rows, seconds)])
-    return GoldBuild(PUBLISHED, rows, version)
+    return GoldBuild(PUBLISHED, rows, version, days)
+
+
+class _Build:
+    """One build of a new version from a published one."""
+
+    def __init__(
+        self, spark: SparkSession, warehouse: Warehouse, names: tuple[str, str, str], inputs: dict[str, int],
+        known: dict[str, _Part], base: int, version: int, broadcast_limit: int,
+    ):
+        self.spark, self.warehouse, self.names, self.inputs = spark, warehouse, names, inputs
+        self.known, self.base, self.version, self.limit = known, base, version, broadcast_limit
+
+    def run(self, check_keys: bool) -> tuple[int, tuple[date | None, ...] | None]:
+        changes = self._changes()
+        written = side_by_side(self._dimension, _DIMENSIONS)
+        dims = [df for df, _ in written]
+        parts = {name: part for name, (_, part) in zip(_DIMENSIONS, written)}
+        orders = self._silver(self.names[2])
+        if changes is None:
+            days = None
+            fact = star.order_fact(orders, *dims, self.limit, stored=orders)
+            self._write_days(fact)
+            fact = self._written_days(fact.schema)
+            require_content(content_audit(orders, fact, orders.columns))
+            sales = star.sales_parts(fact)
+            counted = self._counted(fact, orders.columns)
+        else:
+            fact, days, sales, counted = self._changed(changes, orders.columns, dims)
+        counted = self._draft(counted, DAYS)
+        rows = counted.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        require_balance(orders.count(), rows)
+        schema = json.dumps(fact.schema.jsonValue())
+        parts |= {name: _Part(version) for name, version in self.inputs.items()} | {FACT: _Part(schema=schema)}
+        self._draft(sales, DAILY_SALES)
+        self._draft(_parts_frame(self.spark, parts), INPUTS)
+        if check_keys:
+            require_keys(_read_fact(self.spark, self.warehouse, self.version), ["order_id"], FACT)
+        return rows, days
+
+    def _silver(self, name: str) -> DataFrame:
+        return snapshots.read_version(self.spark, self.warehouse.silver(name), self.inputs[name])
+
+    def _changes(self) -> list[DataFrame] | None:
+        """What changed in products, customers and orders since the base, None if that is not known."""
+        if not self.base or not all(name in self.known for name in (*self.names, FACT, *_DIMENSIONS)):
+            return None
+        found = []
+        for name, key in zip(self.names, ("product_id", "customer_id", "order_id")):
+            change = changes_between(
+                self.spark, self.warehouse.silver(name), [key], self.known[name].version, self.inputs[name]
+            )
+            if change is None:
+                return None
+            found.append(change)
+        return found
+
+    def _dimension(self, name: str) -> tuple[DataFrame, _Part]:
+        """The dimension and where it is: the base's, as long as its table has the same version."""
+        at, project, _, _ = _DIMENSIONS[name]
+        table = self.names[at]
+        if name in self.known and self.known[table].version == self.inputs[table]:
+            return _read_dimension(self.spark, self.warehouse, name, self.known[name].build), self.known[name]
+        project(self._silver(table)).write.mode("errorifexists").parquet(
+            _build_path(self.warehouse, name, self.version)
+        )
+        return _read_dimension(self.spark, self.warehouse, name, self.version), _Part(build=self.version)
+
+    def _write_days(self, fact: DataFrame) -> None:
+        star.by_day(fact).write.mode("errorifexists").partitionBy("order_date").parquet(
+            _build_path(self.warehouse, FACT, self.version)
+        )
+
+    def _written_days(self, schema: StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(_build_path(self.warehouse, FACT, self.version))
+
+    def _counted(self, fact: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """Rows and content of each written day, and that it is this build's."""
+        return fact.groupBy("order_date").agg(*digest(columns)).withColumn("build", F.lit(self.version))
+
+    def _changed(
+        self, changes: list[DataFrame], columns: list[str], dims: list[DataFrame]
+    ) -> tuple[DataFrame, tuple[date | None, ...], DataFrame, DataFrame]:
+        """Writes the days the changes touch, from the base's rows of these days.
+
+        The orders' table is not read for it: a day's orders are those it had, less
+        the changed ones, plus the changed ones that now fall on it.
+        """
+        spark, warehouse = self.spark, self.warehouse
+        orders = changes[2]
+        before = _read_fact(spark, warehouse, self.base)
+        products, customers = [
+            _changed_keys(changes[at], list(chosen), key) for at, _, chosen, key in _DIMENSIONS.values()
+        ]
+        order_keys = orders.select(F.col("after.order_id").alias("order_id"))
+        touched = [
+            orders.filter("before IS NOT NULL").select(F.to_date("before.updated_at").alias("order_date")),
+            orders.select(F.to_date("after.updated_at").alias("order_date")),
+        ]
+        for keys, name, key in ((products, self.names[0], "product_id"), (customers, self.names[1], "customer_id")):
+            if self.known[name].version != self.inputs[name]:
+                touched.append(before.select(key, "order_date").join(keys, key, "left_semi").select("order_date"))
+        # As many rows as there are days in the calendar of the orders at most.
+        found = {row[0] for frame in touched for row in frame.distinct().collect()}
+        days = tuple(sorted(found, key=lambda d: (d is not None, d or date.min)))
+        old = before.filter(star.on_days(days))
+        kept = old.select(*columns).join(order_keys, "order_id", "left_anti").select(*columns)
+        rows = kept.unionByName(orders.select(*[F.col(f"after.`{c}`").alias(c) for c in columns]))
+        fact = star.order_fact(rows, *dims, self.limit)
+        self._write_days(fact)
+        fact = self._written_days(fact.schema)
+        require_content(content_audit(rows, fact, columns))
+        sales = star.apply_sales_delta(
+            spark.read.parquet(f"{snapshots.version_path(warehouse.gold, self.base)}/{DAILY_SALES}"),
+            _rows_of(old, order_keys, products), _rows_of(fact, order_keys, products),
+        )
+        stored = spark.read.parquet(f"{snapshots.version_path(warehouse.gold, self.base)}/{DAYS}")
+        counted = stored.filter(~star.on_days(days)).unionByName(self._counted(fact, columns))
+        return fact, days, sales, counted
 
+    def _draft(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{snapshots.version_path(self.warehouse.gold, self.version)}/{name}"
+        # One row per day, or per day and category: few files are the right size.
+        df.coalesce(1).write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-def _built_from(spark: SparkSession, warehouse: Warehouse) -> dict[str, int]:
-    """Versions of the tables the published star schema was built from."""
-    stored = read_gold(spark, warehouse, INPUTS)
-    return {} if stored is None else {r["table_name"]: r["version"] for r in stored.collect()}
 
+def _changed_keys(changes: DataFrame, columns: list[str], key: str) -> DataFrame:
+    """Keys whose columns in the dimension are new or different."""
+    differs = F.lit(False)
+    for c in columns:
+        differs = differs | ~F.col(f"before.`{c}`").eqNullSafe(F.col(f"after.`{c}`"))
+    return changes.filter(F.col("before").isNull() | differs).select(F.col(f"after.`{key}`").alias(key))
 
-def _versions_frame(spark: SparkSession, versions: dict[str, int]) -> DataFrame:
+
+def _rows_of(fact: DataFrame, order_keys: DataFrame, product_keys: DataFrame) -> DataFrame:
+    """Rows of the given orders or products."""
+    flagged = fact.join(order_keys.withColumn("_order", F.lit(True)), "order_id", "left").join(
+        product_keys.withColumn("_product", F.lit(True)), "product_id", "left"
+    )
+    return flagged.filter("_order OR _product").drop("_order", "_product")
+
+
+def _reserve(spark: SparkSession, root: str) -> int:
+    """A version number no other build has, its folder created.
+
+    File systems that can't create a file exclusively are refused here, before anything is written.
+    """
+    while True:
+        version = snapshots.next_version(spark, root)
+        if storage.claim(spark, f"{snapshots.version_path(root, version)}/{_RESERVED}"):
+            return version
+
+
+def _build_path(warehouse: Warehouse, name: str, build: int) -> str:
+    return f"{warehouse.gold_part(name)}/build={build}"
+
+
+def _parts(spark: SparkSession, warehouse: Warehouse, version: int) -> dict[str, _Part]:
+    """What the star schema of a version was built from and is put together of; a few rows."""
+    if not version:
+        return {}
+    path = f"{snapshots.version_path(warehouse.gold, version)}/{INPUTS}"
+    return {r["name"]: _Part(r["version"], r["build"], r["schema"]) for r in spark.read.parquet(path).collect()}
+
+
+def _parts_frame(spark: SparkSession, parts: dict[str, _Part]) -> DataFrame:
     rows = [
-        F.struct(F.lit(name).alias("table_name"), F.lit(version).alias("version"))
-        for name, version in versions.items()
+        F.struct(
+            F.lit(name).alias("name"), F.lit(p.version).cast("int").alias("version"),
+            F.lit(p.build).cast("int").alias("build"), F.lit(p.schema).cast("string").alias("schema"),
+        )
+        for name, p in parts.items()
     ]
     return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
 
 
+def _read_dimension(spark: SparkSession, warehouse: Warehouse, name: str, build: int) -> DataFrame:
+    return spark.read.parquet(_build_path(warehouse, name, build))
+
+
+def _read_fact(spark: SparkSession, warehouse: Warehouse, version: int) -> DataFrame:
+    """The fact of a version: each day from the build that wrote it last.
+
+    Which build that is, is a filter on the partitions, so other builds' files are not read.
+    """
+    folder = snapshots.version_path(warehouse.gold, version)
+    schema = StructType.fromJson(json.loads(_parts(spark, warehouse, version)[FACT].schema))
+    days: dict[int, list[date | None]] = {}
+    for row in spark.read.parquet(f"{folder}/{DAYS}").select("order_date", "build").collect():
+        days.setdefault(row["build"], []).append(row["order_date"])
+    if not days:
+        return spark.createDataFrame([], schema)
+    whole = StructType([*schema.fields, StructField("build", IntegerType())])
+    newest = max(days)
+    current = F.lit(False)
+    for build, mine in days.items():
+        # The last of the builds has nothing that was written again.
+        own = F.col("build") == build
+        current = current | (own if build == newest else own & star.on_days(mine))
+    root = warehouse.gold_part(FACT)
+    paths = [_build_path(warehouse, FACT, build) for build in days]
+    fact = spark.read.schema(whole).option("basePath", root).parquet(*paths)
+    return fact.filter(current if len(days) > 1 else F.lit(True)).select(*schema.fieldNames())
+
+
 def read_gold(spark: SparkSession, warehouse: Warehouse, name: str) -> DataFrame | None:
     """A table of the published star schema, or None when there is none yet."""
     version = snapshots.current_version(spark, warehouse.gold)
     if version is None:
         return None
-    return spark.read.parquet(f"{snapshots.version_path(warehouse.gold, version)}/{name}")
+    if name == FACT:
+        return _read_fact(spark, warehouse, version)
+    if name in _DIMENSIONS:
+        return _read_dimension(spark, warehouse, name, _parts(spark, warehouse, version)[name].build)
+    table = spark.read.parquet(f"{snapshots.version_path(warehouse.gold, version)}/{name}")
+    return star.sales_of(table) if name == DAILY_SALES else table
+
+
+def retire_gold(spark: SparkSession, warehouse: Warehouse, keep: int = 2) -> None:
+    """Removes versions older than the last ``keep`` and all parts that only they refer to.
+
+    Parts of builds after the published one are left alone; they may be in the making.
+    """
+    current = snapshots.current_version(spark, warehouse.gold)
+    if current is None:
+        return
+    snapshots.retire(spark, warehouse.gold, keep)
+    wanted: dict[str, set[int]] = {name: set() for name in _DIMENSIONS}
+    days: set[tuple[int, str]] = set()
+    for child in storage.child_folders(spark, warehouse.gold):
+        version = int(child.removeprefix("v="))
+        if version > current or not storage.exists(spark, f"{warehouse.gold}/{child}/{INPUTS}/_SUCCESS"):
+            continue
+        parts = _parts(spark, warehouse, version)
+        for name in _DIMENSIONS:
+            wanted[name].add(parts[name].build)
+        day = F.coalesce(F.col("order_date").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+        table = spark.read.parquet(f"{warehouse.gold}/{child}/{DAYS}")
+        days |= {(r["build"], r["day"]) for r in table.select("build", day.alias("day")).collect()}
+    builds = {build for build, _ in days}
+    for name, kept in (*wanted.items(), (FACT, builds)):
+        for child in storage.child_folders(spark, warehouse.gold_part(name)):
+            build = int(child.removeprefix("build="))
+            if build <= current and build not in kept:
+                storage.remove(spark, f"{warehouse.gold_part(name)}/{child}")
+    for build in builds:
+        path = _build_path(warehouse, FACT, build)
+        for child in storage.child_folders(spark, path):
+            if build <= current and (build, child.removeprefix("order_date=")) not in days:
+                storage.remove(spark, f"{path}/{child}")

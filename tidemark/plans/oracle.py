@@ -5,6 +5,8 @@ Tables are read under their own names; column names match the queries.
 
 from __future__ import annotations
 
+from tidemark.plans import scenario_sql
+
 _EVENTS = "event_id, epoch_us(ts) AS ts_us, user_id, event_type, value, props"
 
 _LATEST_LINE = """
@@ -131,17 +133,6 @@ _TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-_DAILY_RUNS = """
-    WITH days AS (
-        SELECT strftime(ts, '%Y-%m-%d') AS run_id,
-               COUNT(*) AS extracted,
-               COUNT(*) FILTER (WHERE event_type <> 'error') AS promoted,
-               COUNT(*) FILTER (WHERE event_type = 'purchase')
-                   >= COUNT(*) FILTER (WHERE event_type = 'signup') AS done
-        FROM events GROUP BY 1
-    )
-"""
-
 ORACLE_SQL: dict[str, str] = {
     "incremental_extract": f"""
         SELECT {_EVENTS} FROM events
@@ -212,6 +203,31 @@ ORACLE_SQL: dict[str, str] = {
         WHERE coalesce(err_null_primary_key, err_no_price, err_unknown_type, err_oversized)
               IS NOT NULL
     """,
+    "contract_rules": """
+        WITH products AS (
+            SELECT 'source_products' AS table_name,
+                   CASE WHEN p_size <> 7 THEN p_partkey END AS row_key,
+                   CASE WHEN p_size = 7 THEN 'null_primary_key' END AS r1,
+                   CASE WHEN p_size = 1 OR p_retailprice <= 0 THEN 'negative_or_zero_price' END AS r2,
+                   CASE WHEN p_size <> 5
+                         AND p_type NOT IN ('ECONOMY', 'LARGE', 'MEDIUM', 'SMALL', 'STANDARD')
+                        THEN 'invalid_category_enum' END AS r3
+            FROM part
+        ), customers AS (
+            SELECT 'source_customers' AS table_name, c_custkey AS row_key, NULL AS r1,
+                   CASE WHEN c_acctbal < 500 THEN 'malformed_or_null_email' END AS r2, NULL AS r3
+            FROM customer
+        ), orders AS (
+            SELECT 'source_orders' AS table_name, l_orderkey * 10 + l_linenumber AS row_key, NULL AS r1,
+                   CASE WHEN l_linenumber = 7 OR l_quantity <= 0 THEN 'invalid_quantity' END AS r2,
+                   CASE WHEN l_returnflag = 'R' AND l_tax = 0 AND l_extendedprice > 0
+                        THEN 'negative_total_amount' END AS r3
+            FROM lineitem
+        )
+        SELECT table_name, row_key, concat_ws(',', r1, r2, r3) AS validation_errors
+        FROM (SELECT * FROM products UNION ALL SELECT * FROM customers UNION ALL SELECT * FROM orders)
+        WHERE coalesce(r1, r2, r3) IS NOT NULL
+    """,
     "clean_rows": """
         SELECT * FROM part
         WHERE p_partkey IS NOT NULL AND p_retailprice > 0 AND p_type <> 'PROMO' AND p_size <= 45
@@ -275,6 +291,7 @@ ORACLE_SQL: dict[str, str] = {
     "silver_merge": f"SELECT {_LINE_COLUMNS} FROM ({_latest_lines('lineitem')})",
     "silver_merge_broadcast": _CORRECTED,
     "silver_merge_shuffled": _CORRECTED,
+    "silver_merge_bucketed": _CORRECTED,
     "insert_if_absent": """
         SELECT * REPLACE (
             CASE WHEN c_acctbal >= 0 THEN c_mktsegment ELSE 'NEW' END AS c_mktsegment
@@ -342,9 +359,20 @@ ORACLE_SQL: dict[str, str] = {
     + " WHERE order_date BETWEEN DATE '1997-01-01' AND DATE '1997-03-31'",
     "reconciliation_audit": _FACT
     + """
-        SELECT silver_rows, gold_rows, silver_rows - gold_rows AS discrepancy
-        FROM (SELECT (SELECT COUNT(*) FROM lineitem) AS silver_rows,
-                     (SELECT COUNT(*) FROM fact) AS gold_rows)
+        , lines AS (
+            SELECT l_orderkey * 10 + l_linenumber AS order_id, l_partkey AS product_id,
+                   CAST(l_quantity AS INTEGER) AS quantity,
+                   CAST(l_extendedprice AS DECIMAL(10,2)) AS total_amount
+            FROM lineitem
+        ), written AS (SELECT order_id, product_id, quantity, total_amount FROM fact),
+        apart AS (
+            (SELECT * FROM lines EXCEPT ALL SELECT * FROM written)
+            UNION ALL (SELECT * FROM written EXCEPT ALL SELECT * FROM lines)
+        )
+        SELECT silver_rows, gold_rows, silver_rows - gold_rows AS discrepancy,
+               CAST((SELECT COUNT(*) FROM apart) = 0 AS INTEGER) AS same_content
+        FROM (SELECT (SELECT COUNT(*) FROM lines) AS silver_rows,
+                     (SELECT COUNT(*) FROM written) AS gold_rows)
     """,
     "pk_null_scan": _FACT
     + """
@@ -357,37 +385,6 @@ ORACLE_SQL: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, COUNT(*) AS row_count
         FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1
     """,
-    "run_ledger": _DAILY_RUNS
-    + """
-        SELECT run_id, 'events' AS table_name, extracted AS extracted_rows,
-               CASE WHEN done THEN promoted END AS silver_rows,
-               CAST(NULL AS BIGINT) AS gold_rows,
-               CASE WHEN done THEN 2.0 ELSE 1.0 END::DOUBLE AS duration_seconds,
-               extracted - CASE WHEN done THEN promoted ELSE 0 END AS discrepancy
-        FROM days
-    """,
-    "pending_runs": _DAILY_RUNS
-    + "SELECT run_id, 'events' AS table_name FROM days WHERE NOT done",
-    "medallion_refresh": """
-        WITH last_line AS (
-            SELECT * FROM lineitem
-            QUALIFY ROW_NUMBER() OVER (
-                PARTITION BY l_orderkey
-                ORDER BY l_shipdate DESC, l_partkey DESC, l_quantity DESC
-            ) = 1
-        ),
-        sales AS (
-            SELECT CASE WHEN o_orderstatus = 'F' AND o_orderdate <= TIMESTAMP '1998-06-30'
-                        THEN DATE '1998-07-01' ELSE CAST(o_orderdate AS DATE) END AS order_date,
-                   p_type AS product_category, o_orderkey,
-                   CAST(l_quantity AS BIGINT) * CAST(p_retailprice AS DECIMAL(10,2)) AS net_sales
-            FROM orders
-            JOIN last_line ON l_orderkey = o_orderkey
-            LEFT JOIN part ON p_partkey = l_partkey AND p_size <= 48
-            WHERE l_quantity > 0 AND o_totalprice >= 0
-        )
-        SELECT order_date, product_category, CAST(SUM(net_sales) AS DOUBLE) AS total_revenue,
-               COUNT(o_orderkey) AS total_orders
-        FROM sales GROUP BY 1, 2
-    """,
 }
+
+ORACLE_SQL.update(scenario_sql.ORACLE_SQL)

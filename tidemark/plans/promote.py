@@ -21,6 +21,7 @@ from tidemark.operators.quality import (
     YieldBelowTolerance,
     as_json,
     counts_frame,
+    from_json,
     outcome_counts,
     quality_metrics,
     require_columns,
@@ -61,13 +62,15 @@ def promote_tables(
     fmt: str = "parquet",
     trim: bool = False,
     keep_versions: int | None = None,
+    raise_problems: bool = True,
 ) -> list[Promotion]:
     """Validates the run's batches and merges them into the current state.
 
     Tables do not wait for each other; failures are raised once all of them
     have been tried and the metrics of all were kept. ``keep_versions`` removes
     older versions of a table once the new one is published. Nothing but the quarantine, the
-    metrics and the tables is left of a promotion, however it ends.
+    metrics and the tables is left of a promotion, however it ends. Without ``raise_problems``
+    failed promotions are only returned.
     """
 
     def promote(contract: TableContract) -> Promotion:
@@ -83,7 +86,8 @@ def promote_tables(
         ledger.PROMOTED,
         [(p.table, p.rows, p.seconds) for p in done if p.status == PUBLISHED],
     )
-    raise_all([p.problem for p in done if p.problem], f"promotion of run {run_id}")
+    if raise_problems:
+        raise_all([p.problem for p in done if p.problem], f"promotion of run {run_id}")
     return done
 
 
@@ -155,6 +159,13 @@ def _keep_metrics(spark: SparkSession, payloads: list[dict], warehouse: Warehous
         lines.write.mode("append").text(warehouse.metrics)
 
 
+def read_metrics(spark: SparkSession, warehouse: Warehouse) -> DataFrame | None:
+    """The metrics of all promotions so far, typed; None before the first."""
+    if not storage.exists(spark, warehouse.metrics):
+        return None
+    return from_json(spark.read.text(warehouse.metrics), "value")
+
+
 def pending_runs(spark: SparkSession, warehouse: Warehouse) -> DataFrame | None:
     """Batches that were extracted but not promoted yet."""
     entries = ledger.read(spark, warehouse.ledger)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType, StructField, StructType, TimestampNTZType
 
-from tidemark.contracts import TableContract
+from tidemark.contracts import CUSTOMERS, ECOMMERCE, ORDERS, PRODUCTS, TableContract
 from tidemark.functions.casting import CAST_FAILED, cast_to_schema
 from tidemark.functions.rules import (
     ERRORS,
@@ -22,12 +22,10 @@ from tidemark.functions.rules import (
 from tidemark.operators import audit, extract, merge, numbering, quality, star
 from tidemark.operators.joins import hot_keys, salted_left_join
 from tidemark.operators.latest import latest_per_key
-from tidemark.plans import shop
-from tidemark.plans.gold import DAILY_SALES, read_gold
-from tidemark.plans.layout import Warehouse
-from tidemark.plans.refresh import load, refresh
+from tidemark.plans import scenarios, shop
 from tidemark.plans.shop import table
-from tidemark.sources import bronze, ledger, snapshots, state
+from tidemark.plans.versions import merge_and_publish
+from tidemark.sources import bronze, snapshots, state
 from tidemark.sources.storage import materialise, scratch_path
 from tidemark.streaming.ingest import merge_available, read_files
 
@@ -246,6 +244,50 @@ def clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.split_by_rules(table(spark, sf_dir, "part"), PART_RULES).clean
 
 
+def _contract_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The given tables in the columns of the e-commerce contracts, with rows that break every rule."""
+    category = F.create_map(*[F.lit(x) for x in (
+        "ECONOMY", "Electronics", "LARGE", "Apparel", "MEDIUM", "Home & Kitchen", "SMALL", "Books", "STANDARD", "Beauty",
+    )])
+    stamp, size, balance = _ntz(EVENTS_MARK).cast("timestamp"), F.col("p_size"), F.col("c_acctbal")
+    email = F.when(balance < 0, F.lit(None)).when(balance < 500, "nobody").otherwise(F.concat("c_name", F.lit("@example.com")))
+    amount = F.col("l_extendedprice") * F.when((F.col("l_returnflag") == "R") & (F.col("l_tax") == 0), -1).otherwise(1)
+    return {
+        PRODUCTS.name: table(spark, sf_dir, "part").select(
+            F.when(size != 7, F.col("p_partkey")).alias("product_id"), F.col("p_name").alias("product_name"),
+            F.when(size == 1, 0).otherwise(F.col("p_retailprice")).alias("price"),
+            F.when(size != 5, F.coalesce(category[F.col("p_type")], "p_type")).alias("category"),
+            size.alias("stock_quantity"), stamp.alias("updated_at"),
+        ),
+        CUSTOMERS.name: table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("first_name"),
+            F.col("c_name").alias("last_name"), email.alias("email"), F.col("c_mktsegment").alias("city"),
+            stamp.alias("created_at"),
+        ),
+        ORDERS.name: table(spark, sf_dir, "lineitem").select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"), F.lit(1).alias("customer_id"),
+            F.col("l_partkey").alias("product_id"),
+            F.when(F.col("l_linenumber") != 7, F.col("l_quantity")).alias("quantity"),
+            amount.alias("total_amount"), stamp.alias("updated_at"),
+        ),
+    }
+
+
+@query
+def contract_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the rules of the e-commerce contracts reject, after the casts to their columns."""
+    frames = _contract_frames(spark, sf_dir)
+    found = []
+    for contract in ECOMMERCE:
+        typed = cast_to_schema(frames[contract.name].select(*contract.required_columns), contract.schema)
+        rejected = quality.split_by_rules(typed, contract.rules).quarantined
+        found.append(rejected.select(
+            F.lit(contract.name).alias("table_name"), F.col(contract.key).cast("long").alias("row_key"),
+            F.array_join(ERRORS, ",").alias(ERRORS),
+        ))
+    return reduce(DataFrame.unionAll, found)
+
+
 @query
 def rule_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     def breakdown(name: str, rules: dict[str, str]) -> DataFrame:
@@ -354,13 +396,22 @@ def silver_merge_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def silver_merge_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same for a batch too large to broadcast."""
+    """The same for a batch too large to broadcast, without anything known of how the state is stored."""
     lines = _lines(spark, sf_dir)
-    current = latest_per_key(lines, LINE_KEYS, "l_shipdate")
-    merged = merge.merge_into_state(
-        current, _returned(lines), LINE_KEYS, "l_shipdate", broadcast_limit=0
-    )
-    return _dated(merged)
+    current = materialise(latest_per_key(lines, LINE_KEYS, "l_shipdate"), "state")
+    batch = materialise(_returned(lines), "batch")
+    return _dated(merge.merge_into_state(current, batch, LINE_KEYS, "l_shipdate", broadcast_limit=0))
+
+
+@query
+def silver_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the state stored in buckets of its key, of which only the batch is shuffled."""
+    lines = _lines(spark, sf_dir)
+    root = scratch_path(spark, "state")
+    merge_and_publish(latest_per_key(lines, LINE_KEYS, "l_shipdate"), root, LINE_KEYS, "l_shipdate")
+    batch = materialise(_returned(lines), "batch")
+    merge_and_publish(batch, root, LINE_KEYS, "l_shipdate")
+    return _dated(snapshots.read_current(spark, root))
 
 
 @query
@@ -539,7 +590,11 @@ def fact_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def reconciliation_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.reconciliation(table(spark, sf_dir, "lineitem"), _fact(spark, sf_dir))
+    """Rows and content of the order lines against the stored fact, which is not joined again."""
+    fact = materialise(_fact(spark, sf_dir), "fact")
+    lines = shop.line_columns(table(spark, sf_dir, "lineitem")).drop("o_orderkey")
+    audited = audit.content_audit(lines, fact, lines.columns)
+    return audited.withColumn("same_content", F.col("same_content").cast("int"))
 
 
 @query
@@ -553,73 +608,4 @@ def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.duplicate_keys(_lines(spark, sf_dir), LINE_KEYS)
 
 
-def _daily_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger entries as if every day of events had been a run, of which error
-    events are rejected and days with fewer purchases than signups fail."""
-    days = (
-        table(spark, sf_dir, "events")
-        .groupBy(F.date_format("ts", "yyyy-MM-dd").alias("run_id"))
-        .agg(
-            F.count("*").alias("extracted"),
-            F.count_if(F.col("event_type") != "error").alias("promoted"),
-            F.count_if(F.col("event_type") == "purchase").alias("purchases"),
-            F.count_if(F.col("event_type") == "signup").alias("signups"),
-        )
-    )
-    entry = F.struct(
-        F.lit(ledger.EXTRACTED).alias("stage"), F.col("extracted").alias("row_count")
-    )
-    done = F.when(
-        F.col("purchases") >= F.col("signups"),
-        F.struct(F.lit(ledger.PROMOTED).alias("stage"), F.col("promoted").alias("row_count")),
-    )
-    return days.select("run_id", F.inline(F.array_compact(F.array(entry, done)))).select(
-        "run_id",
-        F.lit("events").alias("table_name"),
-        "stage",
-        "row_count",
-        F.lit(1.0).alias("duration_seconds"),
-    )
-
-
-@query
-def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.run_summary(_daily_ledger(spark, sf_dir))
-
-
-@query
-def pending_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.pending(_daily_ledger(spark, sf_dir))
-
-
-# --- whole runs ------------------------------------------------------------
-
-
-def _sources(spark: SparkSession, sf_dir: str, orders: DataFrame) -> dict[str, DataFrame]:
-    """The source tables after orders completed by the mark were touched again
-    on the day after it."""
-    mark = _ntz(SHIP_MARK)
-    touched = (F.col("o_orderstatus") == "F") & (F.col("updated_at") <= mark)
-    orders = orders.withColumn(
-        "updated_at",
-        F.when(touched, mark + F.expr("INTERVAL 1 DAY")).otherwise(F.col("updated_at")),
-    )
-    stamp = _ntz("1995-01-01 00:00:00")
-    return {
-        "source_products": shop.products(spark, sf_dir).withColumn("updated_at", stamp),
-        "source_customers": shop.customers(spark, sf_dir).withColumn("created_at", stamp),
-        "source_orders": orders.drop("o_orderstatus"),
-    }
-
-
-@query
-def medallion_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first load of the current state, then a whole run on the grown source."""
-    warehouse = Warehouse(scratch_path(spark, "warehouse"))
-    orders = materialise(shop.orders(spark, sf_dir), "source-orders")
-    later = _sources(spark, sf_dir, orders)
-    first = orders.drop("o_orderstatus").filter(F.col("updated_at") <= _ntz(SHIP_MARK))
-    earlier = {**later, "source_orders": first}
-    load(spark, earlier, shop.SHOP, warehouse, "r1")
-    refresh(spark, later, shop.SHOP, warehouse, "r2")
-    return _revenue(read_gold(spark, warehouse, DAILY_SALES))
+QUERIES.update(scenarios.QUERIES)

@@ -63,15 +63,20 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order line as an order, with the customer and date of its order."""
-    lines = table(spark, sf_dir, "lineitem").select(
+def line_columns(lines: DataFrame) -> DataFrame:
+    """What an order line says of itself as an order."""
+    return lines.select(
         F.col("l_orderkey").alias("o_orderkey"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         money("l_extendedprice").alias("total_amount"),
     )
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order line as an order, with the customer and date of its order."""
+    lines = line_columns(table(spark, sf_dir, "lineitem"))
     heads = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return dimension_join(lines, heads, "o_orderkey", ["order_id", "product_id"]).select(
         "order_id",
