@@ -127,9 +127,9 @@ class Encoder:
         again = missing & self.older.keys()
         self.known.update((k, self.older[k]) for k in again)
         self._learn(list(missing - again))
-        known = self.known
+        ids_of = self.known.__getitem__
         return [
-            first + b"".join([known[p] for p in itertools.islice(mine, 1, None)])
+            first + b"".join(map(ids_of, itertools.islice(mine, 1, None)))
             for first, mine in zip(self._ids([mine[0] for mine in pieces]), pieces)
         ]
 
