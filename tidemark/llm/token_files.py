@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,9 +41,11 @@ _FOOTER = struct.Struct("<8sBBIIQQQQq")
 _END = b"\n"
 FILE_TOKENS = 4 << 20
 # Pieces a worker remembers (up to twice as many), pieces of one call, characters of a slice.
-_REMEMBERED, _GROUP, _SLICE = 400_000, 20, 1 << 20
+_REMEMBERED, _GROUP, _SLICE = 150_000, 50, 4 << 20
 # Encoders of this process: the tasks of a worker share what it has learned.
 _ENCODERS: dict[tuple[bytes, int], Encoder] = {}
+# What may stand behind a word without being part of its pre-token; an apostrophe may be.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _CUT = re.compile(r" (?=[^\W_])")
 _UNSAFE = re.compile(r" (?![^\W_])")
 _DOCUMENTS = "part int, start_in_part long, doc long, n_tokens long, ids_crc32 long"
@@ -77,7 +80,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         # One thread per task: Spark deals out the cores.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(vocabulary.tokenizer)
         self.tokenizer.encode_special_tokens = True
@@ -88,8 +91,17 @@ class Encoder:
         # Pieces met lately, and those met before; the latter go when the former are full.
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        line = self._ids(["\n"])[0]
-        self.line = int(np.frombuffer(line, self.dtype)[0]) if len(line) == self.dtype.itemsize else None
+        self.ends: dict[str, bytes] = {}
+        line = np.frombuffer(self._ids(["\n"])[0], self.dtype)
+        if self.in_pieces and len(line) != 1:
+            self.in_pieces = False
+        if self.in_pieces:
+            self.line = int(line[0])
+            # The same vocabulary and merges for words that are one pre-token each.
+            self.words = Tokenizer.from_str(vocabulary.tokenizer)
+            self.words.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.Split("\n", "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+            )
 
     @staticmethod
     def of(vocabulary: Vocabulary) -> Encoder:
@@ -115,38 +127,74 @@ class Encoder:
         yield self.encode_all([text[at:] if at else text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of some texts, or slices of texts, that are short together."""
+        """The ids of some texts, or slices of texts, that are short together.
+
+        The texts' pieces are numbered, each distinct one is looked up once, and
+        the ids are put together for all texts at a time.
+        """
         if not self.in_pieces:
             return self._ids(texts)
-        pieces = [_pieces(text) for text in texts]
+        if not texts:
+            return []
+        pieces, bounds = _pieces(texts)
+        numbered = pieces.dictionary_encode()
+        distinct, number = numbered.dictionary.to_pylist(), numbered.indices.to_numpy().astype(np.int64)
+        # The space goes to the piece behind it; the first piece of a text has none and is encoded by itself.
+        first = [distinct[i] for i in number[bounds[:-1]].tolist()]
+        chunks = self._spaced(distinct) + self._ids(first)
+        number[bounds[:-1]] = len(distinct) + np.arange(len(texts))
+        width = self.dtype.itemsize
+        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks)) // width
+        counts = sizes[number]
+        ends = np.cumsum(counts)
+        at = np.repeat((np.cumsum(sizes) - sizes)[number] - (ends - counts), counts)
+        at += np.arange(len(at))
+        ids = np.frombuffer(b"".join(chunks), self.dtype)[at].tobytes()
+        cuts = (np.append(0, ends)[bounds] * width).tolist()
+        return [ids[i:j] for i, j in itertools.pairwise(cuts)]
+
+    def _spaced(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces, each with a space before it."""
         if len(self.known) > _REMEMBERED:
             self.known, self.older = {}, self.known
-        # The space goes to the piece behind it; the first one has none.
-        missing = set(itertools.chain.from_iterable(itertools.islice(p, 1, None) for p in pieces))
-        missing = missing.difference(self.known)
-        again = missing & self.older.keys()
-        self.known.update((k, self.older[k]) for k in again)
-        self._learn(list(missing - again))
-        ids_of = self.known.__getitem__
-        return [
-            first + b"".join(map(ids_of, itertools.islice(mine, 1, None)))
-            for first, mine in zip(self._ids([mine[0] for mine in pieces]), pieces)
-        ]
+        missing = [p for p in pieces if p not in self.known]
+        again = self.older.keys() & missing if self.older else ()
+        self.known.update((p, self.older[p]) for p in again)
+        self._learn([p for p in missing if p not in again] if again else missing)
+        return list(map(self.known.__getitem__, pieces))
 
     def _learn(self, pieces: list[str]) -> None:
-        """Remembers the ids of the pieces, each with a space before it."""
-        apart = [self.line is None or "\n" in p or len(p) > 1000 for p in pieces]
-        alone = list(itertools.compress(pieces, apart))
-        together = [p for p, a in zip(pieces, apart) if not a]
-        for first in range(0, len(alone), 1000):
-            part = alone[first : first + 1000]
-            self.known.update(zip(part, self._ids([" " + p for p in part])))
+        """Remembers the ids of pieces; words of letters alone need no pattern to be cut into pre-tokens,
+        and marks behind a word are a pre-token of their own."""
+        words, marked, others = [], [], []
+        for piece in pieces:
+            if _is_word(piece):
+                words.append(piece)
+                continue
+            word = piece.rstrip(_MARKS)
+            if word and _is_word(word):
+                marked.append((piece, word, piece[len(word):]))
+            else:
+                others.append(piece)
+        words += {word for _, word, _ in marked}.difference(words, self.known)
+        self._remember(self.words, words)
+        ends = list({end for _, _, end in marked}.difference(self.ends))
+        self.ends.update(zip(ends, self._ids(ends)))
+        for piece, word, end in marked:
+            self.known[piece] = self.known[word] + self.ends[end]
+        self._remember(self.tokenizer, [p for p in others if "\n" not in p])
+        alone = [p for p in others if "\n" in p]
+        self.known.update(zip(alone, self._ids([" " + p for p in alone])))
+
+    def _remember(self, tokenizer, pieces: list[str]) -> None:
+        """Encodes pieces without line breaks, some in one call, parted by line breaks."""
         width = self.dtype.itemsize
-        for first in range(0, len(together), 500 * _GROUP):
-            part = together[first : first + 500 * _GROUP]
-            # A line break between two pieces is an id of its own, and no piece here holds one.
-            ids = self._ids([" " + "\n ".join(part[i : i + _GROUP]) for i in range(0, len(part), _GROUP)])
-            data = (np.array([self.line], self.dtype).tobytes()).join(ids)
+        line = np.array([self.line], self.dtype).tobytes()
+        for first in range(0, len(pieces), 200 * _GROUP):
+            part = pieces[first : first + 200 * _GROUP]
+            texts = [" " + "\n ".join(part[i : i + _GROUP]) for i in range(0, len(part), _GROUP)]
+            found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            data = line.join([np.array(e.ids, self.dtype).tobytes() for e in found])
             stops = np.append(np.flatnonzero(np.frombuffer(data, self.dtype) == self.line) * width, len(data)).tolist()
             if len(stops) != len(part):
                 raise ValueError("the tokenizer joins pieces across line breaks")
@@ -156,18 +204,31 @@ class Encoder:
                 start = stop + width
 
 
-def _pieces(text: str) -> list[str]:
-    """The text cut at its spaces, but at none that a token might reach over."""
-    found = text.split(" ")
-    if _UNSAFE.search(text) is None:
-        return found
-    pieces = [found[0]]
-    for piece in found[1:]:
-        if piece[:1].isalnum():
-            pieces.append(piece)
-        else:
-            pieces[-1] += " " + piece
-    return pieces
+def _is_word(piece: str) -> bool:
+    """Letters alone, of scripts whose letters are the same in all versions of Unicode the libraries may have."""
+    return piece.isalpha() and max(piece) < "\u0250"
+
+
+def _pieces(texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The texts cut at their spaces, but at none that a token might reach over, and each text's bounds."""
+    split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    pieces, bounds = split.flatten(), split.offsets.to_numpy().astype(np.int64)
+    unsafe = [i for i, text in enumerate(texts) if _UNSAFE.search(text) is not None]
+    if not unsafe:
+        return pieces, bounds
+    parts, counts, at = [], np.diff(bounds), 0
+    for i in unsafe:
+        found = pieces.slice(bounds[i], counts[i]).to_pylist()
+        joined = [found[0]]
+        for piece in found[1:]:
+            if piece[:1].isalnum():
+                joined.append(piece)
+            else:
+                joined[-1] += " " + piece
+        parts += [pieces.slice(bounds[at], bounds[i] - bounds[at]), pa.array(joined, pieces.type)]
+        counts[i], at = len(joined), i + 1
+    parts.append(pieces.slice(bounds[at]))
+    return pa.concat_arrays(parts), np.append(0, np.cumsum(counts))
 
 
 def write(
