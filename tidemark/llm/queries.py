@@ -59,7 +59,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffix_dedup.without_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_first=False)
     return rows.select(
         "doc_id", F.col("dedup_bytes").alias("n_bytes"), F.col("dedup_removed").alias("n_removed"),
-        F.col("dedup_spans").alias("n_spans"), F.col("dedup_sha256").alias("kept_sha256"),
+        F.col("dedup_spans").alias("n_spans"), F.col("dedup_sha256").alias("kept_sha256"), "text",
     )
 
 
