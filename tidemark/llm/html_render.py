@@ -6,13 +6,17 @@ and the renderer emits all that is left: blocks on lines of their own, lists wit
 their marks and depth, and table cells in aligned columns.
 
 Pages are independent, so this is one pass without a shuffle; a page is handled
-within its task whatever its size, in time proportional to it.
+within its task whatever its size, in time proportional to it. Two limits keep the text in
+proportion to the page as well. Cells with lines of more than ``WIDEST`` characters do not widen
+the other cells of their column. Lists and tables that stand within ``DEEPEST`` others are shown as
+blocks, item after item and cell after cell, without marks, indentation and columns. No text is lost by either.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -20,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+WIDEST, DEEPEST = 120, 50
+
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _HIDDEN = frozenset(
     "head script style template noscript iframe object svg annotation annotation-xml audio video canvas datalist".split()
@@ -50,7 +56,8 @@ _VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|initial|hidden|co
 _BLANK = re.compile("[ \t\n\r\f]+")
 
 
-@dataclass
+# Nodes are told apart by identity: comparing them by value would walk all that is in them.
+@dataclass(eq=False)
 class _Node:
     tag: str
     visible: bool = True
@@ -67,6 +74,8 @@ class _TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = _Node("html")
         self.open = [self.root]
+        # Where the open elements of each tag stand among them, so that none has to be looked for.
+        self.places: dict[str, list[int]] = {}
 
     def handle_starttag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
         if tag == "html":
@@ -95,24 +104,23 @@ class _TreeBuilder(HTMLParser):
         node.foreign = tag in _FOREIGN or (parent.foreign and tag not in _HTML_AGAIN)
         parent.children.append(node)
         if tag not in _VOID:
-            self.open.append(node)
+            self._open(node)
 
     def handle_startendtag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
         # A slash means nothing on other than void tags, svg, math and what stands in these.
         closed = tag in _FOREIGN or self.open[-1].foreign
         self.handle_starttag(tag, attributes)
         if closed and self.open[-1].tag == tag:
-            self.open.pop()
+            self._close(len(self.open) - 1)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in _VOID or tag in ("html", "body"):
             return
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                del self.open[i:]
-                return
-            if self.open[i].tag in ("td", "th", "table") and tag not in ("tr", "tbody", "thead", "tfoot", "table"):
-                return  # the end tag belongs outside the cell
+        at = self._last((tag,))
+        outside = tag not in ("tr", "tbody", "thead", "tfoot", "table")
+        # The end tag belongs outside the cell if a cell has been opened since.
+        if at and not (outside and self._last(("td", "th", "table")) > at):
+            self._close(at)
 
     def handle_data(self, data: str) -> None:
         if data.strip(" \t\n\r\f"):
@@ -122,22 +130,37 @@ class _TreeBuilder(HTMLParser):
 
     def _end_head(self) -> None:
         if self.open[-1].tag == "head":
-            self.open.pop()
+            self._close(len(self.open) - 1)
 
     def _push(self, node: _Node) -> None:
         node.shown = self.open[-1].shown
         self.open[-1].children.append(node)
+        self._open(node)
+
+    def _open(self, node: _Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.open))
         self.open.append(node)
 
+    def _close(self, at: int) -> None:
+        """Closes the open element at a place and all that were opened in it."""
+        while len(self.open) > at:
+            self.places[self.open.pop().tag].pop()
+
+    def _last(self, tags: Iterable[str]) -> int:
+        """Place of the innermost open element of the tags, 0 without any."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
     def _end(self, tags: set[str], within: set[str]) -> None:
-        last = None
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in within:
-                break
-            if self.open[i].tag in tags:
-                last = i
-        if last is not None:
-            del self.open[last:]
+        """Closes the outermost open element of the tags inside the innermost one of ``within``."""
+        border = self._last(within)
+        found = []
+        for tag in tags:
+            places = self.places.get(tag, ())
+            i = bisect_right(places, border)
+            if i < len(places):
+                found.append(places[i])
+        if found:
+            self._close(min(found))
 
 
 class _Page:
@@ -212,11 +235,11 @@ def _lines(node: _Node, depth: int = 0) -> list[str]:
             page.space()
             page.verbatim(["---"] if child.shown else [])
             page.space()
-        elif child.tag in ("ul", "ol", "menu") and depth < 50:
+        elif child.tag in ("ul", "ol", "menu") and depth < DEEPEST:
             page.space() if depth == 0 else page.end_line()
             page.verbatim(_list(child, depth))
             page.space() if depth == 0 else page.end_line()
-        elif child.tag == "table" and depth < 50:
+        elif child.tag == "table" and depth < DEEPEST:
             page.space()
             page.verbatim(_table(child, depth))
             page.space()
@@ -267,9 +290,12 @@ def _table(node: _Node, depth: int) -> list[str]:
             if child.strip():
                 loose.append(child)
         elif child.visible and child.tag == "tr":
-            cells = [c for c in child.children if isinstance(c, _Node) and c.tag in ("td", "th") and c.visible]
-            others = [c for c in child.children if c not in cells and not (isinstance(c, _Node) and not c.visible)]
-            loose += [c for c in others if not isinstance(c, str) or c.strip()]
+            cells = []
+            for c in child.children:
+                if isinstance(c, str):
+                    loose += [c] if c.strip() else []
+                elif c.visible:
+                    (cells if c.tag in ("td", "th") else loose).append(c)
             rows.append([_lines(c, depth + 1) or [""] for c in cells])
         elif child.visible and child.tag in ("thead", "tbody", "tfoot"):
             todo += reversed(child.children)
@@ -279,7 +305,7 @@ def _table(node: _Node, depth: int) -> list[str]:
     for row in rows:
         widths += [0] * (len(row) - len(widths))
         for i, cell in enumerate(row):
-            widths[i] = max(widths[i], *map(len, cell))
+            widths[i] = max(widths[i], *[len(x) if len(x) <= WIDEST else 0 for x in cell])
     # What stands in a table outside its cells is shown before it, as browsers do.
     out = _lines(_Node("div", True, loose), depth + 1) if loose else []
     for row in rows:
