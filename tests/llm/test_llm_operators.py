@@ -353,7 +353,7 @@ def test_model_is_fitted_on_all_ids(spark, monkeypatch):
     rows = spark.createDataFrame([(t.encode() if t is not None else None,) for t in texts], "bytes binary").toArrow()
     sequences = list(lm_scoring._sequences(tokenizer)(iter(rows.to_batches())))
     vocabulary = model.vocabulary
-    list(lm_scoring._trainer(model.parameters, vocabulary, model.neighbours.prior, end)(iter(sequences)))
+    list(lm_scoring._trainer(model.parameters, vocabulary, model.neighbours.prior, end, 0, 1)(iter(sequences)))
     pairs = Counter()
     for t in texts:
         data = (t or "").encode()
