@@ -13,6 +13,7 @@ from tidemark.plans.gold import GoldBuild, build_gold
 from tidemark.plans.layout import Warehouse
 from tidemark.plans.promote import Promotion, promote_tables
 from tidemark.plans.verify import lost_by_table
+from tidemark.sources import storage
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,8 @@ def load(
     keep_versions: int | None = None,
 ) -> tuple[list[Extraction], list[Promotion]]:
     """Extracts every table, then promotes every table; see their own functions for the options."""
+    # Object stores are refused before anything is written; put the warehouse on HDFS or a shared disk.
+    storage.require_exclusive(spark, warehouse.root)
     extractions = extract_tables(spark, sources, contracts, warehouse, run_id, raw)
     promotions = promote_tables(spark, contracts, warehouse, run_id, raw.name, trim, keep_versions)
     return extractions, promotions

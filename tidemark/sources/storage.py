@@ -61,11 +61,9 @@ def claim(spark: SparkSession, path: str) -> bool:
 
     Object stores check and create in two steps and are refused.
     """
+    require_exclusive(spark, path)
     fs, target = _file_system(spark, path)
-    scheme = fs.getUri().getScheme()
-    if scheme not in EXCLUSIVE_SCHEMES:
-        raise ValueError(f"{scheme} cannot create a file exclusively; publish on one of {EXCLUSIVE_SCHEMES}")
-    if scheme == "file":
+    if fs.getUri().getScheme() == "file":
         local = Path(target.toUri().getPath())
         local.parent.mkdir(parents=True, exist_ok=True)
         try:
@@ -82,6 +80,13 @@ def claim(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def require_exclusive(spark: SparkSession, path: str) -> None:
+    """Fails for paths on which :func:`claim` does not work."""
+    scheme = _file_system(spark, path)[0].getUri().getScheme()
+    if scheme not in EXCLUSIVE_SCHEMES:
+        raise ValueError(f"{scheme} cannot create a file exclusively; publish on one of {EXCLUSIVE_SCHEMES}")
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     fs, target = _file_system(spark, path)
     return fs.delete(target, True)
