@@ -7,6 +7,10 @@ literal of the column's own type, so they reach the Parquet or JDBC scan.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import datetime, timezone
+from itertools import pairwise
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +47,34 @@ def extract_window(df: DataFrame, ts: str, low: int, high: int) -> DataFrame:
     return df.filter(after & until)
 
 
+def window_bounds(df: DataFrame, ts: str, low: int, high: int, parts: int) -> list[int]:
+    """Marks that divide the rows with ``low < ts <= high`` into about equal parts, the outer two included.
+
+    One pass over the column with a sketch of fixed size per task; equal timestamps
+    stay together, so there may be fewer parts.
+    """
+    shares = [i / parts for i in range(1, parts)]
+    inner: list[int] = []
+    if shares:
+        sketch = F.percentile_approx(micros(F.col(ts)), F.array(*map(F.lit, shares)), F.lit(10_000))
+        inner = extract_window(df, ts, low, high).agg(sketch).first()[0] or []
+    return [low, *sorted({b for b in inner if low < b < high}), high]
+
+
+def window_parts(df: DataFrame, ts: str, bounds: Sequence[int]) -> list[DataFrame]:
+    """One frame per part: each is a scan with a window of its own pushed down."""
+    return [extract_window(df, ts, low, high) for low, high in pairwise(bounds)]
+
+
+def window_predicates(ts: str, bounds: Sequence[int]) -> list[str]:
+    """The parts as SQL conditions, for sources that are read by predicates, such as JDBC tables."""
+
+    def text(mark: int) -> str:
+        return f"TIMESTAMP '{datetime.fromtimestamp(mark // 1_000_000, timezone.utc):%Y-%m-%d %H:%M:%S}.{mark % 1_000_000:06d}'"
+
+    return [f"{ts} > {text(low)} AND {ts} <= {text(high)}" for low, high in pairwise(bounds)]
+
+
 def late_rows(df: DataFrame, ts: str, low: int) -> DataFrame:
     """Rows at or below the stored mark: no later extraction returns them."""
     return df.filter(F.col(ts) <= watermark_literal(df, ts, low))

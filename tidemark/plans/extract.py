@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.contracts import TableContract
-from tidemark.operators.extract import extract_window, high_watermark
+from tidemark.operators.extract import extract_window, high_watermark, window_bounds, window_parts
 from tidemark.plans.concurrent import raise_all, side_by_side
 from tidemark.plans.layout import Warehouse
 from tidemark.sources import bronze, ledger, state
@@ -32,11 +32,14 @@ class Extraction:
 
 @dataclass(frozen=True)
 class RawFormat:
-    """How raw batches are stored. ``ordered`` sorts the whole batch by the
-    watermark column, at the price of a shuffle."""
+    """How raw batches are read and stored. ``ordered`` sorts the whole batch by the
+    watermark column, at the price of a shuffle. ``parts`` reads a Parquet batch as that many
+    windows between quantiles of the watermark column, for sources that answer each by an index or
+    by row groups; the files of a part follow those of the part before."""
 
     name: str = "parquet"
     ordered: bool = False
+    parts: int = 1
     rows_per_file: int = bronze.DEFAULT_ROWS_PER_FILE
 
 
@@ -104,9 +107,14 @@ def _extract(
         if high <= low:
             return Extraction(table, NOTHING_NEW, low, high)
         path = bronze.run_path(warehouse.root, table, run_id)
-        batch = extract_window(source, ts, low, high)
-        order = [ts, contract.key] if raw.ordered else None
-        rows = bronze.write_run(batch, path, raw.name, raw.rows_per_file, order)
+        if raw.parts > 1 and raw.name == "parquet" and not raw.ordered:
+            parts = window_parts(source, ts, window_bounds(source, ts, low, high, raw.parts))
+            rows = bronze.write_parts(parts, path, raw.rows_per_file)
+        else:
+            order = [ts, contract.key] if raw.ordered else None
+            rows = bronze.write_run(
+                extract_window(source, ts, low, high), path, raw.name, raw.rows_per_file, order
+            )
     except Exception as problem:
         return Extraction(table, state.failed(str(problem)), low, problem=problem)
     return Extraction(table, state.SUCCESS, low, high, rows, time.monotonic() - started)

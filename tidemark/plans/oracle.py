@@ -138,6 +138,10 @@ ORACLE_SQL: dict[str, str] = {
         SELECT {_EVENTS} FROM events
         WHERE ts > TIMESTAMP '2024-01-12 00:00:00' AND ts <= (SELECT MAX(ts) FROM events)
     """,
+    "chunked_extract": f"""
+        SELECT {_EVENTS} FROM events
+        WHERE ts > TIMESTAMP '2024-01-12 00:00:00' AND ts <= (SELECT MAX(ts) FROM events)
+    """,
     "bronze_roundtrip": f"SELECT {_EVENTS} FROM events",
     "source_preview": f"SELECT {_EVENTS} FROM events ORDER BY ts, event_id LIMIT 5",
     "watermark_high": "SELECT epoch_us(MAX(ts)) AS high_watermark_us FROM events",
@@ -317,6 +321,14 @@ ORACLE_SQL: dict[str, str] = {
     "sample_keys": """
         SELECT p_partkey FROM part ORDER BY md5(CAST(p_partkey AS VARCHAR)), p_partkey LIMIT 25
     """,
+    "streaming_by_watermark": f"""
+        SELECT {_EVENTS} FROM (
+            SELECT * FROM events WHERE ts IS NOT NULL
+            QUALIFY ROW_NUMBER() OVER (
+                PARTITION BY user_id ORDER BY ts DESC, event_id DESC
+            ) = 1
+        )
+    """,
     "streaming_merge": f"""
         SELECT {_EVENTS} FROM (
             SELECT * FROM events

@@ -28,6 +28,7 @@ from tidemark.plans.versions import merge_and_publish
 from tidemark.sources import bronze, snapshots, state
 from tidemark.sources.storage import materialise, scratch_path
 from tidemark.streaming.ingest import merge_available, read_files
+from tidemark.streaming.marks import merge_new
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +88,16 @@ def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract_window(events, "ts", EVENTS_MARK_MICROS, high).select(*_event_columns())
 
 
+@query
+def chunked_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as parts between quantiles of the watermark, each a scan and files of its own, read back."""
+    events = table(spark, sf_dir, "events")
+    bounds = extract.window_bounds(events, "ts", EVENTS_MARK_MICROS, extract.high_watermark(events, "ts"), 8)
+    path = bronze.run_path(scratch_path(spark, "bronze"), "events", "r1")
+    bronze.write_parts(extract.window_parts(events, "ts", bounds), path)
+    return bronze.read_run(spark, path).select(*_event_columns())
+
+
 @query
 def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ordered CSV batch files, read back as text and cast to the contract."""
@@ -470,6 +481,20 @@ def streaming_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.read_current(spark, f"{work}/table", schema).select(*_event_columns())
 
 
+@query
+def streaming_by_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table from a stream whose offsets are watermarks, stopped and started again after
+    the source has grown."""
+    events = table(spark, sf_dir, "events")
+    contract = TableContract("events", events.schema, key="user_id", watermark="ts")
+    work = scratch_path(spark, "stream")
+    late = F.coalesce(F.col("ts") > _ntz(EVENTS_MARK), F.lit(False))
+    for grown in (events.filter(~late), events.filter(late)):
+        grown.write.mode("append").parquet(f"{work}/source")
+        merge_new(spark, f"{work}/source", f"{work}/table", contract, f"{work}/log").awaitTermination()
+    return snapshots.read_current(spark, f"{work}/table", events.schema).select(*_event_columns())
+
+
 # --- star schema -----------------------------------------------------------
 
 

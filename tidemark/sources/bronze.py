@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,22 @@ def write_run(
     return written.get["rows"]
 
 
+PART = "part"
+
+
+def write_parts(parts: Sequence[DataFrame], path: str, rows_per_file: int = DEFAULT_ROWS_PER_FILE) -> int:
+    """Writes the parts of one run's batch side by side, each to files of its own, and returns the rows.
+
+    The parts are the tasks of one write without a shuffle; a part's number is a folder
+    ``part=<n>``, which :func:`read_run` leaves out of the columns.
+    """
+    numbered = [df.withColumn(PART, F.lit(i)) for i, df in enumerate(parts)]
+    written = Observation()
+    batch = reduce(DataFrame.unionByName, numbered).observe(written, F.count(F.lit(1)).alias("rows"))
+    batch.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy(PART).parquet(path)
+    return written.get["rows"]
+
+
 class IncompleteBatchError(ValueError):
     """A raw batch whose extraction failed half-way."""
 
@@ -78,7 +95,8 @@ def read_run(
     if not storage.exists(spark, f"{path}/_SUCCESS"):
         raise IncompleteBatchError(f"{path} was not written to its end")
     if fmt == "parquet":
-        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+        batch = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+        return batch.drop(PART) if storage.child_folders(spark, path) else batch
     reader = spark.read.options(**_CSV_OPTIONS).option("multiLine", True)
     if schema is not None:
         reader = reader.schema(schema).option("enforceSchema", False)

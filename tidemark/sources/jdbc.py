@@ -5,7 +5,7 @@ Not exercised by the tests: they have no database and no driver jar.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +36,10 @@ def read_table(
         numPartitions=partitions,
         properties={**(properties or {}), "fetchsize": str(fetch_size)},
     )
+
+
+def read_windows(
+    spark: SparkSession, url: str, table: str, predicates: Sequence[str], properties: Mapping[str, str] | None = None
+) -> DataFrame:
+    """A table read by one query per condition, such as those of ``operators.extract.window_predicates``."""
+    return spark.read.jdbc(url, table, predicates=list(predicates), properties=dict(properties or {}))
