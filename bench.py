@@ -19,10 +19,13 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark import build_session  # noqa: E402
 from tidemark.operators.extract import high_watermark, watermark_literal  # noqa: E402
+from tidemark.operators.latest import latest_per_key  # noqa: E402
+from tidemark.operators.merge import merge_into_state, merge_latest  # noqa: E402
 from tidemark.plans import shop  # noqa: E402
 from tidemark.plans.layout import Warehouse  # noqa: E402
 from tidemark.plans.queries import QUERIES  # noqa: E402
 from tidemark.plans.refresh import refresh  # noqa: E402
+from tidemark.plans.versions import merge_and_publish  # noqa: E402
 from tidemark.sources.storage import materialise, scratch_path  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -39,6 +42,7 @@ HEADLINES = (
     "silver_merge",
     "silver_merge_broadcast",
     "silver_merge_shuffled",
+    "silver_merge_bucketed",
     "insert_if_absent",
     "update_by_key",
     "fact_orders",
@@ -56,6 +60,33 @@ def seconds(spark, name: str) -> float:
     return time.perf_counter() - started
 
 
+def stored_merges(spark) -> dict[str, float]:
+    """Times of a merge of corrected rows into one stored state, to the written new state: by ranking both,
+    by a join that knows nothing of how the state is stored, and bucket by bucket."""
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    keys, ts = ["l_orderkey", "l_linenumber"], "l_shipdate"
+    latest = latest_per_key(lines, keys, ts)
+    plain = materialise(latest, "bench-state")
+    root = scratch_path(spark, "bench-buckets")
+    merge_and_publish(plain, root, keys, ts)
+    returned = lines.filter("l_returnflag = 'R'").withColumn("l_tax", F.lit(0.0))
+    times = {}
+    for turn in range(2):  # the first is a warm-up
+        batch = materialise(latest_per_key(returned.withColumn("l_tax", F.lit(float(turn))), keys, ts), "bench-batch")
+        steps = {
+            "merge_stored_ranked": lambda: materialise(merge_latest(plain, batch, keys, ts), "bench-out"),
+            "merge_stored_joined": lambda: materialise(merge_into_state(plain, batch, keys, ts), "bench-out"),
+            "merge_stored_bucketed": lambda: merge_and_publish(batch, root, keys, ts),
+        }
+        for name, step in steps.items():
+            started = time.perf_counter()
+            step()
+            times[name] = round(time.perf_counter() - started, 3)
+    for name, value in times.items():
+        print(name, value, file=sys.stderr, flush=True)
+    return times
+
+
 def whole_runs(spark) -> dict[str, float]:
     """Times of two runs on a loaded warehouse: one for the orders of the last
     days, a few hundred at sf0.1, and one that finds nothing new."""
@@ -100,6 +131,7 @@ def main() -> None:
             seconds(spark, name)
         times[name] = round(seconds(spark, name), 3)
         print(name, times[name], file=sys.stderr, flush=True)
+    times.update(stored_merges(spark))
     times.update(whole_runs(spark))
     spark.stop()
     result = {

@@ -14,6 +14,7 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ DAILY_SALES = "aggregations/daily_category_sales"
 INPUTS = "built_from"
 DAYS = "fact_days"
 _RESERVED = "_reserved"
+# Fixed value: how Spark names the folder of rows without a day.
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 _DIMENSIONS = {DIM_PRODUCTS: (0, star.product_dimension, star.PRODUCT_COLUMNS, "product_id"),
                DIM_CUSTOMERS: (1, star.customer_dimension, star.CUSTOMER_COLUMNS, "customer_id")}
 
@@ -187,7 +190,6 @@ class _Build:
         """
         spark, warehouse = self.spark, self.warehouse
         orders = changes[2]
-        before = _read_fact(spark, warehouse, self.base)
         products, customers = [
             _changed_keys(changes[at], list(chosen), key) for at, _, chosen, key in _DIMENSIONS.values()
         ]
@@ -198,11 +200,12 @@ class _Build:
         ]
         for keys, name, key in ((products, self.names[0], "product_id"), (customers, self.names[1], "customer_id")):
             if self.known[name].version != self.inputs[name]:
-                touched.append(before.select(key, "order_date").join(keys, key, "left_semi").select("order_date"))
+                before = _read_fact(spark, warehouse, self.base).select(key, "order_date")
+                touched.append(before.join(keys, key, "left_semi").select("order_date"))
         # As many rows as there are days in the calendar of the orders at most.
-        found = {row[0] for frame in touched for row in frame.distinct().collect()}
+        found = {row[0] for row in reduce(DataFrame.unionAll, touched).distinct().collect()}
         days = tuple(sorted(found, key=lambda d: (d is not None, d or date.min)))
-        old = before.filter(star.on_days(days))
+        old = _read_fact(spark, warehouse, self.base, days)
         kept = old.select(*columns).join(order_keys, "order_id", "left_anti").select(*columns)
         rows = kept.unionByName(orders.select(*[F.col(f"after.`{c}`").alias(c) for c in columns]))
         fact = star.order_fact(rows, *dims, self.limit)
@@ -278,29 +281,37 @@ def _read_dimension(spark: SparkSession, warehouse: Warehouse, name: str, build:
     return spark.read.parquet(_build_path(warehouse, name, build))
 
 
-def _read_fact(spark: SparkSession, warehouse: Warehouse, version: int) -> DataFrame:
-    """The fact of a version: each day from the build that wrote it last.
+def _read_fact(
+    spark: SparkSession, warehouse: Warehouse, version: int, days: Sequence[date | None] | None = None
+) -> DataFrame:
+    """The fact of a version, or some days of it: each day from the build that wrote it last.
 
-    Which build that is, is a filter on the partitions, so other builds' files are not read.
+    Which build that is, is a filter on the partitions, so other builds' files are not read. Of
+    given days, only the folders are listed.
     """
     folder = snapshots.version_path(warehouse.gold, version)
     schema = StructType.fromJson(json.loads(_parts(spark, warehouse, version)[FACT].schema))
-    days: dict[int, list[date | None]] = {}
-    for row in spark.read.parquet(f"{folder}/{DAYS}").select("order_date", "build").collect():
-        days.setdefault(row["build"], []).append(row["order_date"])
-    if not days:
+    table = spark.read.parquet(f"{folder}/{DAYS}").select("order_date", "build")
+    builds: dict[int, list[date | None]] = {}
+    for row in (table if days is None else table.filter(star.on_days(days))).collect():
+        builds.setdefault(row["build"], []).append(row["order_date"])
+    if not builds:
         return spark.createDataFrame([], schema)
     whole = StructType([*schema.fields, StructField("build", IntegerType())])
-    newest = max(days)
+    reader = spark.read.schema(whole).option("basePath", warehouse.gold_part(FACT))
+    if days is not None:
+        return reader.parquet(*[
+            f"{_build_path(warehouse, FACT, build)}/order_date={_NO_DAY if day is None else day.isoformat()}"
+            for build, mine in builds.items() for day in mine
+        ]).select(*schema.fieldNames())
+    newest = max(builds)
     current = F.lit(False)
-    for build, mine in days.items():
+    for build, mine in builds.items():
         # The last of the builds has nothing that was written again.
         own = F.col("build") == build
         current = current | (own if build == newest else own & star.on_days(mine))
-    root = warehouse.gold_part(FACT)
-    paths = [_build_path(warehouse, FACT, build) for build in days]
-    fact = spark.read.schema(whole).option("basePath", root).parquet(*paths)
-    return fact.filter(current if len(days) > 1 else F.lit(True)).select(*schema.fieldNames())
+    fact = reader.parquet(*[_build_path(warehouse, FACT, build) for build in builds])
+    return fact.filter(current if len(builds) > 1 else F.lit(True)).select(*schema.fieldNames())
 
 
 def read_gold(spark: SparkSession, warehouse: Warehouse, name: str) -> DataFrame | None:
@@ -334,7 +345,7 @@ def retire_gold(spark: SparkSession, warehouse: Warehouse, keep: int = 2) -> Non
         parts = _parts(spark, warehouse, version)
         for name in _DIMENSIONS:
             wanted[name].add(parts[name].build)
-        day = F.coalesce(F.col("order_date").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+        day = F.coalesce(F.col("order_date").cast("string"), F.lit(_NO_DAY))
         table = spark.read.parquet(f"{warehouse.gold}/{child}/{DAYS}")
         days |= {(r["build"], r["day"]) for r in table.select("build", day.alias("day")).collect()}
     builds = {build for build, _ in days}

@@ -6,7 +6,7 @@ import uuid
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -54,14 +54,16 @@ def merge_and_publish(
         else:
             name = uuid.uuid4().hex
             kept = f"{changes_folder(root)}/{name}" if keep_changes else storage.scratch_path(spark, "changes")
-            changes_to(state, latest, keys, ts).write.mode("errorifexists").parquet(kept)
-            changes = spark.read.parquet(kept)
-            added = changes.count()
+            written = Observation()
+            changes = changes_to(state, latest, keys, ts)
+            counted = changes.observe(written, F.count(F.lit(1)).alias("rows"))
+            counted.write.mode("errorifexists").parquet(kept)
+            changes, added = spark.read.schema(changes.schema).parquet(kept), written.get["rows"]
             if added == 0:
                 if keep_changes:
                     storage.remove(spark, kept)
                 return base
-            count = keyed.buckets_for(spark, state.count() + added, before.count)
+            count = keyed.buckets_for(spark, before.rows + added, before.count)
             keyed.write(apply_changes(state, changes, keys), path, before._replace(count=count))
             if keep_changes:
                 storage.create_marker(spark, f"{path}/{_CHANGES}{base}-{name}")

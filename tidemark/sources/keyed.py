@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from typing import NamedTuple
 from urllib.parse import quote, unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.sources import storage
 
@@ -27,6 +28,8 @@ _MARKER = "_buckets-"
 class Buckets(NamedTuple):
     count: int
     keys: tuple[str, ...]
+    # Rows of the table, 0 before it is written.
+    rows: int = 0
 
 
 def buckets_for(spark: SparkSession, rows: int, current: int | None = None) -> int:
@@ -47,20 +50,22 @@ def layout(spark: SparkSession, path: str) -> Buckets | None:
     """How the table at ``path`` is stored, None if not in buckets."""
     for name in storage.child_files(spark, path):
         if name.startswith(_MARKER):
-            count, *keys = name.removeprefix(_MARKER).split("-")
-            return Buckets(int(count), tuple(unquote(k) for k in keys))
+            count, rows, *keys = name.removeprefix(_MARKER).split("-")
+            return Buckets(int(count), tuple(unquote(k) for k in keys), int(rows))
     return None
 
 
 def write(df: DataFrame, path: str, buckets: Buckets) -> None:
     """Writes a new table. Rows of one bucket should already be in one task; else a bucket has several files."""
     spark, name = df.sparkSession, _fresh_name()
-    writer = df.write.format("parquet").mode("errorifexists").option("path", path)
+    written = Observation()
+    observed = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    writer = observed.write.format("parquet").mode("errorifexists").option("path", path)
     try:
         writer.bucketBy(buckets.count, *buckets.keys).sortBy(*buckets.keys).saveAsTable(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    marks = "-".join([str(buckets.count), *[quote(k, safe="").replace("-", "%2D") for k in buckets.keys]])
+    marks = "-".join([str(buckets.count), str(written.get["rows"]), *[quote(k, safe="").replace("-", "%2D") for k in buckets.keys]])
     storage.create_marker(spark, f"{path}/{_MARKER}{marks}")
 
 
