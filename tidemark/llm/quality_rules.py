@@ -140,6 +140,18 @@ def apply_policy(rows: DataFrame, policy: str, policies=POLICIES, rules=RULES) -
     )
 
 
+def only_rule(policy: str, policies=POLICIES, rules=RULES) -> Column:
+    """Name of the rule without which the policy would keep the row, from the ledger's bits alone.
+
+    NULL for rows that are kept, and for those that several rules reject.
+    """
+    under = F.col("fail_bits").bitwiseAND(F.lit(mask(policies[policy], rules)).cast("long"))
+    names = F.lit(None).cast("string")
+    for name in policies[policy]:
+        names = F.when(under == F.lit(mask([name], rules)), name).otherwise(names)
+    return names
+
+
 def ablation(rows: DataFrame, policies=POLICIES, rules=RULES) -> DataFrame:
     """Per policy and rule: texts that fail it, and texts that only it rejects.
 
@@ -213,6 +225,10 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
   n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
   n_repeat_words::BIGINT AS n_repeat_words, b0 + b1 > 0 AS base_failed,
   b0 + b1 + b2 + b3 + b4 + b5 = 0 AS kept,
-  (b0 + 2 * b1 + 4 * b2 + 8 * b3 + 16 * b4 + 32 * b5)::BIGINT AS fail_bits
+  (b0 + 2 * b1 + 4 * b2 + 8 * b3 + 16 * b4 + 32 * b5)::BIGINT AS fail_bits,
+  CASE WHEN b0 + b1 + b2 + b3 + b4 + b5 = 1 THEN
+    CASE WHEN b0 = 1 THEN 'few_words' WHEN b1 = 1 THEN 'repeated_words' WHEN b2 = 1 THEN 'symbols'
+      WHEN b3 = 1 THEN 'duplicate_lines' WHEN b4 = 1 THEN 'shouting' ELSE 'word_length' END
+  END AS only_rule
 FROM b
 """

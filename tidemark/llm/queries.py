@@ -24,7 +24,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(_table(spark, sf_dir, "documents"))
     return quality_rules.apply_policy(rows, POLICY).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "fail_bits",
+        "fail_bits", quality_rules.only_rule(POLICY).alias("only_rule"),
     )
 
 
