@@ -51,8 +51,9 @@ def fit(
 ) -> Model:
     """Learns from the labelled rows given; leave held-out rows out of ``labels``.
 
-    Two thirds of the ids give pieces for the dictionaries, the rest calibrates; at
-    most ``pieces`` per label and ``texts`` are read, in the order of a hash. NULL
+    Two thirds of the ids give pieces for the dictionaries, the rest calibrates: the first
+    ``pieces`` ids and pieces per label, and ``texts`` ids and texts, in the order of a hash. Texts are cut or
+    measured where they are; only pieces and numbers are ordered and gathered. NULL
     labels and texts are left out; an id with several labels counts with each.
     Without texts of both labels the model answers with the share of label 1.
     """
@@ -62,11 +63,10 @@ def fit(
         F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("bytes")
     )
 
-    def some(part, n: int) -> list:
-        # Ids first, so that the texts of no more than the sample are read back.
+    def some(part: DataFrame, n: int) -> DataFrame:
+        # Ids first, so that no more texts than those of the sample are looked at.
         ids = part.orderBy("order").limit(n)
-        ids = F.broadcast(ids) if fits(ids) else ids
-        return source.join(ids, "__id").orderBy("order", "bytes").limit(2 * n)
+        return source.join(F.broadcast(ids) if fits(ids) else ids, "__id")
 
     first, rest = F.pmod("order", F.lit(3)) < 2, F.pmod("order", F.lit(3)) == 2
     sides = []
@@ -74,15 +74,19 @@ def fit(
         cut = some(known.filter(first & (F.col("y") == y)), pieces).withColumn(
             "at", F.explode(F.sequence(F.lit(0), F.floor((F.octet_length("bytes") - 1) / PIECE).cast("int")))
         ).select(F.substring("bytes", F.col("at") * PIECE + 1, F.lit(PIECE)).alias("piece"), "order", "at")
-        rows = cut.filter(F.octet_length("piece") > 0).orderBy(F.xxhash64("order", "at"), "order", "at").limit(pieces)
+        rows = cut.filter(F.octet_length("piece") > 0).orderBy(
+            F.xxhash64("order", "at"), "order", "at", "piece"
+        ).limit(pieces)
         sides.append([bytes(r.piece) for r in rows.collect()])
     if not all(sides):
         share = known.agg(F.avg("y")).first()[0]
         share = 0.5 if share is None else min(max(share, 0.01), 0.99)
         return Model(b"", b"", 0.0, float(np.log(share / (1 - share))))
     bad, good = (_dictionary(s) for s in sides)
-    sample = some(known.filter(rest), texts).select("bytes", "y")
-    measured = sample.mapInArrow(_differences(good, bad, ["y"]), "y int, difference double").collect()
+    sample = some(known.filter(rest), texts).filter("bytes IS NOT NULL").select("bytes", "y", "order")
+    measured = sample.mapInArrow(
+        _differences(good, bad, ["y", "order"]), "y int, order bigint, difference double"
+    ).orderBy("order", "y", "difference").limit(texts).collect()
     x = np.array([r.difference for r in measured])
     y = np.array([r.y for r in measured], float)
     return Model(good, bad, *_logistic(x, y))
