@@ -18,6 +18,8 @@ def spark(tmp_path_factory):
             "spark.master": "local[4]",
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            # No checksum file next to each of the many small files.
+            "spark.hadoop.fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )

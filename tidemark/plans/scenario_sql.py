@@ -63,7 +63,7 @@ ORACLE_SQL: dict[str, str] = {
                    CAST(p_retailprice AS DECIMAL(10,2)) + CASE WHEN p_size = 1 THEN 1 ELSE 0 END AS price
             FROM part WHERE {_GOOD_PRODUCT}
         ), customers AS (
-            SELECT c_custkey, c_acctbal > 9000 AS moved FROM customer WHERE {_GOOD_CUSTOMER}
+            SELECT c_custkey, c_acctbal > 9900 AS moved FROM customer WHERE {_GOOD_CUSTOMER}
         ), fact AS (
             SELECT order_date, product_category, quantity * price AS net_sales, o_orderkey, moved
             FROM sold LEFT JOIN products ON p_partkey = l_partkey

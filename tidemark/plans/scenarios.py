@@ -103,7 +103,7 @@ def gold_after_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "updated_at": F.when(size <= 3, _ntz(SECOND_STAMP)).otherwise(_ntz(FIRST_STAMP)),
     })
     rich = shop.table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("customer_id"), (F.col("c_acctbal") > 9000).alias("rich")
+        F.col("c_custkey").alias("customer_id"), (F.col("c_acctbal") > 9900).alias("rich")
     )
     second[CUSTOMERS] = first[CUSTOMERS].join(rich, "customer_id").withColumns({
         "city": F.when(F.col("rich"), "MOVED").otherwise(F.col("city")),
