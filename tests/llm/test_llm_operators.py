@@ -424,7 +424,7 @@ def test_empty_tables(docs, items):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(name, spark):
     source, database = "/root/testdata/sf0.001", duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "conversations"):
         database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{source}/{table}.parquet'")
     expected = database.execute(ORACLE_SQL[name])
     columns = [d[0] for d in expected.description]
