@@ -8,8 +8,8 @@ select on the ends; there is no table of 64-bit offsets. Files are written by Sp
 which commits the output of one attempt of each task on any file system.
 
 **Encoding.** BPE with byte-level pre-tokens never joins anything across a space that stands before a
-letter or digit, so texts are cut there and each distinct piece is encoded once per worker (if
-it comes up again before many others), a few in one call, parted by line breaks. Tokenizers of other kinds encode whole texts. The result is that of the whole text
+letter or digit, so texts are cut there and each distinct piece of some MB of text is encoded
+once, many in one call, parted by line breaks. Tokenizers of other kinds encode whole texts. The result is that of the whole text
 either way, and the memory that of pieces, however long a text is.
 """
 
@@ -40,12 +40,16 @@ MAGIC, VERSION = b"TOKENIDS", 1
 _FOOTER = struct.Struct("<8sBBIIQQQQq")
 _END = b"\n"
 FILE_TOKENS = 4 << 20
-# Pieces a worker remembers (up to twice as many), pieces of one call, characters of a slice.
-_REMEMBERED, _GROUP, _SLICE = 150_000, 50, 4 << 20
-# Encoders of this process: the tasks of a worker share what it has learned.
+# Pieces of one call, and characters that are encoded together.
+_GROUP, _SLICE = 50, 8 << 20
+# Encoders of this process, for all its tasks.
 _ENCODERS: dict[tuple[bytes, int], Encoder] = {}
-# What may stand behind a word without being part of its pre-token; an apostrophe may be.
-_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# A word of letters that all versions of Unicode have as such, and the marks behind it. An apostrophe may begin
+# a pre-token that goes on with letters.
+_LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
+_WORD = rf'^(?P<word>[{_LETTERS}]+)(?P<mark>(?:[!-&(-/:-@\[-`{{-~][!-/:-@\[-`{{-~]*)?)$'
+# Pieces without white space but single line breaks inside, so that nothing runs into what stands next to them.
+_PRINTED = rf"^[!-~{_LETTERS}]+(?:\n[!-~{_LETTERS}]+)*$"
 _CUT = re.compile(r" (?=[^\W_])")
 _UNSAFE = re.compile(r" (?![^\W_])")
 _DOCUMENTS = "part int, start_in_part long, doc long, n_tokens long, ids_crc32 long"
@@ -87,16 +91,10 @@ class Encoder:
         largest = max(self.tokenizer.get_vocab_size(with_added_tokens=True) - 1, vocabulary.end_id)
         self.dtype = np.dtype("<u2" if largest < 1 << 16 else "<u4")
         self.end = np.array([vocabulary.end_id], self.dtype).tobytes()
-        self.in_pieces = vocabulary.in_pieces
-        # Pieces met lately, and those met before; the latter go when the former are full.
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.ends: dict[str, bytes] = {}
-        line = np.frombuffer(self._ids(["\n"])[0], self.dtype)
-        if self.in_pieces and len(line) != 1:
-            self.in_pieces = False
+        line = self._ids(self.tokenizer, ["\n"])[0]
+        self.in_pieces = vocabulary.in_pieces and len(line) == 1
         if self.in_pieces:
-            self.line = int(line[0])
+            self.line = line[0]
             # The same vocabulary and merges for words that are one pre-token each.
             self.words = Tokenizer.from_str(vocabulary.tokenizer)
             self.words.pre_tokenizer = pre_tokenizers.Sequence(
@@ -111,10 +109,6 @@ class Encoder:
             _ENCODERS[key] = Encoder(vocabulary)
         return _ENCODERS[key]
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
-
     def encode(self, text: str) -> Iterator[bytes]:
         """The ids of a text in parts, the end not among them."""
         at = 0
@@ -129,84 +123,95 @@ class Encoder:
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of some texts, or slices of texts, that are short together.
 
-        The texts' pieces are numbered, each distinct one is looked up once, and
-        the ids are put together for all texts at a time.
+        The texts' pieces are numbered and each distinct one is encoded once; the ids are then put
+        together for all texts at a time. Nothing is done piece by piece but by the tokenizer.
         """
         if not self.in_pieces:
-            return self._ids(texts)
+            return [np.array(x, self.dtype).tobytes() for x in self._ids(self.tokenizer, texts)]
         if not texts:
             return []
         pieces, bounds = _pieces(texts)
         numbered = pieces.dictionary_encode()
-        distinct, number = numbered.dictionary.to_pylist(), numbered.indices.to_numpy().astype(np.int64)
+        distinct, number = numbered.dictionary, numbered.indices.to_numpy()
+        flat, starts, sizes = self._spaced(distinct)
         # The space goes to the piece behind it; the first piece of a text has none and is encoded by itself.
-        first = [distinct[i] for i in number[bounds[:-1]].tolist()]
-        chunks = self._spaced(distinct) + self._ids(first)
-        number[bounds[:-1]] = len(distinct) + np.arange(len(texts))
-        width = self.dtype.itemsize
-        sizes = np.fromiter(map(len, chunks), np.int64, len(chunks)) // width
-        counts = sizes[number]
+        first = self._ids(self.tokenizer, distinct.take(pa.array(number[bounds[:-1]])).to_pylist())
+        own = np.fromiter(map(len, first), np.int64, len(first))
+        starts, sizes = starts[number], sizes[number]
+        starts[bounds[:-1], 0], sizes[bounds[:-1]] = len(flat) + np.cumsum(own) - own, np.column_stack([own, 0 * own])
+        flat = np.concatenate([flat, _array(first, int(own.sum()))])
+        counts = sizes.ravel()
         ends = np.cumsum(counts)
-        at = np.repeat((np.cumsum(sizes) - sizes)[number] - (ends - counts), counts)
+        at = np.repeat(starts.ravel() - (ends - counts), counts)
         at += np.arange(len(at))
-        ids = np.frombuffer(b"".join(chunks), self.dtype)[at].tobytes()
-        cuts = (np.append(0, ends)[bounds] * width).tolist()
+        ids = flat[at].astype(self.dtype).tobytes()
+        cuts = (np.append(0, ends)[2 * bounds] * self.dtype.itemsize).tolist()
         return [ids[i:j] for i, j in itertools.pairwise(cuts)]
 
-    def _spaced(self, pieces: list[str]) -> list[bytes]:
-        """The ids of distinct pieces, each with a space before it."""
-        if len(self.known) > _REMEMBERED:
-            self.known, self.older = {}, self.known
-        missing = [p for p in pieces if p not in self.known]
-        again = self.older.keys() & missing if self.older else ()
-        self.known.update((p, self.older[p]) for p in again)
-        self._learn([p for p in missing if p not in again] if again else missing)
-        return list(map(self.known.__getitem__, pieces))
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Remembers the ids of pieces; words of letters alone need no pattern to be cut into pre-tokens,
-        and marks behind a word are a pre-token of their own."""
-        words, marked, others = [], [], []
-        for piece in pieces:
-            if _is_word(piece):
-                words.append(piece)
-                continue
-            word = piece.rstrip(_MARKS)
-            if word and _is_word(word):
-                marked.append((piece, word, piece[len(word):]))
-            else:
-                others.append(piece)
-        words += {word for _, word, _ in marked}.difference(words, self.known)
-        self._remember(self.words, words)
-        ends = list({end for _, _, end in marked}.difference(self.ends))
-        self.ends.update(zip(ends, self._ids(ends)))
-        for piece, word, end in marked:
-            self.known[piece] = self.known[word] + self.ends[end]
-        self._remember(self.tokenizer, [p for p in others if "\n" not in p])
-        alone = [p for p in others if "\n" in p]
-        self.known.update(zip(alone, self._ids([" " + p for p in alone])))
-
-    def _remember(self, tokenizer, pieces: list[str]) -> None:
-        """Encodes pieces without line breaks, some in one call, parted by line breaks."""
-        width = self.dtype.itemsize
-        line = np.array([self.line], self.dtype).tobytes()
-        for first in range(0, len(pieces), 200 * _GROUP):
-            part = pieces[first : first + 200 * _GROUP]
-            texts = [" " + "\n ".join(part[i : i + _GROUP]) for i in range(0, len(part), _GROUP)]
-            found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            data = line.join([np.array(e.ids, self.dtype).tobytes() for e in found])
-            stops = np.append(np.flatnonzero(np.frombuffer(data, self.dtype) == self.line) * width, len(data)).tolist()
-            if len(stops) != len(part):
-                raise ValueError("the tokenizer joins pieces across line breaks")
-            start = 0
-            for piece, stop in zip(part, stops):
-                self.known[piece] = data[start:stop]
-                start = stop + width
-
-
-def _is_word(piece: str) -> bool:
-    """Letters alone, of scripts whose letters are the same in all versions of Unicode the libraries may have."""
-    return piece.isalpha() and max(piece) < "\u0250"
+    @staticmethod
+    def _ids(tokenizer, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _spaced(self, distinct: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces with a space before each: all ids, and for each piece two runs of them, start and length.
+
+        Plain words need no pattern to be cut into pre-tokens, and marks behind a word are
+        a pre-token of their own; a word is encoded once, with whatever marks it comes.
+        """
+        parsed = pc.extract_regex(distinct, _WORD)
+        plain = parsed.is_valid().to_numpy(zero_copy_only=False)
+        rest = distinct.filter(pc.invert(parsed.is_valid()))
+        near = pc.match_substring_regex(rest, _PRINTED).to_numpy(zero_copy_only=False)
+        lines = rest.filter(pa.array(near))
+        words = parsed.field("word").filter(parsed.is_valid()).dictionary_encode()
+        marks = parsed.field("mark").filter(parsed.is_valid()).dictionary_encode()
+        tables = [
+            self._together(self.words, words.dictionary.to_pylist()),
+            self._apart(marks.dictionary.to_pylist()),
+            self._together(self.tokenizer, lines.to_pylist(), pc.count_substring(lines, "\n").to_numpy()),
+            self._apart([" " + x for x in rest.filter(pa.array(~near)).to_pylist()]),
+        ]
+        offsets = np.cumsum([0] + [len(t[0]) for t in tables])
+        starts, sizes = np.zeros((len(distinct), 2), np.int64), np.zeros((len(distinct), 2), np.int64)
+        others = np.flatnonzero(~plain)
+        for k, (rows, run, which) in enumerate((
+            (np.flatnonzero(plain), 0, words.indices.to_numpy()), (np.flatnonzero(plain), 1, marks.indices.to_numpy()),
+            (others[near], 0, slice(None)), (others[~near], 0, slice(None)),
+        )):
+            starts[rows, run] = tables[k][1][which] + offsets[k]
+            sizes[rows, run] = tables[k][2][which]
+        return np.concatenate([t[0] for t in tables]), starts, sizes
+
+    def _together(
+        self, tokenizer, pieces: list[str], breaks: np.ndarray | int = 0
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, starts and lengths of pieces, each with a space before it, many in one call, parted by
+        line breaks; ``breaks`` counts those a piece has itself."""
+        runs = []
+        for first in range(0, len(pieces), 400 * _GROUP):
+            part = pieces[first : first + 400 * _GROUP]
+            found = self._ids(tokenizer, [" " + "\n ".join(part[i : i + _GROUP]) for i in range(0, len(part), _GROUP)])
+            for ids in found:
+                ids.append(self.line)
+            runs.append(_array(found, sum(map(len, found))))
+        flat = np.concatenate(runs) if runs else np.empty(0, np.int64)
+        stops = np.flatnonzero(flat == self.line)
+        wanted = np.cumsum(np.ones(len(pieces), np.int64) + breaks)
+        if len(stops) != (wanted[-1] if len(wanted) else 0):
+            raise ValueError("the tokenizer joins pieces across line breaks")
+        stops = stops[wanted - 1]
+        starts = np.append(0, stops[:-1] + 1)[: len(stops)]
+        return flat, starts, stops - starts
+
+    def _apart(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of any texts, one by one."""
+        found = [ids for i in range(0, len(texts), 5000) for ids in self._ids(self.tokenizer, texts[i : i + 5000])]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return _array(found, int(sizes.sum())), np.cumsum(sizes) - sizes, sizes
+
+
+def _array(found: list[list[int]], size: int) -> np.ndarray:
+    return np.fromiter(itertools.chain.from_iterable(found), np.int64, size)
 
 
 def _pieces(texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
