@@ -42,6 +42,8 @@ _END = b"\n"
 FILE_TOKENS = 4 << 20
 # Pieces of one call, and characters that are encoded together.
 _GROUP, _SLICE = 50, 8 << 20
+# Words a worker remembers.
+_KNOWN = 600_000
 # Encoders of this process, for all its tasks.
 _ENCODERS: dict[tuple[bytes, int], Encoder] = {}
 # A word of letters that all versions of Unicode have as such, and the marks behind it. An apostrophe may begin
@@ -93,6 +95,8 @@ class Encoder:
         self.end = np.array([vocabulary.end_id], self.dtype).tobytes()
         line = self._ids(self.tokenizer, ["\n"])[0]
         self.in_pieces = vocabulary.in_pieces and len(line) == 1
+        none = np.empty(0, np.int64)
+        self.known = pa.array([], pa.large_string()), (none, none, none)
         if self.in_pieces:
             self.line = line[0]
             # The same vocabulary and merges for words that are one pre-token each.
@@ -166,7 +170,7 @@ class Encoder:
         words = parsed.field("word").filter(parsed.is_valid()).dictionary_encode()
         marks = parsed.field("mark").filter(parsed.is_valid()).dictionary_encode()
         tables = [
-            self._together(self.words, words.dictionary.to_pylist()),
+            self._plain(words.dictionary),
             self._apart(marks.dictionary.to_pylist()),
             self._together(self.tokenizer, lines.to_pylist(), pc.count_substring(lines, "\n").to_numpy()),
             self._apart([" " + x for x in rest.filter(pa.array(~near)).to_pylist()]),
@@ -182,6 +186,28 @@ class Encoder:
             sizes[rows, run] = tables[k][2][which]
         return np.concatenate([t[0] for t in tables]), starts, sizes
 
+    def _plain(self, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, starts and lengths of distinct plain words; words met lately are not encoded again."""
+        known, (flat, starts, sizes) = self.known
+        at = pc.index_in(words, value_set=known)
+        new = words.filter(at.is_null())
+        more, new_starts, new_sizes = self._together(self.words, new.to_pylist())
+        new_starts = new_starts + len(flat)
+        table = (np.append(flat, more), np.append(starts, new_starts), np.append(sizes, new_sizes))
+        place = at.to_numpy(zero_copy_only=False).copy()
+        place[at.is_null().to_numpy(zero_copy_only=False)] = len(known) + np.arange(len(new))
+        place = place.astype(np.int64)
+        found = table[0], table[1][place], table[2][place]
+        if len(known) + len(new) <= _KNOWN:
+            self.known = pa.concat_arrays([known, new]), table
+        else:
+            # Only the words of these texts are kept, and their ids put together.
+            ends = np.cumsum(found[2])
+            first = ends - found[2]
+            kept = found[0][np.repeat(found[1] - first, found[2]) + np.arange(int(ends[-1]))]
+            self.known = words, (kept, first, found[2])
+        return found
+
     def _together(
         self, tokenizer, pieces: list[str], breaks: np.ndarray | int = 0
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
