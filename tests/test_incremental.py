@@ -68,7 +68,9 @@ def test_a_merge_shuffles_the_batch_alone(spark, root):
     try:
         changes = merge.changes_to(state, batch, ["id"], "ts")
         stored = storage.materialise(changes, "changes")
-        for df in (changes, merge.apply_changes(state, stored, ["id"])):
+        for df in (
+            changes, merge.apply_changes(state, stored, ["id"]), merge.merge_keyed(state, batch, ["id"], "ts", "_new"),
+        ):
             text = plan(df)
             assert "Bucketed: true" in text and text.count("Exchange") == 1
             # The exchange stands above the batch: what the state's side has is a sort at most.
@@ -94,6 +96,11 @@ def test_merges_and_their_changes(spark, root, monkeypatch, per_bucket):
                 state[k] = row
         states.append(state)
         assert version == turn + 1
+        # The same without keeping the changes, in one join.
+        other = root + "/other"
+        assert versions.merge_and_publish(everything[-1], other, ["id"], "ts") == turn + 1
+        assert {r["id"]: tuple(r) for r in snapshots.read_current(spark, other).collect()} == state
+    assert versions.merge_and_publish(everything[-1], root + "/other", ["id"], "ts") == 4
     stored = versions.read_state(spark, root, 4)
     assert {r["id"]: tuple(r) for r in stored.collect()} == states[-1]
     files = [f for f in os.listdir(f"{root}/v=4") if f.startswith("part-")]

@@ -80,17 +80,9 @@ def changes_to(existing: DataFrame, batch: DataFrame, keys: Sequence[str], ts: s
     """
     _require_same_columns(existing, batch)
     columns = [f"`{c}`" for c in existing.columns]
-    after = batch.select(F.struct(*columns).alias("after"))
-    joined = after.join(existing, _after_has(keys), "left")
-    known = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
-    won = ~_newer(F.col(f"`{ts}`"), F.col(f"after.`{ts}`"))
-    # Columns without an order, such as maps, can't be compared and count as changed.
-    equal = [
-        F.col(f"`{f.name}`").eqNullSafe(F.col(f"after.`{f.name}`")) if orderable(f.dataType) else F.lit(False)
-        for f in existing.schema.fields
-    ]
-    return joined.filter(~known | (won & ~reduce(and_, equal))).select(
-        F.when(known, F.struct(*columns)).alias("before"), "after"
+    joined = batch.select(F.struct(*columns).alias("after")).join(existing, _after_has(keys), "left")
+    return joined.filter(_changes(existing, keys, ts)).select(
+        F.when(_known(keys), F.struct(*columns)).alias("before"), "after"
     )
 
 
@@ -106,6 +98,31 @@ def apply_changes(existing: DataFrame, changes: DataFrame, keys: Sequence[str])
     )
 
 
+def merge_keyed(existing: DataFrame, batch: DataFrame, keys: Sequence[str], ts: str, flag: str) -> DataFrame:
+    """:func:`changes_to` and :func:`apply_changes` in one full join; ``flag`` marks the rows that have changed."""
+    _require_same_columns(existing, batch)
+    after = batch.select(F.struct(*[f"`{c}`" for c in existing.columns]).alias("after"))
+    changed = F.col("after").isNotNull() & _changes(existing, keys, ts)
+    return existing.join(after, _after_has(keys), "full").withColumn(flag, changed).select(
+        *[F.when(F.col(flag), F.col(f"after.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in existing.columns], flag
+    )
+
+
+def _known(keys: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
+
+
+def _changes(existing: DataFrame, keys: Sequence[str], ts: str) -> Column:
+    """True where ``after`` is new, or not older than the row of its key and different from it."""
+    won = ~_newer(F.col(f"`{ts}`"), F.col(f"after.`{ts}`"))
+    # Columns without an order, such as maps, can't be compared and count as changed.
+    equal = [
+        F.col(f"`{f.name}`").eqNullSafe(F.col(f"after.`{f.name}`")) if orderable(f.dataType) else F.lit(False)
+        for f in existing.schema.fields
+    ]
+    return ~_known(keys) | (won & ~reduce(and_, equal))
+
+
 def _after_has(keys: Sequence[str]) -> Column:
     return reduce(and_, [F.col(f"`{k}`") == F.col(f"after.`{k}`") for k in keys])
 

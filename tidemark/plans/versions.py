@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.merge import apply_changes, changes_to, merge_into_state, net_changes
+from tidemark.operators.merge import apply_changes, changes_to, merge_into_state, merge_keyed, net_changes
 from tidemark.sources import keyed, snapshots, storage
 
-_CHANGES = "_changes-"
+_CHANGES, _CHANGED = "_changes-", "_changed"
 
 
 def changes_folder(root: str) -> str:
@@ -51,22 +51,25 @@ def merge_and_publish(
         before = keyed.layout(spark, snapshots.version_path(root, base))
         if unkeyed or not keyed.same_keys(before, keys):
             _write_first(merge_into_state(state, latest, keys, ts), path, keys, state.count() + rows)
-        else:
+        elif keep_changes:
             name = uuid.uuid4().hex
-            kept = f"{changes_folder(root)}/{name}" if keep_changes else storage.scratch_path(spark, "changes")
-            written = Observation()
+            kept, written = f"{changes_folder(root)}/{name}", Observation()
             changes = changes_to(state, latest, keys, ts)
             counted = changes.observe(written, F.count(F.lit(1)).alias("rows"))
             counted.write.mode("errorifexists").parquet(kept)
             changes, added = spark.read.schema(changes.schema).parquet(kept), written.get["rows"]
             if added == 0:
-                if keep_changes:
-                    storage.remove(spark, kept)
+                storage.remove(spark, kept)
                 return base
             count = keyed.buckets_for(spark, before.rows + added, before.count)
             keyed.write(apply_changes(state, changes, keys), path, before._replace(count=count))
-            if keep_changes:
-                storage.create_marker(spark, f"{path}/{_CHANGES}{base}-{name}")
+            storage.create_marker(spark, f"{path}/{_CHANGES}{base}-{name}")
+        else:
+            count = keyed.buckets_for(spark, before.rows + rows, before.count)
+            merged = merge_keyed(state, latest, keys, ts, _CHANGED)
+            if keyed.write(merged, path, before._replace(count=count), _CHANGED) == 0:
+                storage.remove(spark, path)
+                return base
     snapshots.publish(spark, root, version, base or 0)
     if keep_versions is not None:
         forget_changes(spark, root, version - keep_versions)

@@ -55,11 +55,16 @@ def layout(spark: SparkSession, path: str) -> Buckets | None:
     return None
 
 
-def write(df: DataFrame, path: str, buckets: Buckets) -> None:
-    """Writes a new table. Rows of one bucket should already be in one task; else a bucket has several files."""
+def write(df: DataFrame, path: str, buckets: Buckets, flag: str | None = None) -> int:
+    """Writes a new table. Rows of one bucket should already be in one task; else a bucket has several files.
+
+    Returns how many rows have the column ``flag``, which is not written.
+    """
     spark, name = df.sparkSession, _fresh_name()
     written = Observation()
-    observed = df.observe(written, F.count(F.lit(1)).alias("rows"))
+    flagged = F.count_if(F.col(flag) if flag else F.lit(False))
+    observed = df.observe(written, F.count(F.lit(1)).alias("rows"), flagged.alias("flagged"))
+    observed = observed.drop(flag) if flag else observed
     writer = observed.write.format("parquet").mode("errorifexists").option("path", path)
     try:
         writer.bucketBy(buckets.count, *buckets.keys).sortBy(*buckets.keys).saveAsTable(name)
@@ -67,6 +72,7 @@ def write(df: DataFrame, path: str, buckets: Buckets) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     marks = "-".join([str(buckets.count), str(written.get["rows"]), *[quote(k, safe="").replace("-", "%2D") for k in buckets.keys]])
     storage.create_marker(spark, f"{path}/{_MARKER}{marks}")
+    return written.get["flagged"]
 
 
 def by_bucket(df: DataFrame, buckets: Buckets) -> DataFrame:
