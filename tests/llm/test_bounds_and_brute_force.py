@@ -160,3 +160,49 @@ def test_remaining_texts_belong_to_their_digests(spark):
     for r in out:
         assert hashlib.sha256((r["text"] or "").encode()).hexdigest() == r["dedup_sha256"]
     assert sum(r["dedup_removed"] > 0 for r in out) == 2
+
+
+def test_texts_are_encoded_once_for_training_and_scoring(spark, tmp_path):
+    rows = [(i, prose(i, 20 + i) if i % 9 else None) for i in range(60)] + [(None, "no id"), (7, prose(7, 27))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    held = F.col("doc_id") % 10 == 0
+    texts = lm_scoring.encode(table, held)
+    assert {r["held_out"] for r in texts.collect()} == {True, False}
+    calls = spark.sparkContext.accumulator(0)
+
+    class Counted(lm_scoring.Tokenizer):
+        def encoder(self):
+            own = super().encoder()
+            count, ids = calls, own.ids
+            own.ids = lambda data, offsets: count.add(len(offsets) - 1) or ids(data, offsets)
+            return own
+
+    tokenizer = Counted(lm_scoring.Tokenizer.load().content)
+    path = str(tmp_path / "ids")
+    lm_scoring.encode(table, held, tokenizer=tokenizer).write.parquet(path)
+    stored = spark.read.parquet(path)
+    model = lm_scoring.fit_encoded(stored.filter(~F.col("held_out")), tokenizer)
+    got = sorted(map(tuple, lm_scoring.score_encoded(stored, model).collect()), key=repr)
+    assert calls.value == len(rows)
+    # The scores of a model are those it gives to texts that are encoded for scoring alone.
+    assert got == sorted(map(tuple, lm_scoring.score(table, model).collect()), key=repr) and len(got) == len(rows)
+    # What is held out has no part in the counts.
+    known = lm_scoring.fit(table.filter(~F.coalesce(held, F.lit(True))), rounds=0)
+    np.testing.assert_array_equal(known.neighbours.share, model.neighbours.share)
+
+
+def test_words_met_before_are_not_encoded_again(monkeypatch):
+    tokenizer, texts = lm_scoring.Tokenizer.load(), [prose(i, 50).encode() for i in range(6)]
+
+    def ids(encoder, text):
+        return encoder.ids(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0].tolist()
+
+    kept, expected = tokenizer.encoder(), [ids(tokenizer.encoder(), t) for t in texts]
+    asked = []
+    plain = kept._learn
+    monkeypatch.setattr(kept, "_learn", lambda marks, *rest: asked.append(len(marks)) or plain(marks, *rest))
+    assert [ids(kept, t) for t in texts * 2] == expected * 2
+    assert len(asked) <= len(texts) and sum(asked) == len({w for t in texts for w in t.lower().split()})
+    # Starting anew changes nothing.
+    monkeypatch.setattr(lm_scoring, "_KNOWN", 10)
+    assert [ids(kept, t) for t in texts] == expected
