@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 
 import numpy as np
@@ -206,3 +207,22 @@ def test_words_met_before_are_not_encoded_again(monkeypatch):
     # Starting anew changes nothing.
     monkeypatch.setattr(lm_scoring, "_KNOWN", 10)
     assert [ids(kept, t) for t in texts] == expected
+
+
+def test_topics_look_at_each_place_once(spark):
+    slow = (
+        ("legal", "(?i)licen[sc]e"), ("contact", "[a-z0-9.]+@[a-z0-9.]+|[0-9]{3}-[0-9]{4}"), ("table", " [|] "),
+    )
+    texts = [
+        None, "", "prose", "a@b", "@b", "a@", "A@b", "a@B", "x@.", "é@é", "@@a@@", "12-3456", "123-4567", "0123-45678",
+        "123-456", "a | b", "a|b", " | ", "| ", "my LiCeNcE a@b", "licenze", "a | b x@y", "555-1234 | licence", "- 123-4567",
+    ]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    for i, topic in rows.select("i", mixing.topic_of(F.col("text"))).collect():
+        expected = next((n for n, p in slow if texts[i] and re.search(p, texts[i])), "prose")
+        assert topic == expected, texts[i]
+    # One word without a sign of a topic: its length squared took minutes.
+    long = spark.range(1).select(F.repeat(F.lit("a"), 200_000).alias("text"))
+    started = time.monotonic()
+    assert long.select(mixing.topic_of(F.col("text"))).first()[0] == "prose"
+    assert time.monotonic() - started < 20
