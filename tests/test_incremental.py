@@ -208,6 +208,50 @@ def test_builds_from_changes_equal_whole_builds(spark, warehouse):
     assert built.days is None and built.rows == len(shop.orders)
 
 
+@pytest.mark.parametrize("most", [0.0, 2.0])
+def test_touched_days_from_the_table_or_from_their_files(spark, warehouse, monkeypatch, most):
+    monkeypatch.setattr(gold, "_MOST", most)
+    shop, reads, read_fact = Shop(11), [], gold._read_fact
+    monkeypatch.setattr(gold, "_read_fact", lambda *args: reads.append(args) or read_fact(*args))
+    for turn in range(4):
+        if turn:
+            shop.change(turn)
+        reads.clear()
+        done = refresh(spark, shop.sources(spark), ECOMMERCE, warehouse, f"r{turn}", keep_versions=1)
+        # The base's folders are listed once, however many tables have changed, or not at all.
+        searched = turn in (1, 2)
+        assert len(reads) == (0 if turn == 0 else 1 if searched or most else 0)
+        assert (done.gold.days is None) == (turn == 0)
+        silver = [snapshots.read_current(spark, warehouse.silver(c.name)) for c in ECOMMERCE]
+        whole = star.order_fact(silver[2], star.product_dimension(silver[0]), star.customer_dimension(silver[1]))
+        assert _facts(gold.read_gold(spark, warehouse, gold.FACT)) == _facts(whole)
+        assert _facts(gold.read_gold(spark, warehouse, gold.DAILY_SALES)) == _facts(star.daily_category_sales(whole))
+
+
+def test_a_build_notices_rows_its_changes_do_not_explain(spark, warehouse, monkeypatch):
+    shop = Shop(5)
+    refresh(spark, shop.sources(spark), ECOMMERCE, warehouse, "r0")
+    shop.change(1)
+    by_day = star.by_day
+    monkeypatch.setattr(star, "by_day", lambda fact: by_day(fact.withColumn("quantity", F.col("quantity") + F.lit(1))))
+    with pytest.raises(audit.ReconciliationError):
+        refresh(spark, shop.sources(spark), ECOMMERCE, warehouse, "r1")
+
+
+def test_digests_add_up(spark):
+    rows = spark.createDataFrame([(i % 3, i, None if i % 7 == 0 else str(i)) for i in range(60)], "d int, a int, b string")
+    names = ["rows", "hash_sum", "hash_xor"]
+    old, gone, come = rows.filter("a < 50"), rows.filter("a < 20"), rows.filter("a >= 50")
+    digests = [df.groupBy("d").agg(*audit.digest(["a", "b"])).select(*names) for df in (old, gone, come)]
+    due = digests[0].unionByName(audit.taken_away(digests[1])).unionByName(digests[2]).agg(*audit.added_up())
+    now = rows.filter("a >= 20").agg(*audit.digest(["a", "b"]))
+    assert due.schema.simpleString() == now.schema.simpleString() and due.first() == now.first()
+    assert audit.require_content(audit.digest_audit(due, now)) == 40
+    with pytest.raises(audit.ReconciliationError):
+        audit.require_content(audit.digest_audit(due, rows.agg(*audit.digest(["a", "b"]))))
+    assert tuple(digests[0].limit(0).agg(*audit.added_up()).first()) == (0, 0, 0)
+
+
 def test_signed_deltas_of_sales(spark):
     schema = "order_id int, product_category string, net_sales decimal(10,2), order_date date"
     rng, day = random.Random(3), START.date()

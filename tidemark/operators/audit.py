@@ -53,8 +53,28 @@ def content_audit(source: DataFrame, target: DataFrame, columns: Sequence[str])
 
     One pass over the two tables' columns; nothing is joined.
     """
-    sides = [df.agg(*digest(columns)).withColumn("side", F.lit(i)) for i, df in enumerate((source, target))]
-    both = sides[0].unionByName(sides[1])
+    return digest_audit(source.agg(*digest(columns)), target.agg(*digest(columns)))
+
+
+def added_up() -> list[Column]:
+    """Aggregates that make the digest of a table from digests of its parts, such as its days."""
+    return [
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"),
+        F.coalesce(F.sum("hash_sum"), F.lit(0)).cast("decimal(38,0)").alias("hash_sum"),
+        F.coalesce(F.bit_xor("hash_xor"), F.lit(0)).cast("long").alias("hash_xor"),
+    ]
+
+
+def taken_away(digests: DataFrame) -> DataFrame:
+    """Digests that take their rows away from a table when they are added up with its own."""
+    return digests.withColumns({c: -F.col(c) for c in ("rows", "hash_sum")})
+
+
+def digest_audit(source: DataFrame, target: DataFrame) -> DataFrame:
+    """:func:`content_audit` of two tables of which the digests are at hand, one row each."""
+    both = reduce(DataFrame.unionByName, [
+        df.select("rows", "hash_sum", "hash_xor", F.lit(i).alias("side")) for i, df in enumerate((source, target))
+    ])
 
     def of(side: int, name: str) -> Column:
         return F.max(F.when(F.col("side") == side, F.col(name)))

@@ -77,12 +77,17 @@ def daily_category_sales(fact: DataFrame) -> DataFrame:
 
 def sales_parts(fact: DataFrame) -> DataFrame:
     """Daily sales with the counts that let parts of a fact be added and taken away."""
-    return fact.groupBy(*SALES_KEYS).agg(
+    return fact.groupBy(*SALES_KEYS).agg(*sales_figures())
+
+
+def sales_figures() -> list[Column]:
+    """The aggregates of :func:`sales_parts`."""
+    return [
         F.sum("net_sales").alias("total_revenue"),
         F.count("order_id").alias("total_orders"),
         F.count("net_sales").alias("priced_rows"),
         F.count(F.lit(1)).alias("fact_rows"),
-    )
+    ]
 
 
 def sales_of(parts: DataFrame) -> DataFrame:

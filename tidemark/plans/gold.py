@@ -16,13 +16,13 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.contracts import CUSTOMERS, ORDERS, PRODUCTS
 from tidemark.operators import star
-from tidemark.operators.audit import content_audit, digest, require_balance, require_content, require_keys
+from tidemark.operators.audit import added_up, digest, digest_audit, require_balance, require_content, require_keys, taken_away
 from tidemark.operators.sizing import BROADCAST_LIMIT
 from tidemark.plans.concurrent import side_by_side
 from tidemark.plans.layout import Warehouse
@@ -40,6 +40,10 @@ DAYS = "fact_days"
 _RESERVED = "_reserved"
 # Fixed value: how Spark names the folder of rows without a day.
 _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+# Share of the orders on touched days from which on the orders' table is read for them.
+_MOST = 0.5
+# Threads that remove folders.
+_REMOVERS = 8
 _DIMENSIONS = {DIM_PRODUCTS: (0, star.product_dimension, star.PRODUCT_COLUMNS, "product_id"),
                DIM_CUSTOMERS: (1, star.customer_dimension, star.CUSTOMER_COLUMNS, "customer_id")}
 
@@ -124,9 +128,8 @@ class _Build:
             fact = star.order_fact(orders, *dims, self.limit, stored=orders)
             self._write_days(fact)
             fact = self._written_days(fact.schema)
-            require_content(content_audit(orders, fact, orders.columns))
-            sales = star.sales_parts(fact)
-            counted = self._counted(fact, orders.columns)
+            sales, counted = self._measured(fact, orders.columns)
+            require_content(digest_audit(orders.agg(*digest(orders.columns)), counted.agg(*added_up())))
         else:
             fact, days, sales, counted = self._changed(changes, orders.columns, dims)
         counted = self._draft(counted, DAYS)
@@ -147,6 +150,10 @@ class _Build:
         """What changed in products, customers and orders since the base, None if that is not known."""
         if not self.base or not all(name in self.known for name in (*self.names, FACT, *_DIMENSIONS)):
             return None
+        # Digests and files of the base hold for the types they were made of.
+        types = {f.name: f.dataType for f in StructType.fromJson(json.loads(self.known[FACT].schema)).fields}
+        if any(types.get(f.name) != f.dataType for f in self._silver(self.names[2]).schema.fields):
+            return None
         found = []
         for name, key in zip(self.names, ("product_id", "customer_id", "order_id")):
             change = changes_between(
@@ -176,17 +183,24 @@ class _Build:
     def _written_days(self, schema: StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(_build_path(self.warehouse, FACT, self.version))
 
-    def _counted(self, fact: DataFrame, columns: Sequence[str]) -> DataFrame:
-        """Rows and content of each written day, and that it is this build's."""
-        return fact.groupBy("order_date").agg(*digest(columns)).withColumn("build", F.lit(self.version))
+    def _measured(self, fact: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        """Sales of the written days, and rows and content of each with the build it is of, in one pass over them."""
+        groups = storage.materialise(
+            fact.groupBy(*star.SALES_KEYS).agg(*star.sales_figures(), *digest(columns)), "written-days"
+        )
+        counted = groups.groupBy("order_date").agg(*added_up()).withColumn("build", F.lit(self.version))
+        return groups.drop("rows", "hash_sum", "hash_xor"), counted
 
     def _changed(
         self, changes: list[DataFrame], columns: list[str], dims: list[DataFrame]
     ) -> tuple[DataFrame, tuple[date | None, ...], DataFrame, DataFrame]:
-        """Writes the days the changes touch, from the base's rows of these days.
+        """Writes the days the changes touch.
 
-        The orders' table is not read for it: a day's orders are those it had, less
-        the changed ones, plus the changed ones that now fall on it.
+        The orders' table is not read for a few days: a day's orders are those it had, less
+        the changed ones, plus the changed ones that now fall on it. Where the days hold most of the orders,
+        reading the table costs less than shuffling what they had. Days are written whole, so
+        their sales are those of the written rows. What they have to hold is known from the base's
+        digests and the changes.
         """
         spark, warehouse = self.spark, self.warehouse
         orders = changes[2]
@@ -198,27 +212,39 @@ class _Build:
             orders.filter("before IS NOT NULL").select(F.to_date("before.updated_at").alias("order_date")),
             orders.select(F.to_date("after.updated_at").alias("order_date")),
         ]
-        for keys, name, key in ((products, self.names[0], "product_id"), (customers, self.names[1], "customer_id")):
-            if self.known[name].version != self.inputs[name]:
-                before = _read_fact(spark, warehouse, self.base).select(key, "order_date")
-                touched.append(before.join(keys, key, "left_semi").select("order_date"))
+        searched = [
+            (keys, key)
+            for keys, name, key in ((products, self.names[0], "product_id"), (customers, self.names[1], "customer_id"))
+            if self.known[name].version != self.inputs[name]
+        ]
+        # Its folders are listed once, here or for the touched days alone.
+        before = _read_fact(spark, warehouse, self.base) if searched else None
+        for keys, key in searched:
+            touched.append(before.select(key, "order_date").join(keys, key, "left_semi").select("order_date"))
         # As many rows as there are days in the calendar of the orders at most.
         found = {row[0] for row in reduce(DataFrame.unionAll, touched).distinct().collect()}
         days = tuple(sorted(found, key=lambda d: (d is not None, d or date.min)))
-        old = _read_fact(spark, warehouse, self.base, days)
-        kept = old.select(*columns).join(order_keys, "order_id", "left_anti").select(*columns)
-        rows = kept.unionByName(orders.select(*[F.col(f"after.`{c}`").alias(c) for c in columns]))
+        folder = snapshots.version_path(warehouse.gold, self.base)
+        stored = spark.read.parquet(f"{folder}/{DAYS}")
+        mine = star.on_days(days)
+        share = stored.agg(F.sum(F.when(mine, F.col("rows"))) / F.sum("rows")).first()[0] or 0
+        if share > _MOST:
+            dated = self._silver(self.names[2]).withColumn("order_date", F.to_date("updated_at"))
+            rows = dated.filter(mine).select(*columns)
+        else:
+            old = before.filter(mine) if searched else _read_fact(spark, warehouse, self.base, days)
+            kept = old.select(*columns).join(order_keys, "order_id", "left_anti").select(*columns)
+            rows = kept.unionByName(orders.select(*_side("after", columns)))
         fact = star.order_fact(rows, *dims, self.limit)
         self._write_days(fact)
         fact = self._written_days(fact.schema)
-        require_content(content_audit(rows, fact, columns))
-        sales = star.apply_sales_delta(
-            spark.read.parquet(f"{snapshots.version_path(warehouse.gold, self.base)}/{DAILY_SALES}"),
-            _rows_of(old, order_keys, products), _rows_of(fact, order_keys, products),
-        )
-        stored = spark.read.parquet(f"{snapshots.version_path(warehouse.gold, self.base)}/{DAYS}")
-        counted = stored.filter(~star.on_days(days)).unionByName(self._counted(fact, columns))
-        return fact, days, sales, counted
+        sales, counted = self._measured(fact, columns)
+        gone = orders.filter("before IS NOT NULL").select(*_side("before", columns)).agg(*digest(columns))
+        come = orders.select(*_side("after", columns)).agg(*digest(columns))
+        due = stored.filter(mine).select(*gone.columns).unionByName(taken_away(gone)).unionByName(come)
+        require_content(digest_audit(due.agg(*added_up()), counted.agg(*added_up())))
+        others = spark.read.parquet(f"{folder}/{DAILY_SALES}").filter(~mine)
+        return fact, days, others.unionByName(sales), stored.filter(~mine).unionByName(counted)
 
     def _draft(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{snapshots.version_path(self.warehouse.gold, self.version)}/{name}"
@@ -235,12 +261,9 @@ def _changed_keys(changes: DataFrame, columns: list[str], key: str) -> DataFrame
     return changes.filter(F.col("before").isNull() | differs).select(F.col(f"after.`{key}`").alias(key))
 
 
-def _rows_of(fact: DataFrame, order_keys: DataFrame, product_keys: DataFrame) -> DataFrame:
-    """Rows of the given orders or products."""
-    flagged = fact.join(order_keys.withColumn("_order", F.lit(True)), "order_id", "left").join(
-        product_keys.withColumn("_product", F.lit(True)), "product_id", "left"
-    )
-    return flagged.filter("_order OR _product").drop("_order", "_product")
+def _side(side: str, columns: Sequence[str]) -> list[Column]:
+    """Columns of one side of changes."""
+    return [F.col(f"{side}.`{c}`").alias(c) for c in columns]
 
 
 def _reserve(spark: SparkSession, root: str) -> int:
@@ -354,8 +377,10 @@ def retire_gold(spark: SparkSession, warehouse: Warehouse, keep: int = 2) -> Non
             build = int(child.removeprefix("build="))
             if build <= current and build not in kept:
                 storage.remove(spark, f"{warehouse.gold_part(name)}/{child}")
-    for build in builds:
-        path = _build_path(warehouse, FACT, build)
-        for child in storage.child_folders(spark, path):
-            if build <= current and (build, child.removeprefix("order_date=")) not in days:
-                storage.remove(spark, f"{path}/{child}")
+    old = [
+        f"{_build_path(warehouse, FACT, build)}/{child}"
+        for build in builds if build <= current
+        for child in storage.child_folders(spark, _build_path(warehouse, FACT, build))
+        if (build, child.removeprefix("order_date=")) not in days
+    ]
+    side_by_side(lambda paths: [storage.remove(spark, p) for p in paths], [old[i::_REMOVERS] for i in range(_REMOVERS)])
