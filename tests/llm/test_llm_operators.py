@@ -363,6 +363,38 @@ def test_model_is_fitted_on_all_ids(spark, monkeypatch):
     assert Counter(taken) == pairs
 
 
+def test_later_windows_compute_the_places_they_are_wanted_for(monkeypatch):
+    overlap = lm_scoring.CONTEXT - lm_scoring.STRIDE
+    sizes, places = np.array([1, 100, 33, 32, 250]), []
+    for _, index, wanted in lm_scoring._windows(sizes, 3):
+        first = wanted[:, :overlap].any(axis=1)
+        assert first.all() or not first.any()
+        places.extend(index[wanted])
+    assert sorted(places) == list(range(sizes.sum()))
+    rng = np.random.default_rng(4)
+    tokenizer = lm_scoring.Tokenizer.load()
+    counts = rng.integers(0, 50, tokenizer.end + 1).astype(float)
+    vocabulary = lm_scoring.Vocabulary.from_counts(counts)
+    pairs = rng.integers(0, 3, (lm_scoring.BUCKETS, lm_scoring.BUCKETS)).astype(float)
+    model = lm_scoring.Model(
+        tokenizer, vocabulary, lm_scoring.Neighbours.from_counts(counts, pairs, vocabulary), lm_scoring.initial()
+    )
+    p, attended, asked = lm_scoring._unpacked(model.parameters), lm_scoring._attended, []
+
+    def watched(*args):
+        found = attended(*args)
+        asked.append(found[-1].shape[-1])
+        return found
+
+    monkeypatch.setattr(lm_scoring, "_attended", watched)
+    texts = [rng.integers(0, tokenizer.end, n - 1) for n in sizes]
+    together = lm_scoring._text_scores(model, p, np.concatenate(texts), np.append(0, np.cumsum(sizes - 1)))
+    assert set(asked) == {lm_scoring.CONTEXT, lm_scoring.STRIDE}
+    # A score is that of the text alone, to the last digit.
+    alone = [lm_scoring._text_scores(model, p, t, np.array([0, len(t)]))[0] for t in texts]
+    assert together.tolist() == alone
+
+
 def test_gradient_by_differences():
     rng = np.random.default_rng(8)
     shape = (3, lm_scoring.CONTEXT)
