@@ -395,6 +395,17 @@ def test_later_windows_compute_the_places_they_are_wanted_for(monkeypatch):
     assert together.tolist() == alone
 
 
+def test_encoder_knows_words_of_earlier_texts():
+    encoder = lm_scoring.Tokenizer.load().encoder()
+    for texts in (["b a b", "", "c A"], ["zz a", "b  new\nb"], ["", "c zz c"], [""]):
+        data = [t.encode() for t in texts]
+        offsets = np.append(0, np.cumsum([len(x) for x in data]))
+        ids, bounds = encoder.ids(np.frombuffer(b"".join(data), np.uint8), offsets)
+        for t, i, j in zip(texts, bounds[:-1], bounds[1:]):
+            plain = [encoder._encoding.encode_ordinary(" " + w) for w in t.lower().split()]
+            assert ids[i:j].tolist() == sum(plain, [])
+
+
 def test_gradient_by_differences():
     rng = np.random.default_rng(8)
     shape = (3, lm_scoring.CONTEXT)
