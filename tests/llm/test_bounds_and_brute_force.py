@@ -209,6 +209,17 @@ def test_words_met_before_are_not_encoded_again(monkeypatch):
     assert [ids(kept, t) for t in texts] == expected
 
 
+def test_vocabulary_is_read_once_in_a_process():
+    content = lm_scoring.Tokenizer.load().content
+    text = np.frombuffer(prose(3, 200).encode(), np.uint8)
+    first, second = (lm_scoring.Tokenizer(bytes(bytearray(content))).encoder() for _ in range(2))
+    expected = first.ids(text, np.array([0, len(text)]))[0].tolist()
+    assert first._encoding is second._encoding
+    # Words are remembered by each encoder for itself, in 16 bytes and 4 for each id.
+    assert not len(second._known) and second.ids(text, np.array([0, len(text)]))[0].tolist() == expected
+    assert first._starts.itemsize + first._sizes.itemsize == 8 and first._flat.itemsize == 4
+
+
 def test_topics_look_at_each_place_once(spark):
     slow = (
         ("legal", "(?i)licen[sc]e"), ("contact", "[a-z0-9.]+@[a-z0-9.]+|[0-9]{3}-[0-9]{4}"), ("table", " [|] "),
