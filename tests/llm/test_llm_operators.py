@@ -114,6 +114,53 @@ def test_repeats_by_brute_force(docs, monkeypatch, keep_first, kinds):
         ), r.doc_id
 
 
+def covered(text: bytes, count: Counter, size: int) -> np.ndarray:
+    mark = np.zeros(len(text) + 1, bool)
+    for p in range(len(text) - size + 1):
+        if count[text[p : p + size]] > 1:
+            mark[p : p + size] = True
+    return mark
+
+
+@pytest.mark.parametrize("kinds", [1, 20_000])
+def test_passages_below_the_cut_by_brute_force(docs, monkeypatch, kinds):
+    monkeypatch.setattr(suffix_dedup, "KINDS_PER_TASK", kinds)
+    rows = docs.filter("doc_id IS NOT NULL AND doc_id <> 11").dropDuplicates(["doc_id"])
+    joined = prose(31, 5)
+    more = [(20, prose(21, 20) + " " + joined + " " + prose(22, 20)), (21, joined + prose(23, 9)), (22, prose(2, 80)[:45] + prose(1, 9))]
+    rows = rows.select("doc_id", "text").union(rows.sparkSession.createDataFrame(more, "doc_id long, text string"))
+    texts = {r.doc_id: (r.text or "").encode() for r in rows.collect()}
+    count = Counter(t[p : p + n] for t in texts.values() for n in (30, 50) for p in range(len(t) - n + 1))
+    found = suffix_dedup.without_repeats(rows, min_bytes=50, keep_first=False, passage_bytes=30).collect()
+    assert len(found) == len(texts) and any(0 < r.dedup_passages and not r.dedup_removed for r in found)
+    for r in found:
+        data = texts[r.doc_id]
+        long, short = (covered(data, count, n) for n in (50, 30))
+        kept = bytes(b for b, m in zip(data, long) if not m)
+        assert (r.dedup_bytes, r.dedup_removed, r.dedup_spans, r.dedup_sha256, r.dedup_passages) == (
+            len(data), int(long.sum()), int((long[1:] < long[:-1]).sum()), hashlib.sha256(kept).hexdigest(),
+            int(short.sum()),
+        ), r.doc_id
+
+
+def test_passages_of_fifty_words_are_reported(spark, tmp_path):
+    passage = " ".join(f"w{i:02d}é" for i in range(51))
+    assert 240 <= len(passage.encode()) < 400
+    texts = [prose(1, 60) + " " + passage, passage + " " + prose(2, 60), prose(3, 90), None, "short"] + [prose(7, 90)] * 2
+    table = spark.createDataFrame([(i if i < 6 else None, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in QUERIES["op6_suffix_dedup"](spark, str(tmp_path)).collect()}
+    same = len(prose(7, 90).encode())
+    assert {i: r.n_removed for i, r in got.items()} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 5: same, None: same}
+    # A blank of either side may repeat with the passage.
+    assert all(0 <= got[i].n_passage_bytes - len(passage.encode()) <= 2 for i in (0, 1))
+    assert [got[i].n_passage_bytes for i in (2, 3, 4, 5, None)] == [0, 0, 0, same, same]
+    with pytest.raises(ValueError):
+        suffix_dedup.without_repeats(table, passage_bytes=240)
+    with pytest.raises(ValueError):
+        suffix_dedup.without_repeats(table, min_bytes=100, keep_first=False, passage_bytes=240)
+
+
 @pytest.mark.parametrize("slice_bytes", [10, 1 << 20])
 def test_contamination_by_brute_force(docs, items, monkeypatch, slice_bytes):
     monkeypatch.setattr(decontaminate, "SLICE_BYTES", slice_bytes)

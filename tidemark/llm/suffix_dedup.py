@@ -25,6 +25,10 @@ fingerprints instead of being sorted to their ends, and most are never compared:
    with very many kinds is dealt over several tasks by the windows' fingerprints;
    each task reads the group's rows as a stream and keeps its share only.
 
+Shorter passages can be reported beside the cut. They are looked for first; a longer
+repeated string lies inside one of them, so the rest of the texts need not be looked at
+for it.
+
 No step holds a group of copies together, and no text meets another one directly.
 """
 
@@ -61,7 +65,56 @@ def repeated_spans(
     id and text cannot be told apart and are then all first. NULL and texts
     shorter than ``min_bytes`` have no span. Matches never cross texts.
     """
+    return _repeated(_keyed(docs, id_col, text_col), min_bytes, keep_first)
+
+
+def nested_spans(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_bytes: int = 400, passage_bytes: int = 240,
+) -> DataFrame:
+    """:func:`repeated_spans` without ``keep_first`` by two lengths, of which ``passage_bytes`` is the smaller.
+
+    One row ``(doc_id, text_hash, spans, passages)`` per text with any passage; ``spans`` is NULL where none
+    reaches ``min_bytes``.
+    """
+    if passage_bytes > min_bytes:
+        raise ValueError("passages must not be longer than min_bytes")
     keyed = _keyed(docs, id_col, text_col)
+    passages = materialise(_repeated(keyed, passage_bytes, False), "dedup-passages")
+    wanted = passages.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), "spans")
+    pieces = materialise(
+        keyed.join(
+            wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_hash") == F.col("__hash"))
+        ).select("doc_id", "text_hash", "bytes", "spans").mapInArrow(
+            _piece_batches(min_bytes),
+            T.StructType([
+                T.StructField("doc_id", keyed.schema["doc_id"].dataType), T.StructField("whole", T.LongType()),
+                T.StructField("at", T.IntegerType()), T.StructField("bytes", T.BinaryType()),
+            ]),
+        ).withColumn("text_hash", F.xxhash64("whole", "at")),
+        "dedup-pieces",
+    )
+    found = _repeated(pieces.select("doc_id", "text_hash", "bytes"), min_bytes, False)
+    places = pieces.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), "whole", "at").distinct()
+    spans = found.join(
+        places.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_hash") == F.col("__hash"))
+    ).select(
+        "doc_id", F.col("whole").alias("text_hash"),
+        F.transform(
+            "spans", lambda x: F.struct((x.start + F.col("at")).alias("start"), (x.end + F.col("at")).alias("end"))
+        ).alias("spans"),
+    )
+    none = F.lit(None).cast(passages.schema["spans"].dataType)
+    return (
+        spans.withColumn("passages", none)
+        .unionByName(passages.select("doc_id", "text_hash", none.alias("spans"), F.col("spans").alias("passages")))
+        .groupBy("doc_id", "text_hash").agg(
+            F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("passages")).alias("passages")
+        )
+        .withColumn("spans", F.when(F.size("spans") > 0, F.col("spans")))
+    )
+
+
+def _repeated(keyed: DataFrame, min_bytes: int, keep_first: bool) -> DataFrame:
     id_type = keyed.schema["doc_id"].dataType
     anchors = materialise(
         keyed.mapInArrow(
@@ -101,7 +154,7 @@ def repeated_spans(
 
 def without_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    min_bytes: int = 400, keep_first: bool = True,
+    min_bytes: int = 400, keep_first: bool = True, passage_bytes: int | None = None,
 ) -> DataFrame:
     """All rows of ``docs``, with what is left of their texts.
 
@@ -110,13 +163,23 @@ def without_repeats(
     bytes) are added and replace columns of these names. A cut inside a character
     also drops the rest of that character from the text, not from the digest.
     NULL stays NULL, and counts as empty in the figures.
+
+    With ``passage_bytes``, a smaller length that goes without ``keep_first`` only, ``dedup_passages`` follows:
+    how many bytes of the text lie in passages of at least that length which stand anywhere else. These are
+    not removed unless they reach ``min_bytes``.
     """
-    added = ["dedup_bytes", "dedup_removed", "dedup_spans", "dedup_sha256"]
-    docs = docs.drop(*added, "__doc", "__hash", "__spans")
-    found = materialise(
-        repeated_spans(docs, id_col, text_col, min_bytes, keep_first), "dedup-spans"
-    ).select(
-        F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans")
+    if passage_bytes is not None and keep_first:
+        raise ValueError("passages are reported at all their places, so keep_first must be unset")
+    added = ["dedup_bytes", "dedup_removed", "dedup_spans", "dedup_sha256", "dedup_passages"]
+    docs = docs.drop(*added, "__doc", "__hash", "__spans", "__passages")
+    if passage_bytes is None:
+        found = repeated_spans(docs, id_col, text_col, min_bytes, keep_first)
+        found = found.withColumn("passages", F.lit(None).cast(found.schema["spans"].dataType))
+    else:
+        found = nested_spans(docs, id_col, text_col, min_bytes, passage_bytes)
+    found = materialise(found, "dedup-spans").select(
+        F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans"),
+        F.col("passages").alias("__passages"),
     )
     # Both sides grow with the texts: joined the same way at every size.
     joined = docs.join(
@@ -128,9 +191,10 @@ def without_repeats(
     schema = T.StructType([
         *docs.schema.fields, T.StructField("dedup_bytes", T.LongType()),
         T.StructField("dedup_removed", T.LongType()), T.StructField("dedup_spans", T.LongType()),
-        T.StructField("dedup_sha256", T.StringType()),
+        T.StructField("dedup_sha256", T.StringType()), T.StructField("dedup_passages", T.LongType()),
     ])
-    return joined.mapInArrow(_cutter(docs.columns.index(text_col)), schema)
+    cut = joined.mapInArrow(_cutter(docs.columns.index(text_col)), schema)
+    return cut.drop("dedup_passages") if passage_bytes is None else cut
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -244,6 +308,34 @@ def _context_batches(min_bytes: int):
     return run
 
 
+def _piece_batches(min_bytes: int, budget: int = 1 << 22):
+    """The spans of each text, joined where they meet, as texts of their own; shorter ones hold no window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            source, at, pieces, size = [], [], [], 0
+            for i, text in enumerate(batch.column("bytes")):
+                view = memoryview(text.as_buffer())
+                for start, end in _merged(batch.column("spans")[i].values):
+                    if end - start >= min_bytes:
+                        source.append(i)
+                        at.append(start)
+                        pieces.append(bytes(view[start:end]))
+                        size += end - start
+                if source and (size >= budget or i == batch.num_rows - 1):
+                    rows = pa.array(source)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("doc_id").take(rows), batch.column("text_hash").take(rows),
+                            pa.array(at, pa.int32()), pa.array(pieces, pa.binary()),
+                        ],
+                        names=["doc_id", "whole", "at", "bytes"],
+                    )
+                    source, at, pieces, size = [], [], [], 0
+
+    return run
+
+
 def _run_batches(min_bytes: int, keep_first: bool):
     """Compares the windows of the contexts of a partition, which come gram by gram."""
 
@@ -333,8 +425,9 @@ def _place_ranks(table: pa.Table) -> np.ndarray:
 def _cutter(text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, sizes, removed, runs, digests = [], [], [], [], []
-            for value, spans in zip(batch.column(text_at), batch.column(batch.num_columns - 1)):
+            texts, sizes, removed, runs, digests, repeated = [], [], [], [], [], []
+            lists = (batch.column(batch.num_columns + k) for k in (-2, -1))
+            for value, spans, passages in zip(batch.column(text_at), *lists):
                 text = value.as_py()
                 data = (text or "").encode("utf-8", "surrogatepass")
                 kept, cut = data, []
@@ -350,12 +443,16 @@ def _cutter(text_at: int):
                 removed.append(len(data) - len(kept))
                 runs.append(len(cut))
                 digests.append(hashlib.sha256(kept).hexdigest())
-            columns = list(batch.columns[:-1])
+                repeated.append(sum(b - a for a, b in _merged(passages.values)) if passages.is_valid else 0)
+            columns = list(batch.columns[:-2])
             columns[text_at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(sizes), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
-                 pa.array(digests, pa.string())],
-                names=[*batch.schema.names[:-1], "dedup_bytes", "dedup_removed", "dedup_spans", "dedup_sha256"],
+                 pa.array(digests, pa.string()), pa.array(repeated, pa.int64())],
+                names=[
+                    *batch.schema.names[:-2], "dedup_bytes", "dedup_removed", "dedup_spans", "dedup_sha256",
+                    "dedup_passages",
+                ],
             )
 
     return run
