@@ -35,17 +35,17 @@ No step holds a group of copies together, and no text meets another one directly
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.windows import binary_slices, fingerprints, minimizers
-from tidemark.sources.storage import materialise
+from tidemark.sources.storage import materialise, owned_scratch, scratch_path
 
 # Kinds of span of one gram that one task compares; more are dealt over several.
 KINDS_PER_TASK = 20_000
@@ -79,7 +79,21 @@ def nested_spans(
     if passage_bytes > min_bytes:
         raise ValueError("passages must not be longer than min_bytes")
     keyed = _keyed(docs, id_col, text_col)
-    passages = materialise(_repeated(keyed, passage_bytes, False), "dedup-passages")
+    # What a phase has written goes with it; only its result stays for the next one.
+    passages = _kept(lambda: _repeated(keyed, passage_bytes, False), docs.sparkSession, "dedup-passages")
+    return _kept(lambda: _nested(keyed, passages, min_bytes), docs.sparkSession, "dedup-nested")
+
+
+def _kept(made: Callable[[], DataFrame], spark: SparkSession, purpose: str) -> DataFrame:
+    path = scratch_path(spark, purpose)
+    with owned_scratch(spark):
+        rows = made()
+        rows.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _nested(keyed: DataFrame, passages: DataFrame, min_bytes: int) -> DataFrame:
+    """Ranges that repeat at ``min_bytes``, looked for inside ``passages`` alone, beside these."""
     wanted = passages.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), "spans")
     pieces = materialise(
         keyed.join(
@@ -173,11 +187,11 @@ def without_repeats(
     added = ["dedup_bytes", "dedup_removed", "dedup_spans", "dedup_sha256", "dedup_passages"]
     docs = docs.drop(*added, "__doc", "__hash", "__spans", "__passages")
     if passage_bytes is None:
-        found = repeated_spans(docs, id_col, text_col, min_bytes, keep_first)
+        found = materialise(repeated_spans(docs, id_col, text_col, min_bytes, keep_first), "dedup-spans")
         found = found.withColumn("passages", F.lit(None).cast(found.schema["spans"].dataType))
     else:
         found = nested_spans(docs, id_col, text_col, min_bytes, passage_bytes)
-    found = materialise(found, "dedup-spans").select(
+    found = found.select(
         F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans"),
         F.col("passages").alias("__passages"),
     )
